@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dimflow.functions.calendar import ntz
 from dimflow.operators.versioned import Wave, apply_snapshot
 from dimflow.plans.layout import Usage
+from dimflow.session import materialise
 
 SECOND_WAVE = "1998-01-01 00:00:00"
 THIRD_WAVE = "2000-01-01 00:00:00"
@@ -27,8 +28,26 @@ USAGES = {
 }
 
 
+# The declared schemas of the test tables: a read needs no look at the files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def money(column: str) -> Column:
@@ -61,14 +80,14 @@ def customer_snapshot(spark: SparkSession, sf_dir: str, wave: int) -> DataFrame:
 
 
 def customer_waves(spark: SparkSession, sf_dir: str, upto: int) -> list[Wave]:
-    """The customer dimension after each of the first ``upto`` loads."""
+    """The customer dimension after each of the first ``upto`` loads, each written as a job would."""
     waves: list[Wave] = []
     for number, as_of in ((1, None), (2, SECOND_WAVE), (3, THIRD_WAVE)):
         if number > upto:
             break
         waves.append(
             apply_snapshot(
-                waves[-1].dim if waves else None,
+                materialise(waves[-1].dim, "customers") if waves else None,
                 customer_snapshot(spark, sf_dir, number),
                 "customer_key",
                 "code",

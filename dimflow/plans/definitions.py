@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.plans.layout import Usage, _usage, advise, sort_advice, table_stats
+from dimflow.plans.layout import Usage, advise, gather, sort_advice, table_stats
 
 # The target's type names, and the least width of a text column.
 TARGET_TYPES = {
@@ -23,67 +21,54 @@ TARGET_TYPES = {
 LEAST_WIDTH = 16
 
 
-def target_type(field: T.StructField, longest: Column) -> Column:
-    """The target type of a column; text gets twice its longest value, at least 16."""
-    if isinstance(field.dataType, T.StringType):
-        width = F.greatest(F.lit(LEAST_WIDTH), longest * 2)
-        return F.concat(F.lit("VARCHAR("), width.cast("string"), F.lit(")"))
-    return F.lit(TARGET_TYPES.get(field.dataType, field.dataType.simpleString().upper()))
-
+def target_type(field: T.StructField) -> str:
+    """The target type of a column, as SQL over its stats row.
 
-def _typed(stats: DataFrame, schema: T.StructType) -> list[Column]:
-    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
-    return [
-        target_type(f, F.col("lengths")[texts.index(f.name)]["n"] if f.name in texts else F.lit(0))
-        for f in schema.fields
-    ]
+    Text gets twice its longest value and at least 16; decimals and unknown types keep their name.
+    """
+    if isinstance(field.dataType, T.StringType):
+        return f"concat('VARCHAR(', greatest({LEAST_WIDTH}, 2 * lengths['{field.name}']), ')')"
+    return f"'{TARGET_TYPES.get(field.dataType, field.dataType.simpleString().upper())}'"
 
 
 def column_profile(df: DataFrame, table: str) -> DataFrame:
     """One row per column with its target type; all text widths come from one pass."""
-    stats = table_stats(df)
-    columns = F.array(
-        *[
-            F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column_name"), t.alias("target_type"))
-            for i, (f, t) in enumerate(zip(df.schema.fields, _typed(stats, df.schema), strict=True))
-        ]
-    )
-    return stats.select(F.lit(table).alias("table_name"), F.explode(columns).alias("c")).select(
-        "table_name", "c.*"
-    )
+    columns = [
+        f"named_struct('position', {i}, 'column_name', '{f.name}', 'target_type', {target_type(f)})"
+        for i, f in enumerate(df.schema.fields, start=1)
+    ]
+    return table_stats(df, table).selectExpr("table_name", f"inline(array({', '.join(columns)}))")
 
 
-def create_table(
-    df: DataFrame, table: str, usages: dict[str, Usage], schema: str = "analytics", approx: bool = False
+def create_tables(
+    tables: dict[str, DataFrame], usages: dict[str, Usage], schema: str = "analytics", approx: bool = False
 ) -> DataFrame:
-    """One row: the create-table statement, with distribution and sort clauses.
+    """One row per table: the create-table statement, with distribution and sort clauses.
 
-    Row count, distinct counts and text widths come from one pass over the table.
+    Row count, distinct counts and text widths of a table come from one pass over it.
     """
-    usage = _usage(table, usages)
-    advice = advise(table_stats(df, usage.join_keys, approx), table, usage)
-    lines = [
-        F.concat(F.lit(f"    {f.name} "), t)
-        for f, t in zip(df.schema.fields, _typed(advice, df.schema), strict=True)
-    ]
-    dist = F.when(
-        F.col("distkey").isNotNull(), F.concat(F.lit("\nDISTKEY("), F.col("distkey"), F.lit(")"))
-    ).otherwise(F.concat(F.lit("\nDISTSTYLE "), F.col("diststyle")))
-    sort = sort_advice(usage)
-    order = f"\n{sort.style} SORTKEY({', '.join(sort.columns)})" if sort.columns else ""
-    text = F.concat(
-        F.lit(f"CREATE TABLE {schema}.{table} (\n"), F.concat_ws(",\n", *lines), F.lit("\n)"), dist,
-        F.lit(f"{order};\n"),
+    bodies, sorts = [], []
+    for name, df in tables.items():
+        lines = [f"concat('    {f.name} ', {target_type(f)})" for f in df.schema.fields]
+        bodies.append(f"when '{name}' then concat_ws(',\\n', {', '.join(lines)})")
+        sort = sort_advice(usages[name]) if name in usages else None
+        order = f"\\n{sort.style} SORTKEY({', '.join(sort.columns)})" if sort and sort.columns else ""
+        sorts.append(f"when '{name}' then '{order}'")
+    advice = advise(gather(tables, usages, approx), usages)
+    return advice.select(
+        "table_name",
+        F.expr(
+            f"concat('CREATE TABLE {schema}.', table_name, ' (\\n', case table_name {' '.join(bodies)} end, '\\n)', "
+            "case when distkey is not null then concat('\\nDISTKEY(', distkey, ')') "
+            "else concat('\\nDISTSTYLE ', diststyle) end, "
+            f"case table_name {' '.join(sorts)} end, ';\\n')"
+        ).alias("create_table"),
     )
-    return advice.select("table_name", text.alias("create_table"))
-
-
-def create_tables(tables: dict[str, DataFrame], usages: dict[str, Usage], **options) -> DataFrame:
-    """The create-table statement of every table."""
-    rows = [create_table(df, table, usages, **options) for table, df in tables.items()]
-    return reduce(DataFrame.unionByName, rows)
 
 
 def load_statement(table: str, location: str, role: str, schema: str = "analytics") -> str:
     """The statement that loads an exported table into the target."""
-    return f"COPY {schema}.{table}\nFROM '{location.rstrip('/')}/{table}/'\nIAM_ROLE '{role}'\nFORMAT AS PARQUET;\n"
+    return (
+        f"COPY {schema}.{table}\nFROM '{location.rstrip('/')}/{table}/'\n"
+        f"IAM_ROLE '{role}'\nFORMAT AS PARQUET;\n"
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,11 @@ SMALL_TABLE_ROWS = 5000
 HIGH_CARDINALITY = 0.05
 SKEWED_CARDINALITY = 0.01
 
+STATS_SCHEMA = (
+    "table_name string, row_count bigint, "
+    "distincts array<struct<position:int,name:string,n:bigint>>, lengths map<string,int>"
+)
+
 
 @dataclass(frozen=True)
 class Usage:
@@ -24,129 +29,97 @@ class Usage:
     equality_filters: tuple[str, ...] = ()
 
 
-def table_stats(df: DataFrame, keys: tuple[str, ...] = (), approx: bool = False) -> DataFrame:
-    """One row from one pass: ``row_count``, distinct counts of ``keys``, longest text per text column.
-
-    ``distincts`` and ``lengths`` are arrays of structs in column order. Exact distinct counts shuffle
-    the distinct values of each key; ``approx`` replaces them by sketches of fixed size.
-    """
-    distinct = F.approx_count_distinct if approx else F.count_distinct
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    row = df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *[distinct(F.col(k)).alias(f"_distinct_{i}") for i, k in enumerate(keys)],
-        *[F.coalesce(F.max(F.length(F.col(t))), F.lit(0)).alias(f"_length_{i}") for i, t in enumerate(texts)],
-    )
-    distincts = [
-        F.struct(F.lit(i).alias("position"), F.lit(k).alias("name"), F.col(f"_distinct_{i}").alias("n"))
-        for i, k in enumerate(keys)
-    ]
-    lengths = [
-        F.struct(F.lit(t).alias("name"), F.col(f"_length_{i}").alias("n")) for i, t in enumerate(texts)
-    ]
-    return row.select(
-        "row_count",
-        _array(distincts, "array<struct<position:int,name:string,n:bigint>>").alias("distincts"),
-        _array(lengths, "array<struct<name:string,n:int>>").alias("lengths"),
-    )
+@dataclass(frozen=True)
+class SortAdvice:
+    """The sort a usage profile calls for."""
 
+    columns: tuple[str, ...]
+    style: str
+    rationale: str
 
-def _array(items: list[Column], dtype: str) -> Column:
-    return F.array(*items).cast(dtype) if items else F.array().cast(dtype)
 
+def text_columns(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
 
-def _ratio(n: Column, rows: Column) -> Column:
-    return F.when(rows > 0, n / rows).otherwise(F.lit(0.0))
 
+def table_stats(df: DataFrame, table: str, keys: tuple[str, ...] = (), approx: bool = False) -> DataFrame:
+    """One row from one pass: row count, distinct values of each key, longest text per text column.
 
-def key_cardinality(df: DataFrame, table: str, keys: tuple[str, ...], approx: bool = False) -> DataFrame:
-    """One row per join key: rows, distinct values and their ratio."""
-    return (
-        table_stats(df, keys, approx)
-        .select("row_count", F.explode("distincts").alias("d"))
-        .select(
-            F.lit(table).alias("table_name"),
-            F.col("d.name").alias("column_name"),
-            "row_count",
-            F.col("d.n").alias("distinct_count"),
-            _ratio(F.col("d.n"), F.col("row_count")).alias("ratio"),
-        )
+    Exact distinct counts shuffle the distinct values of each key, after dropping repeats on the map
+    side; ``approx`` replaces them by sketches of fixed size. NULLs are not counted.
+    """
+    count = "approx_count_distinct(`{}`)" if approx else "count(distinct `{}`)"
+    distincts = [
+        f"named_struct('position', {i}, 'name', '{k}', 'n', {count.format(k)})" for i, k in enumerate(keys)
+    ]
+    lengths = [f"'{t}', coalesce(max(length(`{t}`)), 0)" for t in text_columns(df.schema)]
+    return df.agg(
+        F.expr("count(1)").alias("row_count"),
+        F.expr(f"array({', '.join(distincts)})").alias("distincts"),
+        F.expr(f"map({', '.join(lengths)})").alias("lengths"),
+    ).select(F.lit(table).alias("table_name"), "*").to(T.StructType.fromDDL(STATS_SCHEMA))
+
+
+def key_cardinality(stats: DataFrame) -> DataFrame:
+    """One row per table and join key: rows, distinct values and their ratio."""
+    return stats.selectExpr("table_name", "row_count", "inline(distincts)").selectExpr(
+        "table_name",
+        "name as column_name",
+        "row_count",
+        "n as distinct_count",
+        "case when row_count > 0 then n / row_count else 0D end as ratio",
     )
 
 
-def distribution(stats: DataFrame, table: str) -> DataFrame:
-    """The stats row with ``diststyle``, ``distkey``, its rationale and what to do in Spark."""
-    best = F.array_max(
-        F.filter(
-            F.transform(
-                "distincts",
-                lambda d: F.struct(
-                    _ratio(d["n"], F.col("row_count")).alias("ratio"),
-                    (-d["position"]).alias("order"),
-                    d["name"].alias("name"),
-                ),
-            ),
-            lambda d: d["ratio"] > 0,
-        )
+def distribution(stats: DataFrame) -> DataFrame:
+    """The stats rows with ``diststyle``, ``distkey``, a rationale and what to do in Spark.
+
+    The candidate is the join key with the greatest share of distinct values, the first one on a tie.
+    """
+    ranked = (
+        "transform(distincts, d -> struct(case when row_count > 0 then d.n / row_count else 0D end as ratio, "
+        "-d.position as rank, d.name as name))"
     )
-    rows = F.format_number("row_count", 0)
-    name, ratio = F.col("_best.name"), F.col("_best.ratio")
-    percent = F.concat(F.format_number(ratio * 100, 1), F.lit("%"))
-    estimated = F.format_number((ratio * F.col("row_count")).cast("bigint"), 0)
-    small = F.lit(table.startswith("dim_")) & (F.col("row_count") <= SMALL_TABLE_ROWS)
-    spread = name.isNotNull() & (ratio >= HIGH_CARDINALITY)
-    skewed = name.isNotNull() & (ratio < SKEWED_CARDINALITY)
+    rows, percent = "format_number(row_count, 0)", "format_number(best.ratio * 100, 1)"
     # The wording of the advice.
-    why = (
-        F.when(
-            small,
-            F.concat(
-                F.lit("DISTSTYLE ALL: only "),
-                rows,
-                F.lit(" rows -- cheaper to replicate to every node than redistribute."),
-            ),
-        )
-        .when(
-            spread,
-            F.concat(
-                F.lit("DISTKEY("), name, F.lit("): "), percent, F.lit(" cardinality ("), estimated,
-                F.lit("/"), rows, F.lit("), dominant join column on this fact's queries."),
-            ),
-        )
-        .when(
-            skewed,
-            F.concat(
-                F.lit("DISTSTYLE EVEN: best join-key candidate ("), name, F.lit(") is only "), percent,
-                F.lit(" cardinality -- a DISTKEY here would skew badly onto very few slices."),
-            ),
-        )
-        .otherwise(F.lit("DISTSTYLE EVEN: no join key clears the cardinality bar for a safe DISTKEY."))
+    small = (
+        f"concat('DISTSTYLE ALL: only ', {rows}, "
+        "' rows -- cheaper to replicate to every node than redistribute.')"
+    )
+    keyed = (
+        f"concat('DISTKEY(', best.name, '): ', {percent}, '% cardinality (', "
+        f"format_number(cast(best.ratio * row_count as bigint), 0), '/', {rows}, "
+        "'), dominant join column on this fact\\'s queries.')"
+    )
+    skewed = (
+        f"concat('DISTSTYLE EVEN: best join-key candidate (', best.name, ') is only ', {percent}, "
+        "'% cardinality -- a DISTKEY here would skew badly onto very few slices.')"
     )
-    style = F.when(small, "ALL").when(spread, "KEY").otherwise("EVEN")
+    neither = "'DISTSTYLE EVEN: no join key clears the cardinality bar for a safe DISTKEY.'"
     return (
-        stats.withColumn("_best", best)
-        .withColumn("diststyle", style)
-        .withColumn("distkey", F.when(F.col("diststyle") == "KEY", name))
-        .withColumn("dist_rationale", why)
+        stats.withColumn("best", F.expr(f"array_max(filter({ranked}, d -> d.ratio > 0))"))
         .withColumn(
-            "spark_action",
-            F.when(F.col("diststyle") == "ALL", F.lit("broadcast"))
-            .when(F.col("diststyle") == "KEY", F.concat(F.lit("partition by hash of "), name))
-            .otherwise(F.lit("rebalance evenly")),
+            "diststyle",
+            F.expr(
+                f"case when startswith(table_name, 'dim_') and row_count <= {SMALL_TABLE_ROWS} then 'ALL' "
+                f"when best.ratio >= {HIGH_CARDINALITY}D then 'KEY' else 'EVEN' end"
+            ),
+        )
+        .selectExpr(
+            "table_name",
+            "row_count",
+            "diststyle",
+            "case when diststyle = 'KEY' then best.name end as distkey",
+            f"case when diststyle = 'ALL' then {small} when diststyle = 'KEY' then {keyed} "
+            f"when best.ratio < {SKEWED_CARDINALITY}D then {skewed} else {neither} end as dist_rationale",
+            "case diststyle when 'ALL' then 'broadcast' "
+            "when 'KEY' then concat('partition by hash of ', best.name) else 'rebalance evenly' end "
+            "as spark_action",
+            "lengths",
         )
-        .drop("_best")
     )
 
 
-@dataclass(frozen=True)
-class SortAdvice:
-    """The sort a usage profile calls for."""
-
-    columns: tuple[str, ...]
-    style: str
-    rationale: str
-
-
 def sort_advice(usage: Usage) -> SortAdvice:
     """A range filter leads; three or more equality filters share the order; fewer are taken as given."""
     equal = usage.equality_filters
@@ -171,35 +144,50 @@ def sort_advice(usage: Usage) -> SortAdvice:
     return SortAdvice((), "COMPOUND", "No SORTKEY recommended -- no declared filter pattern for this table.")
 
 
-def recommend(df: DataFrame, table: str, usages: dict[str, Usage], approx: bool = False) -> DataFrame:
-    """The recommendation for one table, as one row; a table without a usage profile is an error."""
-    usage = _usage(table, usages)
-    return advise(table_stats(df, usage.join_keys, approx), table, usage)
+def usage_of(table: str, usages: dict[str, Usage]) -> Usage:
+    if table not in usages:
+        raise ValueError(f"no usage profile declared for {table}")
+    return usages[table]
 
 
-def advise(stats: DataFrame, table: str, usage: Usage) -> DataFrame:
-    """The recommendation that follows from a stats row."""
-    sort = sort_advice(usage)
-    return distribution(stats, table).select(
-        F.lit(table).alias("table_name"),
-        "row_count",
-        "diststyle",
-        "distkey",
-        _array([F.lit(c) for c in sort.columns], "array<string>").alias("sortkey_columns"),
-        F.lit(sort.style).alias("sortkey_type"),
-        F.array(F.col("dist_rationale"), F.lit(sort.rationale)).alias("rationale"),
-        "spark_action",
-        "lengths",
+def gather(tables: dict[str, DataFrame], usages: dict[str, Usage], approx: bool = False) -> DataFrame:
+    """The stats rows of several tables; a table without a usage profile is an error."""
+    rows = [
+        table_stats(df, name, usage_of(name, usages).join_keys, approx) for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def advise(stats: DataFrame, usages: dict[str, Usage]) -> DataFrame:
+    """The recommendation that follows from each stats row."""
+    sorts = {table: sort_advice(usage) for table, usage in usages.items()}
+    entries = ", ".join(
+        f"'{table}', named_struct('columns', array({', '.join(repr(c) for c in s.columns)}), "
+        f"'style', '{s.style}', 'rationale', '{s.rationale}')"
+        for table, s in sorts.items()
+    )
+    return (
+        distribution(stats)
+        .withColumn("sort", F.expr(f"element_at(map({entries}), table_name)"))
+        .selectExpr(
+            "table_name",
+            "row_count",
+            "diststyle",
+            "distkey",
+            "cast(sort.columns as array<string>) as sortkey_columns",
+            "sort.style as sortkey_type",
+            "array(dist_rationale, sort.rationale) as rationale",
+            "spark_action",
+            "lengths",
+        )
     )
 
 
-def layout_report(tables: dict[str, DataFrame], usages: dict[str, Usage], approx: bool = False) -> DataFrame:
-    """One recommendation per table."""
-    rows = [recommend(df, table, usages, approx).drop("lengths") for table, df in tables.items()]
-    return reduce(DataFrame.unionByName, rows)
+def recommend(df: DataFrame, table: str, usages: dict[str, Usage], approx: bool = False) -> DataFrame:
+    """The recommendation for one table, as one row."""
+    return layout_report({table: df}, usages, approx)
 
 
-def _usage(table: str, usages: dict[str, Usage]) -> Usage:
-    if table not in usages:
-        raise ValueError(f"no usage profile declared for {table}")
-    return usages[table]
+def layout_report(tables: dict[str, DataFrame], usages: dict[str, Usage], approx: bool = False) -> DataFrame:
+    """One recommendation per table: every table is read once, the rules run over the stats rows."""
+    return advise(gather(tables, usages, approx), usages).drop("lengths")

@@ -427,14 +427,7 @@ def _profiled(spark, sf_dir):
 
 @query
 def key_cardinality(spark, sf_dir):
-    rows = [
-        layout.key_cardinality(df, name, fx.USAGES[name].join_keys)
-        for name, df in _profiled(spark, sf_dir).items()
-    ]
-    union = rows[0]
-    for row in rows[1:]:
-        union = union.unionByName(row)
-    return union
+    return layout.key_cardinality(layout.gather(_profiled(spark, sf_dir), fx.USAGES))
 
 
 @query
