@@ -17,6 +17,7 @@ class VersionedRef:
 
     dim: str
     key_col: str
+    dim_id: str
     fact_id: str
 
 
@@ -63,7 +64,7 @@ def build_fact(
     fact = rows.select(*[c for c in rows.columns if c in needed])
     for ref in spec.versioned:
         fact = resolve(
-            fact, versions[ref.dim], ref.key_col, ref.fact_id, ref.fact_id, spec.date_col
+            fact, versions[ref.dim], ref.key_col, ref.dim_id, ref.fact_id, spec.date_col
         )
     for ref in spec.current:
         side = dims[ref.dim].select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dimflow.functions.keys import required
 
@@ -34,7 +35,7 @@ def keyed_upsert(
 
     Applying the same batch twice gives the same table as once.
     """
-    same_columns(base, batch)
+    same_columns(base.schema, batch.schema)
     fresh = latest_per_key(batch, keys, updated_at)
     return replace_keys(base, fresh, keys)
 
@@ -44,10 +45,10 @@ def replace_keys(base: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFram
     return base.join(fresh.select(*keys), keys, "left_anti").select(*base.columns).unionByName(fresh)
 
 
-def same_columns(base: DataFrame, batch: DataFrame) -> None:
-    """Raise unless both frames have the same columns in the same types."""
-    have = {f.name: f.dataType for f in base.schema.fields}
-    got = {f.name: f.dataType for f in batch.schema.fields}
+def same_columns(table: StructType, batch: StructType) -> None:
+    """Raise unless both have the same columns in the same types."""
+    have = {f.name: f.dataType for f in table.fields}
+    got = {f.name: f.dataType for f in batch.fields}
     if have != got:
         missing = sorted(have.keys() - got.keys())
         extra = sorted(got.keys() - have.keys())

@@ -413,3 +413,26 @@ def _profiles() -> str:
 
 
 ORACLES["column_profile"] = _profiles()
+
+ORACLES["full_replace"] = "select n_nationkey, 'new ' || n_name as n_name, n_regionkey from nation"
+ORACLES["stored_upsert"] = ORACLES["stored_upsert_by_range"] = ORACLES["stream_upsert"] = UPSERTED
+ORACLES["stored_upsert_composite"] = ORACLES["upsert_composite_key"]
+ORACLES["registry_load_counts"] = """
+with n as (select 'nation' as table_name, 'replace' as mode, count(*) as n_rows from nation
+           union all select 'supplier', 'replace', count(*) from supplier
+           union all select 'customer', 'replace', count(*) from customer
+           union all select 'orders', 'incremental', count(*) from orders
+           union all select 'events', 'incremental', count(*) from events)
+select *, 1 as run from n
+union all
+select table_name, mode, case when mode = 'replace' then n_rows else 0 end, 2 from n"""
+ORACLES["job_fact"] = f"""{WAVES}
+select o_orderkey as order_sk, k as customer_key, cast(strftime(o_orderdate, '%Y%m%d') as integer) as date_key,
+       cast(cast(o_totalprice as decimal(18,2)) as double) as o_totalprice, o_orderpriority
+from orders left join d2 on o_custkey = c_custkey and o_orderdate >= vf and o_orderdate < vt"""
+ORACLES["audit_log"] = """
+select run_id, step, 'SUCCESS' as status, 10 as n_checks, 10 as n_passed
+from (values ('run-1'), ('run-2')) r(run_id), (values ('extract'), ('transform'), ('validate')) s(step)"""
+ORACLES["export_roundtrip"] = """
+select table_name, check_type, true as passed
+from (values ('orders'), ('lineitem')) t(table_name), (values ('row_count'), ('row_hash')) c(check_type)"""

@@ -13,7 +13,13 @@ from dimflow.functions.calendar import LOAD_EPOCH
 from dimflow.operators import dimensions, facts, highwater, pointintime, quality, reconcile, trace, upsert
 from dimflow.operators import versioned
 from dimflow.plans import definitions, layout
-from dimflow.session import configure
+from dimflow.plans.job import run_job
+from dimflow.plans.star import CurrentDim, Star, VersionedDim
+from dimflow.registry import TableSpec
+from dimflow.session import configure, fresh_path
+from dimflow.sources import export, load
+from dimflow.sources.store import ANALYTICS, RAW, Store
+from dimflow.streaming import upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -271,8 +277,8 @@ SALES = facts.FactSpec(
         "l_shipdate", "quantity", "total_value", "l_returnflag", "o_orderstatus",
     ),
     versioned=(
-        facts.VersionedRef("dim_customer", "customer_key", "o_custkey"),
-        facts.VersionedRef("dim_part", "part_key", "l_partkey"),
+        facts.VersionedRef("dim_customer", "customer_key", "c_custkey", "o_custkey"),
+        facts.VersionedRef("dim_part", "part_key", "p_partkey", "l_partkey"),
     ),
     current=(
         facts.CurrentRef("dim_type", "type_key", "p_type", "p_type", "type_key"),
@@ -301,17 +307,12 @@ def _node_dim(spark, sf_dir):
 def _fact_sales(spark, sf_dir):
     customers = fx.customer_waves(spark, sf_dir, 2)[-1].dim
     parts = fx.part_dimension(spark, sf_dir)
-    customer_ids = fx.table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), F.col("c_custkey").cast("string").alias("code")
-    )
-    part_ids = fx.table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_partkey").cast("string").alias("part_code")
-    )
+    customer_ids, part_ids = fx.customer_snapshot(spark, sf_dir, 2), fx.part_snapshot(spark, sf_dir, 2)
     versions = {
         "dim_customer": pointintime.entity_versions(
-            customer_ids, customers, "o_custkey", "customer_key", "code"
+            customer_ids, customers, "c_custkey", "customer_key", "code"
         ),
-        "dim_part": pointintime.entity_versions(part_ids, parts, "l_partkey", "part_key", "part_code"),
+        "dim_part": pointintime.entity_versions(part_ids, parts, "p_partkey", "part_key", "part_code"),
     }
     types = fx.table(spark, sf_dir, "part").select("p_type").distinct()
     dims = {
@@ -535,3 +536,153 @@ def mass_balance(spark, sf_dir):
     return found.withColumns(
         {c: F.col(c).cast("double") for c in ("allocated", "least_carried", "most_carried")}
     )
+
+
+# --- stored tables: these write under the shared folder ----------------------------------------------
+
+
+EVENTS = TableSpec("events", ("event_id",), incremental=True, updated_at="ts")
+TURNS = TableSpec("conversations", ("conv_id", "turn"), incremental=True)
+
+
+def _store(spark):
+    return Store(spark, fresh_path(spark, "store"))
+
+
+@query
+def full_replace(spark, sf_dir):
+    store, nation = _store(spark), fx.table(spark, sf_dir, "nation")
+    store.replace(RAW, "nation", nation)
+    return store.replace(RAW, "nation", nation.withColumn("n_name", F.concat(F.lit("new "), F.col("n_name"))))
+
+
+@query
+def stored_upsert(spark, sf_dir):
+    store = _store(spark)
+    store.upsert(RAW, EVENTS, fx.event_base(spark, sf_dir))
+    store.upsert(RAW, EVENTS, fx.event_batch(spark, sf_dir))
+    store.upsert(RAW, EVENTS, fx.event_batch(spark, sf_dir))
+    return _events_shown(store.read(RAW, "events"))
+
+
+@query
+def stored_upsert_by_range(spark, sf_dir):
+    store = _store(spark)
+    recent = TableSpec("events", ("event_id",), incremental=True, updated_at="ts", id_range=2000)
+    store.upsert(RAW, recent, fx.event_base(spark, sf_dir))
+    store.upsert(RAW, recent, fx.event_batch(spark, sf_dir))
+    return _events_shown(store.read(RAW, "events"))
+
+
+@query
+def stored_upsert_composite(spark, sf_dir):
+    store = _store(spark)
+    store.upsert(RAW, TURNS, fx.turn_base(spark, sf_dir))
+    store.upsert(RAW, TURNS, fx.turn_batch(spark, sf_dir))
+    return store.read(RAW, "conversations")
+
+
+def _migration_source(spark, sf_dir, wave):
+    """The test tables as an operational source; rows are stamped as of their migration."""
+
+    def read(name):
+        if name == "customer":
+            return fx.customer_snapshot(spark, sf_dir, wave)
+        if name == "orders":
+            stamped = F.expr("o_orderdate + interval 10 years").alias("updated_at")
+            return fx.order_rows(spark, sf_dir).select("*", stamped)
+        if name == "events":
+            return fx.custody(spark, sf_dir).withColumnRenamed("ts", "updated_at")
+        return fx.table(spark, sf_dir, name)
+
+    return read
+
+
+MIGRATED = [
+    TableSpec("nation", ("n_nationkey",)),
+    TableSpec("supplier", ("s_suppkey",)),
+    TableSpec("customer", ("c_custkey",), natural_key="code"),
+    TableSpec("orders", ("o_orderkey",), incremental=True),
+    TableSpec("events", ("event_id",), incremental=True),
+]
+MIGRATED_STAR = Star(
+    versioned=(
+        VersionedDim("dim_customer", "customer", "customer_key", "code", "c_custkey", tuple(fx.CUSTOMER_TRACKED)),
+    ),
+    current=(
+        CurrentDim("dim_nation", "nation", "nation_key", "n_nationkey"),
+        CurrentDim("dim_node", "supplier", "node_key", "s_suppkey"),
+    ),
+    facts=(
+        facts.FactSpec(
+            name="fact_orders",
+            source="orders",
+            id_col="o_orderkey",
+            sk_col="order_sk",
+            date_col="o_orderdate",
+            columns=("order_sk", "customer_key", "date_key", "o_totalprice", "o_orderpriority"),
+            versioned=(facts.VersionedRef("dim_customer", "customer_key", "c_custkey", "o_custkey"),),
+        ),
+        facts.FactSpec(
+            name="fact_moves",
+            source="events",
+            id_col="event_id",
+            sk_col="event_sk",
+            date_col="updated_at",
+            columns=("event_sk", "batch_id", "from_node_key", "to_node_key", "date_key", "event_type", "quantity"),
+            current=MOVES.current,
+        ),
+    ),
+)
+
+
+def _migrated(spark, sf_dir):
+    store = _store(spark)
+    run_job(store, _migration_source(spark, sf_dir, 1), MIGRATED, MIGRATED_STAR, as_of=fx.SECOND_WAVE, run_id="run-1")
+    run_job(store, _migration_source(spark, sf_dir, 2), MIGRATED, MIGRATED_STAR, as_of=fx.SECOND_WAVE, run_id="run-2")
+    return store
+
+
+@query
+def registry_load_counts(spark, sf_dir):
+    store, source = _store(spark), _migration_source(spark, sf_dir, 2)
+    first = load.run(store, source, MIGRATED).withColumn("run", F.lit(1))
+    return first.unionByName(load.run(store, source, MIGRATED).withColumn("run", F.lit(2)))
+
+
+@query
+def job_fact(spark, sf_dir):
+    fact = _migrated(spark, sf_dir).read(ANALYTICS, "fact_orders")
+    return fact.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+
+
+@query
+def audit_log(spark, sf_dir):
+    store = _migrated(spark, sf_dir)
+    checks = store.audit("validation_results").groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("n_checks"), F.count_if("passed").alias("n_passed")
+    )
+    steps = store.audit("pipeline_runs").select("run_id", "step", "status")
+    return steps.join(checks, "run_id")
+
+
+@query
+def export_roundtrip(spark, sf_dir):
+    location = fresh_path(spark, "exports")
+    tables = {"orders": fx.order_rows(spark, sf_dir), "lineitem": fx.table(spark, sf_dir, "lineitem")}
+    pairs = []
+    for name, df in tables.items():
+        path = export.write_export(df, location, name, fx.USAGES[name])
+        pairs.append(reconcile.Pair(name, df, spark.read.schema(df.schema).parquet(path)))
+    return reconcile.compare(pairs).select("table_name", "check_type", "passed")
+
+
+@query
+def stream_upsert(spark, sf_dir):
+    store, landing = _store(spark), fresh_path(spark, "landing")
+    base, batch = fx.event_base(spark, sf_dir), fx.event_batch(spark, sf_dir)
+    for rows in (base, batch):
+        rows.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(base.schema).parquet(landing)
+        upsert_stream(stream, store, RAW, EVENTS, f"{landing}-checkpoint").awaitTermination()
+    return _events_shown(store.read(RAW, "events"))

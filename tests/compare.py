@@ -22,6 +22,7 @@ def local_session() -> SparkSession:
     return (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
