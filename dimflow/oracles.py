@@ -431,8 +431,8 @@ select o_orderkey as order_sk, k as customer_key, cast(strftime(o_orderdate, '%Y
        cast(cast(o_totalprice as decimal(18,2)) as double) as o_totalprice, o_orderpriority
 from orders left join d2 on o_custkey = c_custkey and o_orderdate >= vf and o_orderdate < vt"""
 ORACLES["audit_log"] = """
-select run_id, step, 'SUCCESS' as status, 10 as n_checks, 10 as n_passed
-from (values ('run-1'), ('run-2')) r(run_id), (values ('extract'), ('transform'), ('validate')) s(step)"""
+select run_id, step, status, n_checks, n_checks as n_passed
+from (values ('run-1', 'SUCCESS', 10), ('run-2', 'DRY_RUN', null)) r(run_id, status, n_checks), (values ('extract'), ('transform'), ('validate')) s(step)"""
 ORACLES["export_roundtrip"] = """
 select table_name, check_type, true as passed
 from (values ('orders'), ('lineitem')) t(table_name), (values ('row_count'), ('row_hash')) c(check_type)"""

@@ -8,10 +8,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark.sql import functions as F
+
 from dimflow.operators.reconcile import Pair, all_passed, report
 from dimflow.plans.star import Star, build_star
 from dimflow.registry import TableSpec
-from dimflow.session import configure, materialise
+from dimflow.session import configure
 from dimflow.sources import load
 from dimflow.sources.readers import Source
 from dimflow.sources.store import AUDIT_TABLES, RAW, Store
@@ -87,9 +89,8 @@ def run_job(
 def reconcile(store: Store, source: Source, specs: list[TableSpec], run_id: str) -> bool:
     """Compare every raw table with its source, keep the result in the audit, tell whether all agree."""
     pairs = [Pair(spec.name, source(spec.name), store.read(RAW, spec.name)) for spec in specs]
-    checks = materialise(report(pairs, run_id), "checks")
-    store.append("validation_results", checks)
-    return all_passed(checks).first().all_passed
+    store.append("validation_results", report(pairs, run_id))
+    return all_passed(store.audit("validation_results").where(F.col("run_id") == run_id)).first().all_passed
 
 
 def _log(store: Store, run_id: str, step: str, start: datetime, status: str, error: str | None) -> None:

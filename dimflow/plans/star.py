@@ -11,6 +11,7 @@ from dimflow.operators.dimensions import current_state, date_dimension, effectiv
 from dimflow.operators.facts import FactSpec, build_fact, row_counts
 from dimflow.operators.pointintime import entity_versions
 from dimflow.operators.versioned import apply_snapshot
+from dimflow.session import side_by_side
 from dimflow.sources.store import ANALYTICS, RAW, Store
 
 
@@ -57,25 +58,35 @@ def build_star(store: Store, star: Star, as_of: str) -> DataFrame:
         name: store.read(RAW, name)
         for name in {d.source for d in (*star.versioned, *star.current)} | {f.source for f in star.facts}
     }
-    built = {dim.name: _extend(store, dim, raw[dim.source], as_of) for dim in star.versioned}
-    for dim in star.current:
+
+    def build_dim(dim: VersionedDim | CurrentDim) -> DataFrame:
+        if isinstance(dim, VersionedDim):
+            return _extend(store, dim, raw[dim.source], as_of)
         make = effective_dated if dim.effective else current_state
-        built[dim.name] = store.replace(ANALYTICS, dim.name, make(raw[dim.source], dim.key_col, [dim.id_col]))
-    sources = [raw[f.source] for f in star.facts]
-    calendar = date_dimension([F.col(f.date_col) for f in star.facts], sources)
-    built[star.calendar] = store.replace(ANALYTICS, star.calendar, calendar)
+        return store.replace(ANALYTICS, dim.name, make(raw[dim.source], dim.key_col, [dim.id_col]))
+
+    def build_calendar(name: str) -> DataFrame:
+        dates = [F.col(f.date_col) for f in star.facts]
+        return store.replace(ANALYTICS, name, date_dimension(dates, [raw[f.source] for f in star.facts]))
+
+    dims = (*star.versioned, *star.current)
+    work = [(build_dim, dim) for dim in dims] + [(build_calendar, star.calendar)]
+    *frames, _ = side_by_side(store.spark, lambda job: job[0](job[1]), work)
+    built = {dim.name: frame for dim, frame in zip(dims, frames, strict=True)}
     versions = {
         dim.name: entity_versions(raw[dim.source], built[dim.name], dim.id_col, dim.key_col, dim.natural_key)
         for dim in star.versioned
     }
-    for fact in star.facts:
-        rows = build_fact(raw[fact.source], fact, versions, built)
-        built[fact.name] = store.replace(ANALYTICS, fact.name, rows)
-    return row_counts({name: df for name, df in built.items() if name != star.calendar})
+    facts = side_by_side(
+        store.spark,
+        lambda f: store.replace(ANALYTICS, f.name, build_fact(raw[f.source], f, versions, built)),
+        star.facts,
+    )
+    return row_counts(built | {f.name: frame for f, frame in zip(star.facts, facts, strict=True)})
 
 
 def _extend(store: Store, dim: VersionedDim, snapshot: DataFrame, as_of: str) -> DataFrame:
-    known = store.read(ANALYTICS, dim.name) if store.exists(ANALYTICS, dim.name) else None
+    known = store.find(ANALYTICS, dim.name)
     wave = apply_snapshot(
         known, snapshot, dim.key_col, dim.natural_key, list(dim.tracked), as_of, order_by=[dim.id_col]
     )

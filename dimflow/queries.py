@@ -658,12 +658,14 @@ def job_fact(spark, sf_dir):
 
 @query
 def audit_log(spark, sf_dir):
-    store = _migrated(spark, sf_dir)
+    store, source = _store(spark), _migration_source(spark, sf_dir, 1)
+    run_job(store, source, MIGRATED, MIGRATED_STAR, as_of=fx.SECOND_WAVE, run_id="run-1")
+    run_job(store, source, MIGRATED, MIGRATED_STAR, dry_run=True, run_id="run-2")
     checks = store.audit("validation_results").groupBy("run_id").agg(
         F.count(F.lit(1)).alias("n_checks"), F.count_if("passed").alias("n_passed")
     )
     steps = store.audit("pipeline_runs").select("run_id", "step", "status")
-    return steps.join(checks, "run_id")
+    return steps.join(checks, "run_id", "left")
 
 
 @query

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Item = TypeVar("Item")
+Result = TypeVar("Result")
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -24,6 +31,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def side_by_side(
+    spark: SparkSession, work: Callable[[Item], Result], items: Iterable[Item], threads: int = 8
+) -> list[Result]:
+    """Run independent Spark jobs at the same time, so that small tables fill the gaps big ones leave."""
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from dimflow.functions.calendar import LOAD_EPOCH
 from dimflow.operators.highwater import past_mark
 from dimflow.registry import TableSpec
+from dimflow.session import side_by_side
 from dimflow.sources.readers import Source
 from dimflow.sources.store import RAW, Store
 
@@ -27,11 +28,11 @@ def load_replaced(store: Store, source: Source, spec: TableSpec) -> int:
 
 
 def run(store: Store, source: Source, specs: list[TableSpec]) -> DataFrame:
-    """Load every declared table, and return what was loaded how."""
-    rows = []
-    for spec in specs:
+    """Load every declared table, side by side, and return what was loaded how."""
+
+    def load(spec: TableSpec) -> tuple[str, str, int]:
         if spec.incremental:
-            rows.append((spec.name, "incremental", load_incremental(store, source, spec)))
-        else:
-            rows.append((spec.name, "replace", load_replaced(store, source, spec)))
-    return store.spark.createDataFrame(rows, LOADED)
+            return spec.name, "incremental", load_incremental(store, source, spec)
+        return spec.name, "replace", load_replaced(store, source, spec)
+
+    return store.spark.createDataFrame(side_by_side(store.spark, load, specs), LOADED)

@@ -30,12 +30,14 @@ AUDIT_TABLES = {
     "validation_results": "run_id string, table_name string, check_type string, source_value string, "
     "target_value string, passed boolean, checked_at timestamp_ntz",
 }
-_WHOLE = -1  # the one "bucket" of a table that is only ever replaced whole
 
 
 @dataclass(frozen=True)
 class Commit:
-    """The state of a table: its generation, the generation each bucket lives in, schema and mark."""
+    """The state of a table: its generation, the generation each bucket lives in, schema and mark.
+
+    A table replaced whole has no buckets; all of it lives in the latest generation.
+    """
 
     generation: int
     live: dict[int, int]
@@ -64,12 +66,17 @@ class Store:
     def exists(self, layer: str, table: str) -> bool:
         return self.commit(layer, table) is not None
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        """The table as last committed."""
+    def find(self, layer: str, table: str) -> DataFrame | None:
+        """The table as last committed, None before that."""
         commit = self.commit(layer, table)
-        if commit is None:
+        return None if commit is None else self._at(layer, table, commit)
+
+    def read(self, layer: str, table: str) -> DataFrame:
+        """The table as last committed; an error before that."""
+        found = self.find(layer, table)
+        if found is None:
             raise LookupError(f"{layer}.{table} has not been written yet")
-        return self._at(layer, table, commit, commit.live)
+        return found
 
     def marks(self, layer: str, tables: list[str]) -> DataFrame:
         """The high-water marks of the tables loaded so far."""
@@ -82,10 +89,11 @@ class Store:
         log = _existing(self.spark, self._log(layer, table), COMMITS)
         if log is None:
             return []
-        commit = self.commit(layer, table)
-        pairs = log.select(F.explode("live").alias("bucket", "generation")).distinct()
-        used = {(r.bucket, r.generation) for r in pairs.collect()} - set(commit.live.items())
-        return sorted(self._directory(layer, table, g, b) for b, g in used)
+        places = log.select(F.explode_outer("live").alias("bucket", "at"), "generation").select(
+            "bucket", F.coalesce("at", "generation").alias("at")
+        )
+        used = {self._directory(layer, table, r.at, r.bucket) for r in places.distinct().collect()}
+        return sorted(used - set(self._directories(layer, table, self.commit(layer, table))))
 
     # --- writing ---
 
@@ -94,7 +102,7 @@ class Store:
         commit = self.commit(layer, table)
         generation = commit.generation + 1 if commit else 0
         df.write.mode("overwrite").parquet(self._generation(layer, table, generation))
-        return self._commit(layer, table, Commit(generation, {_WHOLE: generation}, df.schema, None))
+        return self._commit(layer, table, Commit(generation, {}, df.schema, None))
 
     def upsert(self, layer: str, spec: TableSpec, batch: DataFrame) -> int:
         """Replace the rows that share a key with the batch by the batch's, and advance the mark.
@@ -117,9 +125,12 @@ class Store:
         rows = staged
         if commit:
             same_columns(commit.schema, batch.schema)
+            if not commit.live:
+                raise ValueError(f"{layer}.{spec.name} is replaced whole, it has no buckets to upsert into")
             touched = {b: g for b, g in commit.live.items() if b in facts.touched}
             if touched:
-                base = self._at(layer, spec.name, commit, touched).withColumn("_b", _bucket(spec))
+                old = Commit(commit.generation, touched, commit.schema, commit.mark)
+                base = self._at(layer, spec.name, old).withColumn("_b", _bucket(spec))
                 rows = replace_keys(base, staged, list(spec.keys))
         generation = commit.generation + 1 if commit else 0
         # Rebalancing makes files of even size; a bucket too large for one task is split.
@@ -150,21 +161,22 @@ class Store:
     def _generation(self, layer: str, table: str, generation: int) -> str:
         return f"{self.root}/{layer}/{table}/gen={generation}"
 
-    def _directory(self, layer: str, table: str, generation: int, bucket: int) -> str:
+    def _directory(self, layer: str, table: str, generation: int, bucket: int | None) -> str:
         path = self._generation(layer, table, generation)
-        return path if bucket == _WHOLE else f"{path}/_b={bucket}"
+        return path if bucket is None else f"{path}/_b={bucket}"
+
+    def _directories(self, layer: str, table: str, commit: Commit) -> list[str]:
+        places = sorted(commit.live.items()) or [(None, commit.generation)]
+        return [self._directory(layer, table, generation, bucket) for bucket, generation in places]
 
-    def _at(self, layer: str, table: str, commit: Commit, live: dict[int, int]) -> DataFrame:
-        if not live:
-            return self.spark.createDataFrame([], commit.schema)
-        paths = [self._directory(layer, table, g, b) for b, g in sorted(live.items())]
-        return self.spark.read.schema(commit.schema).parquet(*paths)
+    def _at(self, layer: str, table: str, commit: Commit) -> DataFrame:
+        return self.spark.read.schema(commit.schema).parquet(*self._directories(layer, table, commit))
 
     def _commit(self, layer: str, table: str, commit: Commit) -> DataFrame:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         row = (commit.generation, _ddl(commit.schema), commit.live, commit.mark, now)
         self.spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(self._log(layer, table))
-        return self._at(layer, table, commit, commit.live)
+        return self._at(layer, table, commit)
 
 
 def _ddl(schema: T.StructType) -> str:

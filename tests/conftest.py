@@ -1,0 +1,46 @@
+from __future__ import annotations
+
+import contextlib
+import io
+
+import pytest
+from pyspark.sql import DataFrame, SparkSession
+
+from dimflow.session import configure
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory) -> SparkSession:
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("dimflow-tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield configure(session)
+    session.stop()
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    from dimflow.sources.store import Store
+
+    return Store(spark, str(tmp_path / "warehouse"))
+
+
+def rows(df: DataFrame) -> list[tuple]:
+    """The rows of a small result as sorted tuples, NULL first."""
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is not None, v) for v in r])
+
+
+def plan(df: DataFrame) -> str:
+    """The formatted physical plan."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()

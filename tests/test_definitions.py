@@ -1,0 +1,50 @@
+from __future__ import annotations
+
+from dimflow.harvest import USAGES
+from dimflow.plans.definitions import column_profile, create_tables, load_statement
+from dimflow.plans.layout import Usage
+from tests.conftest import rows
+
+
+def test_definition_of_a_small_dimension(spark):
+    df = spark.sql(
+        "select cast(id as bigint) as crop_type_key, cast(id as int) as crop_type_id, "
+        "repeat('x', 20) as crop_name, 'kg' as unit_of_measure from range(8)"
+    )
+    row = create_tables({"dim_crop_type": df}, USAGES).first()
+    assert row.create_table == (
+        "CREATE TABLE analytics.dim_crop_type (\n    crop_type_key BIGINT,\n    crop_type_id INTEGER,\n"
+        "    crop_name VARCHAR(40),\n    unit_of_measure VARCHAR(16)\n)\nDISTSTYLE ALL;\n"
+    )
+
+
+def test_definitions_of_several_tables_carry_their_clauses(spark):
+    fact = spark.sql("select id as k, current_date() as d, 'x' as s from range(10)")
+    usages = {"fact": Usage(("k",), "d", ("s",)), "dim_x": Usage(("k",), None, ("k", "d", "s"))}
+    found = dict(rows(create_tables({"fact": fact, "dim_x": fact}, usages, schema="mart")))
+    assert found["fact"].endswith(")\nDISTKEY(k)\nCOMPOUND SORTKEY(d, s);\n")
+    assert found["dim_x"].startswith("CREATE TABLE mart.dim_x (")
+    assert found["dim_x"].endswith(")\nDISTSTYLE ALL\nINTERLEAVED SORTKEY(k, d, s);\n")
+
+
+def test_types_of_every_kind(spark):
+    df = spark.sql(
+        "select 1D as f, true as b, date'2026-01-01' as d, timestamp_ntz'2026-01-01' as t, "
+        "cast(1 as decimal(10,2)) as m, cast(1 as smallint) as o, cast(null as string) as s"
+    )
+    assert [(r.position, r.target_type) for r in column_profile(df, "t").collect()] == [
+        (1, "DOUBLE PRECISION"), (2, "BOOLEAN"), (3, "DATE"), (4, "TIMESTAMP"), (5, "DECIMAL(10,2)"),
+        (6, "SMALLINT"), (7, "VARCHAR(16)"),
+    ]
+
+
+def test_text_of_an_empty_table_gets_the_least_width(spark):
+    df = spark.sql("select 'long enough to count' as s").where("s = ''")
+    assert column_profile(df, "t").first().target_type == "VARCHAR(16)"
+
+
+def test_load_statement_names_place_and_role():
+    text = load_statement("fact", "s3://bucket/exports/analytics/", "some-role")
+    assert text == (
+        "COPY analytics.fact\nFROM 's3://bucket/exports/analytics/fact/'\nIAM_ROLE 'some-role'\nFORMAT AS PARQUET;\n"
+    )
