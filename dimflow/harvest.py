@@ -7,7 +7,7 @@ from dimflow.plans.layout import Usage
 from dimflow.plans.star import CurrentDim, Star, VersionedDim
 from dimflow.registry import TableSpec
 
-# The source tables with their types, keys and load modes.
+# The source tables with their types, and below their keys and load modes.
 SCHEMAS = {
     "regions": "region_id int, region_name string, region_level string, parent_region_id int",
     "crop_types": "crop_type_id int, crop_name string, crop_category string, unit_of_measure string",
@@ -34,6 +34,10 @@ SCHEMAS = {
     "certification_type string, certificate_number string, issued_date date, expiry_date date, "
     "status string, updated_at timestamp_ntz",
 }
+
+# Ids of the growing tables per bucket: a load of recent activity rewrites the last buckets only.
+ID_RANGE = 50_000_000
+
 TABLES = [
     TableSpec("regions", ("region_id",)),
     TableSpec("crop_types", ("crop_type_id",)),
@@ -41,9 +45,15 @@ TABLES = [
     TableSpec("supply_chain_nodes", ("node_id",)),
     TableSpec("farmers", ("farmer_id",), incremental=True, natural_key="farmer_code"),
     TableSpec("farm_plots", ("plot_id",), incremental=True, natural_key="plot_code"),
-    TableSpec("harvest_transactions", ("transaction_id",), incremental=True),
-    TableSpec("custody_events", ("event_id",), incremental=True),
-    TableSpec("batch_transactions", ("batch_id", "transaction_id"), incremental=True),
+    TableSpec("harvest_transactions", ("transaction_id",), incremental=True, id_range=ID_RANGE),
+    TableSpec("custody_events", ("event_id",), incremental=True, id_range=ID_RANGE),
+    TableSpec(
+        "batch_transactions",
+        ("batch_id", "transaction_id"),
+        incremental=True,
+        id_range=ID_RANGE,
+        range_key="transaction_id",
+    ),
     TableSpec("certifications", ("certification_id",), incremental=True, natural_key="certificate_number"),
 ]
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.session import materialise
@@ -12,17 +14,18 @@ _ROW_BITS = 33  # monotonically_increasing_id() keeps the row within its partiti
 
 
 def dense_keys(
-    df: DataFrame,
-    key_col: str,
-    order_by: list[str | Column],
-    start_after: Column | None = None,
+    df: DataFrame, key_col: str, order_by: list[str | Column], start_after: int = 0
 ) -> DataFrame:
     """Prepend ``key_col``: 1..n in the order of ``order_by``, or continuing after ``start_after``.
 
     The rows are range-partitioned and sorted, each gets its partition and place in it, and the
     result is written once, which fixes the numbering whatever is recomputed later. A key is then
-    the place plus the number of rows in the partitions before. Give a unique ``order_by``: equal
-    rows cannot be spread over partitions, and their order among themselves is open.
+    the place plus the number of rows in the partitions before; those numbers, one per partition
+    whatever the number of rows, are all that reaches the driver. What comes back is a projection of
+    the written rows, cheap to read more than once.
+
+    Give a unique ``order_by``: equal rows cannot be spread over partitions, and their order among
+    themselves is open.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     placed = materialise(
@@ -31,20 +34,15 @@ def dense_keys(
         .withColumn(_POSITION, F.monotonically_increasing_id()),
         "ordered",
     )
-    part = F.shiftright(F.col(_POSITION), _ROW_BITS)
-    # One row per write task: the window below never sees more rows than there are partitions.
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    partition = F.shiftright(F.col(_POSITION), _ROW_BITS).cast("int")
+    sizes = dict(placed.groupBy(partition).count().collect())
+    last = max(sizes, default=0)
+    before = accumulate((sizes.get(p, 0) for p in range(last)), initial=start_after)
+    offsets = F.expr(f"array({', '.join(f'{n}L' for n in before)})")
     place = F.col(_POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1
-    key = F.col("_before") + place
-    if start_after is not None:
-        key = F.coalesce(start_after, F.lit(0)) + key
-    return placed.join(F.broadcast(offsets), part == F.col("_part")).select(
-        key.cast("bigint").alias(key_col), *[F.col(f"`{c}`") for c in df.columns]
-    )
+    return placed.select((F.get(offsets, partition) + place).alias(key_col), *[F.col(f"`{c}`") for c in df.columns])
 
 
-def last_key(df: DataFrame, key_col: str) -> Column:
-    """The greatest key in use, as a scalar subquery."""
-    return df.agg(F.max(key_col).alias("_last")).scalar()
+def last_key(df: DataFrame, key_col: str) -> int:
+    """The greatest key in use, 0 when there is none."""
+    return df.agg(F.coalesce(F.max(key_col), F.lit(0))).first()[0]

@@ -11,12 +11,13 @@ from dimflow.functions.calendar import batch_id
 def assemble(transactions: DataFrame, node: str, at: str, quantity: str) -> DataFrame:
     """One row per node and Monday-to-Sunday week: the total quantity and the last transaction.
 
-    The quantity should be a decimal: its sum is then exact and independent of order.
+    The quantity should be a decimal: its sum is then exact and independent of order. Groups are told
+    apart by node and Monday; the identifier is made afterwards, once per batch.
     """
     return (
-        transactions.groupBy(F.col(node), batch_id(node, at).alias("batch_id"))
+        transactions.groupBy(F.col(node), F.trunc(at, "week").alias("_monday"))
         .agg(F.sum(quantity).alias("total_quantity"), F.max(at).alias("last_transaction_at"))
-        .select("batch_id", node, "total_quantity", "last_transaction_at")
+        .select(batch_id(node, "_monday").alias("batch_id"), node, "total_quantity", "last_transaction_at")
     )
 
 

@@ -194,12 +194,10 @@ def _sorts() -> str:
 
 LAYOUT = f"""
 with card as ({_cardinality()}),
-best as (select table_name, max(row_count) row_count,
-                arg_max(column_name, ratio * 1000 - position) filter (where ratio > 0) as name
-         from (select *, row_number() over (partition by table_name order by ratio desc, position) r from card)
-         where r = 1 group by table_name),
-pick as (select b.table_name, b.row_count, c.column_name, c.ratio
-         from best b left join card c on b.table_name = c.table_name and b.name = c.column_name),
+ranked as (select *, row_number() over (partition by table_name order by ratio desc, position) r from card),
+pick as (select table_name, row_count, case when ratio > 0 then column_name end as column_name,
+                case when ratio > 0 then ratio end as ratio
+         from ranked where r = 1),
 dist as (select table_name, row_count,
                 case when table_name like 'dim\\_%' escape '\\' and row_count <= 5000 then 'ALL'
                      when ratio >= 0.05 then 'KEY' else 'EVEN' end as diststyle,

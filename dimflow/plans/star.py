@@ -11,7 +11,7 @@ from dimflow.operators.dimensions import current_state, date_dimension, effectiv
 from dimflow.operators.facts import FactSpec, build_fact, row_counts
 from dimflow.operators.pointintime import entity_versions
 from dimflow.operators.versioned import apply_snapshot
-from dimflow.session import side_by_side
+from dimflow.session import materialise, side_by_side
 from dimflow.sources.store import ANALYTICS, RAW, Store
 
 
@@ -73,10 +73,15 @@ def build_star(store: Store, star: Star, as_of: str) -> DataFrame:
     work = [(build_dim, dim) for dim in dims] + [(build_calendar, star.calendar)]
     *frames, _ = side_by_side(store.spark, lambda job: job[0](job[1]), work)
     built = {dim.name: frame for dim, frame in zip(dims, frames, strict=True)}
-    versions = {
-        dim.name: entity_versions(raw[dim.source], built[dim.name], dim.id_col, dim.key_col, dim.natural_key)
-        for dim in star.versioned
-    }
+
+    def versions_of(dim: VersionedDim) -> DataFrame:
+        rows = entity_versions(raw[dim.source], built[dim.name], dim.id_col, dim.key_col, dim.natural_key)
+        return materialise(rows, "versions")
+
+    # Written, their sizes are known: facts are shuffled only for dimensions too large to broadcast.
+    versions = dict(
+        zip([d.name for d in star.versioned], side_by_side(store.spark, versions_of, star.versioned), strict=True)
+    )
     facts = side_by_side(
         store.spark,
         lambda f: store.replace(ANALYTICS, f.name, build_fact(raw[f.source], f, versions, built)),

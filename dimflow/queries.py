@@ -16,7 +16,7 @@ from dimflow.plans import definitions, layout
 from dimflow.plans.job import run_job
 from dimflow.plans.star import CurrentDim, Star, VersionedDim
 from dimflow.registry import TableSpec
-from dimflow.session import configure, fresh_path
+from dimflow.session import configure, fresh_path, materialise, side_by_side
 from dimflow.sources import export, load
 from dimflow.sources.store import ANALYTICS, RAW, Store
 from dimflow.streaming import upsert_stream
@@ -235,24 +235,24 @@ def dim_date(spark, sf_dir):
 
 
 def _orders_resolved(spark, sf_dir, upto):
-    dim = fx.customer_waves(spark, sf_dir, upto)[-1].dim
+    dim = fx.customer_dimension(spark, sf_dir, upto)
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return dim, pointintime.resolve(orders, dim, "customer_key", "code", "o_custkey", "o_orderdate")
+    return pointintime.resolve(orders, dim, "customer_key", "code", "o_custkey", "o_orderdate")
 
 
 @query
 def pit_join(spark, sf_dir):
-    return _orders_resolved(spark, sf_dir, 2)[1].withColumn("o_orderdate", day("o_orderdate"))
+    return _orders_resolved(spark, sf_dir, 2).withColumn("o_orderdate", day("o_orderdate"))
 
 
 @query
 def pit_three_versions(spark, sf_dir):
-    return _orders_resolved(spark, sf_dir, 3)[1].withColumn("o_orderdate", day("o_orderdate"))
+    return _orders_resolved(spark, sf_dir, 3).withColumn("o_orderdate", day("o_orderdate"))
 
 
 @query
 def pit_deep_history(spark, sf_dir):
-    dim = fx.customer_waves(spark, sf_dir, 3)[-1].dim
+    dim = fx.customer_dimension(spark, sf_dir, 3)
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     found = pointintime.resolve_deep(
         orders, dim, "customer_key", "code", "o_custkey", "o_orderdate", deep=1, cell="month"
@@ -262,7 +262,7 @@ def pit_deep_history(spark, sf_dir):
 
 @query
 def pit_coverage(spark, sf_dir):
-    resolved = _orders_resolved(spark, sf_dir, 3)[1].withColumn("year", F.year("o_orderdate"))
+    resolved = _orders_resolved(spark, sf_dir, 3).withColumn("year", F.year("o_orderdate"))
     return pointintime.coverage(resolved, "customer_key", ["year"])
 
 
@@ -305,20 +305,26 @@ def _node_dim(spark, sf_dir):
 
 
 def _fact_sales(spark, sf_dir):
-    customers = fx.customer_waves(spark, sf_dir, 2)[-1].dim
-    parts = fx.part_dimension(spark, sf_dir)
-    customer_ids, part_ids = fx.customer_snapshot(spark, sf_dir, 2), fx.part_snapshot(spark, sf_dir, 2)
-    versions = {
-        "dim_customer": pointintime.entity_versions(
-            customer_ids, customers, "c_custkey", "customer_key", "code"
-        ),
-        "dim_part": pointintime.entity_versions(part_ids, parts, "p_partkey", "part_key", "part_code"),
-    }
     types = fx.table(spark, sf_dir, "part").select("p_type").distinct()
-    dims = {
-        "dim_type": dimensions.current_state(types, "type_key", ["p_type"]),
-        "dim_node": _node_dim(spark, sf_dir),
-    }
+    customers, parts, type_dim, node_dim = side_by_side(
+        spark,
+        lambda build: build(),
+        [
+            lambda: fx.customer_dimension(spark, sf_dir, 2),
+            lambda: fx.part_dimension(spark, sf_dir),
+            lambda: dimensions.current_state(types, "type_key", ["p_type"]),
+            lambda: _node_dim(spark, sf_dir),
+        ],
+    )
+    customer_ids, part_ids = fx.customer_snapshot(spark, sf_dir, 2), fx.part_snapshot(spark, sf_dir, 2)
+    lookups = [
+        pointintime.entity_versions(customer_ids, customers, "c_custkey", "customer_key", "code"),
+        pointintime.entity_versions(part_ids, parts, "p_partkey", "part_key", "part_code"),
+    ]
+    versions = dict(
+        zip(("dim_customer", "dim_part"), side_by_side(spark, lambda v: materialise(v, "versions"), lookups))
+    )
+    dims = {"dim_type": type_dim, "dim_node": node_dim}
     return facts.build_fact(fx.sales(spark, sf_dir), SALES, versions, dims), customers, parts
 
 

@@ -11,8 +11,9 @@ class TableSpec:
 
     ``incremental`` tables are pulled past their high-water mark and upserted on ``keys``; the others
     are replaced whole. ``buckets`` is the number of hash buckets the stored table is split into, the
-    unit an upsert rewrites. ``id_range`` buckets by ``floor(key / id_range)`` instead, so that a
-    batch of recent ids touches only the newest buckets; it needs one integer key.
+    unit an upsert rewrites. ``id_range`` buckets by ``floor(id / id_range)`` instead, so that a batch
+    of recent ids touches only the newest buckets: the choice for large tables whose ids grow. The id is
+    ``range_key``, one of the keys, which must be an integer; it need not be named if there is one key.
     """
 
     name: str
@@ -22,12 +23,17 @@ class TableSpec:
     updated_at: str = "updated_at"
     buckets: int = 8
     id_range: int | None = None
+    range_key: str | None = None
 
     def __post_init__(self) -> None:
         if not self.keys:
             raise ValueError(f"{self.name}: a table needs at least one key column")
-        if self.id_range is not None and len(self.keys) != 1:
-            raise ValueError(f"{self.name}: id_range needs exactly one key column")
+        if self.id_range is not None and self.range_key is None:
+            if len(self.keys) != 1:
+                raise ValueError(f"{self.name}: name the range_key among the keys")
+            object.__setattr__(self, "range_key", self.keys[0])
+        if self.range_key is not None and self.range_key not in self.keys:
+            raise ValueError(f"{self.name}: range_key must be one of the keys")
         if self.buckets < 1:
             raise ValueError(f"{self.name}: buckets must be positive")
 

@@ -186,7 +186,7 @@ def _ddl(schema: T.StructType) -> str:
 def _bucket(spec: TableSpec) -> Column:
     if spec.id_range is None:
         return hash_bucket(list(spec.keys), spec.buckets)
-    key = spec.keys[0]
+    key = spec.range_key
     return F.expr(f"cast((`{key}` - pmod(`{key}`, {spec.id_range})) div {spec.id_range} as int)")
 
 

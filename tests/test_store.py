@@ -67,6 +67,14 @@ def test_only_touched_buckets_are_rewritten(spark, store):
     assert store.superseded(RAW, "widgets") == [f"{store.root}/raw/widgets/gen=0/_b=1"]
 
 
+def test_composite_keys_can_be_bucketed_by_one_of_their_ids(spark, store):
+    spec = TableSpec("links", ("name", "id"), incremental=True, id_range=10, range_key="id")
+    store.upsert(RAW, spec, frame(spark, (1, "a", D1), (11, "a", D1), (11, "b", D1)))
+    store.upsert(RAW, spec, frame(spark, (11, "b", D2)))
+    assert store.commit(RAW, "links").live == {0: 0, 1: 1}
+    assert rows(store.read(RAW, "links")) == [(1, "a", D1), (11, "a", D1), (11, "b", D2)]
+
+
 def test_write_that_never_committed_leaves_the_table_as_it_was(spark, store):
     store.upsert(RAW, SPEC, frame(spark, (1, "a", D1)))
     frame(spark, (9, "half written", D3)).write.parquet(f"{store.root}/raw/widgets/gen=1/_b=0")
@@ -108,8 +116,11 @@ def test_registry_drives_the_load(spark, store, tmp_path):
 def test_specs_are_checked():
     with pytest.raises(ValueError, match="at least one key"):
         TableSpec("t", ())
-    with pytest.raises(ValueError, match="exactly one key"):
+    with pytest.raises(ValueError, match="name the range_key"):
         TableSpec("t", ("a", "b"), id_range=10)
+    with pytest.raises(ValueError, match="one of the keys"):
+        TableSpec("t", ("a", "b"), id_range=10, range_key="c")
+    assert TableSpec("t", ("a",), id_range=10).range_key == "a"
     with pytest.raises(ValueError, match="twice"):
         by_name([SPEC, SPEC])
     assert by_name([SPEC]) == {"widgets": SPEC}
