@@ -3,22 +3,27 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions.calendar import date_key
-from dimflow.operators.pointintime import resolve
+from dimflow.operators.pointintime import resolve, resolve_deep
 
 
 @dataclass(frozen=True)
 class VersionedRef:
-    """A reference by source id to a versioned dimension, resolved at the fact's date."""
+    """A reference by source id to a versioned dimension, resolved at the fact's date.
+
+    Set ``deep`` where some entities have more versions than that (see ``pointintime.resolve_deep``).
+    """
 
     dim: str
     key_col: str
     dim_id: str
     fact_id: str
+    deep: int | None = None
 
 
 @dataclass(frozen=True)
@@ -63,9 +68,8 @@ def build_fact(
     needed |= {r.fact_id for r in spec.current} | (set(spec.columns) & set(rows.columns))
     fact = rows.select(*[c for c in rows.columns if c in needed])
     for ref in spec.versioned:
-        fact = resolve(
-            fact, versions[ref.dim], ref.key_col, ref.dim_id, ref.fact_id, spec.date_col
-        )
+        join = resolve if ref.deep is None else partial(resolve_deep, deep=ref.deep)
+        fact = join(fact, versions[ref.dim], ref.key_col, ref.dim_id, ref.fact_id, spec.date_col)
     for ref in spec.current:
         side = dims[ref.dim].select(
             F.col(ref.dim_id).alias("_dim_id"), F.col(ref.key_col).alias(ref.alias)

@@ -52,8 +52,13 @@ def resolve_deep(
     fact_date = F.col(fact_date) if isinstance(fact_date, str) else fact_date
     depth = side.groupBy(F.col("_key").alias("_depth_key")).agg(F.count(F.lit(1)).alias("_depth"))
     counted = side.join(depth, F.col("_key") == F.col("_depth_key")).drop("_depth_key")
-    first = facts.agg(F.min(fact_date).cast("timestamp_ntz").alias("lo")).scalar()
-    last = facts.agg(F.max(fact_date).cast("timestamp_ntz").alias("hi")).scalar()
+    span = facts.agg(
+        F.struct(
+            F.min(fact_date).cast("timestamp_ntz").alias("first"),
+            F.max(fact_date).cast("timestamp_ntz").alias("last"),
+        ).alias("span")
+    ).scalar()
+    first, last = span["first"], span["last"]
     shallow = counted.where(F.col("_depth") <= deep)
     cells = F.sequence(
         _cell(F.greatest("_from", first), cell),

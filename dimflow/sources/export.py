@@ -58,6 +58,5 @@ def write_export(df: DataFrame, location: str, table: str, usage: Usage) -> str:
 
 def write_statements(statements: DataFrame, location: str) -> None:
     """Write one text file per table definition, as ``<location>/table_name=<table>/``."""
-    statements.select("table_name", F.col("create_table").alias("value")).write.mode("overwrite").partitionBy(
-        "table_name"
-    ).text(location)
+    lines = F.rtrim(F.col("create_table"), F.lit("\n")).alias("value")  # the sink ends them itself
+    statements.select("table_name", lines).write.mode("overwrite").partitionBy("table_name").text(location)

@@ -48,3 +48,14 @@ def test_load_statement_names_place_and_role():
     assert text == (
         "COPY analytics.fact\nFROM 's3://bucket/exports/analytics/fact/'\nIAM_ROLE 'some-role'\nFORMAT AS PARQUET;\n"
     )
+
+
+def test_statements_are_written_one_file_per_table(spark, tmp_path):
+    from dimflow.sources.export import write_statements
+
+    dim = spark.range(3).toDF("k")
+    statements = create_tables({"dim_a": dim, "dim_b": dim}, {"dim_a": Usage(("k",)), "dim_b": Usage(("k",))})
+    write_statements(statements, str(tmp_path / "sql"))
+    back = spark.read.text(str(tmp_path / "sql"), wholetext=True)
+    found = {r.table_name: r.value for r in back.collect()}
+    assert found == {r.table_name: r.create_table for r in statements.collect()}

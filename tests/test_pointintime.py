@@ -90,3 +90,40 @@ def test_entity_versions_joins_ids_to_versions_of_their_code(spark):
 def test_coverage_counts_facts_and_hits(spark):
     resolved = spark.createDataFrame([("a", 1), ("a", None), ("b", 2)], "g string, k int")
     assert rows(pointintime.coverage(resolved, "k", ["g"])) == [("a", 2, 1), ("b", 1, 1)]
+
+
+def test_hot_key_is_split_in_a_shuffled_join(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        facts = spark.range(600_000).selectExpr(
+            "id as tx_id",
+            "cast(if(id % 3 = 0, 0, pmod(xxhash64(id), 5000)) as string) as code",
+            "timestamp_ntz'2026-01-01' + make_dt_interval(0, 0, 0, id) as tx_date",
+        )
+        half = "timestamp_ntz'2026-01-01' + make_dt_interval(0, 0, 0, 300000)"
+        dim = spark.range(10_000).selectExpr(
+            "id as x_key",
+            "cast(id div 2 as string) as code",
+            f"if(id % 2 = 0, timestamp_ntz'1900-01-01', {half}) as valid_from",
+            f"if(id % 2 = 0, {half}, timestamp_ntz'9999-12-31') as valid_to",
+        )
+        found = pointintime.resolve(facts, dim, "x_key", "code", "code", "tx_date")
+        # The fact ids take part, so that the whole row is shuffled.
+        total = found.selectExpr(
+            "count(*) as n", "sum(tx_id) as ids",
+            "count_if(x_key = 2 * cast(code as bigint) + if(tx_id >= 300000, 1, 0)) as right",
+        )
+        assert tuple(total.first()) == (600_000, 599_999 * 300_000, 600_000)
+        total.collect()
+        assert "skew=true" in plan(total)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
