@@ -43,18 +43,19 @@ TABLES = [
     TableSpec("crop_types", ("crop_type_id",)),
     TableSpec("field_agents", ("agent_id",)),
     TableSpec("supply_chain_nodes", ("node_id",)),
-    TableSpec("farmers", ("farmer_id",), incremental=True, natural_key="farmer_code"),
-    TableSpec("farm_plots", ("plot_id",), incremental=True, natural_key="plot_code"),
-    TableSpec("harvest_transactions", ("transaction_id",), incremental=True, id_range=ID_RANGE),
-    TableSpec("custody_events", ("event_id",), incremental=True, id_range=ID_RANGE),
+    TableSpec("farmers", ("farmer_id",), incremental=True, unique=True, natural_key="farmer_code"),
+    TableSpec("farm_plots", ("plot_id",), incremental=True, unique=True, natural_key="plot_code"),
+    TableSpec("harvest_transactions", ("transaction_id",), incremental=True, unique=True, id_range=ID_RANGE),
+    TableSpec("custody_events", ("event_id",), incremental=True, unique=True, id_range=ID_RANGE),
     TableSpec(
         "batch_transactions",
         ("batch_id", "transaction_id"),
         incremental=True,
+        unique=True,
         id_range=ID_RANGE,
         range_key="transaction_id",
     ),
-    TableSpec("certifications", ("certification_id",), incremental=True, natural_key="certificate_number"),
+    TableSpec("certifications", ("certification_id",), incremental=True, unique=True, natural_key="certificate_number"),
 ]
 
 # Dimensions with their tracked columns, and the columns of the facts.

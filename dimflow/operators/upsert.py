@@ -9,20 +9,23 @@ from pyspark.sql.types import StructType
 from dimflow.functions.keys import required
 
 
+def keyed(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The batch; a NULL in a key column is an error, as such a row would never be replaced."""
+    return batch.select(*[required(c, c).alias(c) if c in keys else F.col(c) for c in batch.columns])
+
+
 def latest_per_key(batch: DataFrame, keys: list[str], updated_at: str | None = None) -> DataFrame:
     """One row per key: the latest by ``updated_at``, ties broken by the other columns.
 
-    An aggregate rather than a window, so that many copies of one key shrink before the shuffle. A
-    NULL in a key column is an error, as such a row would never be replaced.
+    An aggregate rather than a window, so that many copies of one key shrink before the shuffle.
     """
-    others = [c for c in batch.columns if c not in keys]
     ranked = [updated_at] if updated_at else []
-    ranked += [c for c in others if c != updated_at]
-    keyed = batch.select(*[required(k, k).alias(k) for k in keys], *others)
+    ranked += [c for c in batch.columns if c not in keys and c != updated_at]
+    rows = keyed(batch, keys)
     if not ranked:
-        return keyed.distinct()
+        return rows.distinct()
     return (
-        keyed.groupBy(*keys)
+        rows.groupBy(*keys)
         .agg(F.max(F.struct(*ranked)).alias("_latest"))
         .select(*[F.col(c) if c in keys else F.col(f"_latest.`{c}`").alias(c) for c in batch.columns])
     )

@@ -14,6 +14,9 @@ class TableSpec:
     unit an upsert rewrites. ``id_range`` buckets by ``floor(id / id_range)`` instead, so that a batch
     of recent ids touches only the newest buckets: the choice for large tables whose ids grow. The id is
     ``range_key``, one of the keys, which must be an integer; it need not be named if there is one key.
+
+    ``unique`` says that the source holds one row per key, as a primary key does. Batches are then not
+    searched for older copies of a key, which saves a shuffle. Leave it off for feeds of changes.
     """
 
     name: str
@@ -24,6 +27,7 @@ class TableSpec:
     buckets: int = 8
     id_range: int | None = None
     range_key: str | None = None
+    unique: bool = False
 
     def __post_init__(self) -> None:
         if not self.keys:

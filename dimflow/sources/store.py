@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.functions.keys import hash_bucket
-from dimflow.operators.upsert import latest_per_key, replace_keys, same_columns
+from dimflow.operators.upsert import keyed, latest_per_key, replace_keys, same_columns
 from dimflow.registry import TableSpec
 from dimflow.session import materialise
 
@@ -107,13 +107,24 @@ class Store:
     def upsert(self, layer: str, spec: TableSpec, batch: DataFrame) -> int:
         """Replace the rows that share a key with the batch by the batch's, and advance the mark.
 
-        The batch is written to the shared folder first: data, keys and mark then come from the same
-        rows. Only buckets the batch touches are read and rewritten. Returns the number of rows.
+        The batch is written first: data, keys and mark then come from the same rows. The first batch
+        of a table is written where it stays, later ones to the shared folder; of the table, only the
+        buckets a batch touches are read and rewritten. Returns the number of rows.
         """
         commit = self.commit(layer, spec.name)
+        if commit:
+            same_columns(commit.schema, batch.schema)
+            if not commit.live:
+                raise ValueError(f"{layer}.{spec.name} is replaced whole, it has no buckets to upsert into")
+        keys = list(spec.keys)
         stamp = spec.updated_at if spec.updated_at in batch.columns else None
-        unique = latest_per_key(batch, list(spec.keys), stamp)
-        staged = materialise(unique.withColumn("_b", _bucket(spec)), f"batch-{spec.name}")
+        unique = keyed(batch, keys) if spec.unique else latest_per_key(batch, keys, stamp)
+        placed = unique.withColumn("_b", _bucket(spec))
+        generation = commit.generation + 1 if commit else 0
+        if commit:
+            staged = materialise(placed, f"batch-{spec.name}")
+        else:
+            staged = self._write_buckets(layer, spec.name, generation, placed)
         # One row, with at most as many bucket numbers as the table has buckets.
         facts = staged.agg(
             F.count(F.lit(1)).alias("n"),
@@ -122,21 +133,14 @@ class Store:
         ).first()
         if facts.n == 0:
             return 0
-        rows = staged
         if commit:
-            same_columns(commit.schema, batch.schema)
-            if not commit.live:
-                raise ValueError(f"{layer}.{spec.name} is replaced whole, it has no buckets to upsert into")
-            touched = {b: g for b, g in commit.live.items() if b in facts.touched}
+            touched = {b: g for b, g in commit.live.items() if b in set(facts.touched)}
+            rows = staged
             if touched:
                 old = Commit(commit.generation, touched, commit.schema, commit.mark)
                 base = self._at(layer, spec.name, old).withColumn("_b", _bucket(spec))
-                rows = replace_keys(base, staged, list(spec.keys))
-        generation = commit.generation + 1 if commit else 0
-        # Rebalancing makes files of even size; a bucket too large for one task is split.
-        rows.hint("rebalance", F.col("_b")).write.mode("overwrite").partitionBy("_b").parquet(
-            self._generation(layer, spec.name, generation)
-        )
+                rows = replace_keys(base, staged, keys)
+            self._write_buckets(layer, spec.name, generation, rows)
         live = {**(commit.live if commit else {}), **dict.fromkeys(facts.touched, generation)}
         before = commit.mark if commit else None
         reached = max((m for m in (before, facts.mark) if m is not None), default=None)
@@ -172,6 +176,12 @@ class Store:
     def _at(self, layer: str, table: str, commit: Commit) -> DataFrame:
         return self.spark.read.schema(commit.schema).parquet(*self._directories(layer, table, commit))
 
+    def _write_buckets(self, layer: str, table: str, generation: int, rows: DataFrame) -> DataFrame:
+        """Write rows by bucket. Rebalancing makes files of even size and splits a bucket too large for a task."""
+        path = self._generation(layer, table, generation)
+        rows.hint("rebalance", F.col("_b")).write.mode("overwrite").partitionBy("_b").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def _commit(self, layer: str, table: str, commit: Commit) -> DataFrame:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         row = (commit.generation, _ddl(commit.schema), commit.live, commit.mark, now)

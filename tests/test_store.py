@@ -128,3 +128,19 @@ def test_specs_are_checked():
 
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_null_key_leaves_the_table_as_it_was(spark, store):
+    from pyspark.errors import PySparkException
+
+    for spec in (SPEC, TableSpec("widgets", ("id",), incremental=True, buckets=4, unique=True)):
+        with pytest.raises(PySparkException, match="NULL in key column id"):
+            store.upsert(RAW, spec, frame(spark, (None, "a", D1)))
+    assert not store.exists(RAW, "widgets")
+
+
+def test_copies_in_a_batch_give_one_row_and_an_empty_first_batch_none(spark, store):
+    assert store.upsert(RAW, SPEC, frame(spark, (1, "a", D1)).where("id > 1")) == 0
+    assert not store.exists(RAW, "widgets")
+    assert store.upsert(RAW, SPEC, frame(spark, (1, "new", D2), (1, "old", D1), (2, "b", D1))) == 2
+    assert rows(store.read(RAW, "widgets")) == [(1, "new", D2), (2, "b", D1)]
