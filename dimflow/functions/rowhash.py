@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def canonical_text(field: T.StructField) -> Column:
-    """One value as text that does not depend on the engine that wrote it."""
-    col = F.col(f"`{field.name}`")
+def canonical_text(field: T.StructField) -> str:
+    """One value as text that does not depend on the engine that wrote it, in SQL."""
+    name = "`" + field.name.replace("`", "``") + "`"
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        return f"date_format({name}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-        return F.to_json(F.struct(col))
-    return col.cast("string")
+        return f"to_json(struct({name}))"
+    return f"cast({name} as string)"
 
 
 def row_text(schema: T.StructType, strict: bool = False) -> Column:
@@ -27,15 +27,12 @@ def row_text(schema: T.StructType, strict: bool = False) -> Column:
     By default NULL reads as the empty string and ``|`` inside a value is not escaped. ``strict``
     escapes the separator and gives NULL a mark of its own.
     """
-    parts = []
-    for field in schema.fields:
-        text = canonical_text(field)
-        if strict:
-            escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
-            parts.append(F.coalesce(escaped, F.lit("\\N")))
-        else:
-            parts.append(F.coalesce(text, F.lit("")))
-    return F.concat_ws("|", *parts)
+    texts = [canonical_text(field) for field in schema.fields]
+    if strict:
+        texts = [rf"coalesce(replace(replace({t}, '\\', '\\\\'), '|', '\\|'), '\\N')" for t in texts]
+    else:
+        texts = [f"coalesce({t}, '')" for t in texts]
+    return F.expr(f"concat_ws('|', {', '.join(texts)})")
 
 
 def digest_halves(text: Column) -> list[Column]:

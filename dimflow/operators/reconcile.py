@@ -34,24 +34,16 @@ def compare(pairs: list[Pair], strict: bool = False) -> DataFrame:
 
     Each side is reduced to one row before the sides meet. Columns are hashed in the source's order.
     """
-    sides = []
-    for pair in pairs:
-        for side, df in (("source", pair.source), ("target", pair.target)):
-            print_of = fingerprint(df.select(*pair.source.columns), strict)
-            sides.append(
-                print_of.select(
-                    F.lit(pair.table).alias("table_name"),
-                    F.lit(side).alias("side"),
-                    F.explode(
-                        F.array(
-                            *[
-                                F.struct(F.lit(c).alias("check_type"), F.col(c).cast("string").alias("value"))
-                                for c in ("row_count", "row_hash")
-                            ]
-                        )
-                    ).alias("check"),
-                ).select("table_name", "side", "check.*")
-            )
+    sides = [
+        fingerprint(df.select(*pair.source.columns), strict).selectExpr(
+            f"'{pair.table}' as table_name",
+            f"'{side}' as side",
+            "inline(array(struct('row_count' as check_type, cast(row_count as string) as value), "
+            "struct('row_hash' as check_type, row_hash as value)))",
+        )
+        for pair in pairs
+        for side, df in (("source", pair.source), ("target", pair.target))
+    ]
     value = {s: F.max(F.when(F.col("side") == s, F.col("value"))) for s in ("source", "target")}
     return (
         reduce(DataFrame.unionByName, sides)
