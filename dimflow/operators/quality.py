@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimflow.session import materialise
+
 MEMBERS_PER_ROW = 10_000
 
 
 def _shared(df: DataFrame, identity: str | Column, name: str, member: str) -> DataFrame:
-    identity = F.col(identity) if isinstance(identity, str) else identity
-    rows = df.select(identity.alias(name), F.col(member).cast("string").alias("_member")).where(
+    computed = not isinstance(identity, str)
+    value = identity if computed else F.col(identity)
+    rows = df.select(value.alias(name), F.col(member).cast("string").alias("_member")).where(
         F.col(name).isNotNull()
     )
+    if computed:
+        # Read twice below: the identity is made once, and what it is made of is read once.
+        rows = materialise(rows, "identities")
     counts = (
         rows.groupBy(F.col(name).alias("_identity"))
         .agg(F.count(F.lit(1)).alias("occurrence_count"))

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dimflow.operators import versioned
+from dimflow.session import materialise
 from tests.conftest import rows
 
 INCEPTION, FUTURE = datetime(1900, 1, 1), datetime(9999, 12, 31)
@@ -131,3 +133,30 @@ def test_many_waves_leave_intervals_without_gap_or_overlap(spark):
     assert keys == list(range(1, len(keys) + 1))
     versions = dict(rows(versioned.multi_version_keys(dim, "code")))
     assert versions["k000"] == 4 and versions["k001"] == 2
+
+
+def model(dim, incoming, as_of):
+    """One wave in plain Python: rows are [key, code, region, from, to, current]."""
+    current = {row[1]: row for row in dim if row[5]}
+    last = max((row[0] for row in dim), default=0)
+    new = sorted(code for code in incoming if code not in current)
+    changed = sorted(code for code, region in incoming.items() if code in current and current[code][2] != region)
+    for code in changed:
+        current[code][4:] = [as_of, False]
+    added = [(code, INCEPTION) for code in new] + [(code, as_of) for code in changed]
+    return dim + [
+        [last + i, code, incoming[code], start, FUTURE, True] for i, (code, start) in enumerate(added, start=1)
+    ]
+
+
+def test_random_waves_match_a_plain_model(spark):
+    rng = random.Random(11)
+    dim, want = None, []
+    for wave in range(4):
+        as_of = datetime(2026, 1 + wave, 1)
+        codes = rng.sample(range(40), 25)
+        incoming = {f"c{i:02d}": rng.choice([None, 1, 2]) for i in codes}
+        want = model(want, incoming, as_of)
+        result = apply(dim, snapshot(spark, list(incoming.items())), as_of.strftime("%Y-%m-%d %H:%M:%S"))
+        dim = materialise(result.dim, "wave")
+        assert rows(dim) == sorted(tuple(r) for r in want)
