@@ -19,10 +19,10 @@ def resolve(
 ) -> DataFrame:
     """The facts with the key of the version with ``valid_from <= date < valid_to``, else NULL.
 
-    An equi-join on the key (as text, where the types differ) with the range as a residual condition: a broadcast join where the
-    versions are small, else a sort-merge join, in which AQE splits a hot key on the fact side. Only
-    the four columns needed are read from the dimension. See :func:`resolve_deep` for keys with very
-    many versions.
+    An equi-join on the key (as text, where the types differ) with the range as a residual condition:
+    a broadcast join where the versions are small, else a sort-merge join, in which AQE splits a hot key
+    on the fact side. Only the four columns needed are read from the dimension. See
+    :func:`resolve_deep` for keys with very many versions.
     """
     fact_key, side = _comparable(facts, fact_key, _versions(dim, key_col, natural_key))
     return facts.join(side, (fact_key == F.col("_key")) & _covers(fact_date), "left").select(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 
@@ -9,7 +10,7 @@ from dimflow.registry import TableSpec, by_name
 from dimflow.session import shared_folder
 from dimflow.sources import load
 from dimflow.sources.readers import parquet_source
-from dimflow.sources.store import RAW, Store
+from dimflow.sources.store import RAW
 from tests.conftest import rows
 
 SPEC = TableSpec("widgets", ("id",), incremental=True, buckets=4)
@@ -130,6 +131,15 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_a_cluster_that_names_no_shared_folder_is_refused():
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://somewhere:7077")
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default), sparkContext=context)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+    context.getCheckpointDir = lambda: "hdfs:///shared/"
+    assert shared_folder(session) == "hdfs:///shared"
+
+
 def test_null_key_leaves_the_table_as_it_was(spark, store):
     from pyspark.errors import PySparkException
 
