@@ -38,7 +38,8 @@ def dense_keys(
     sizes = dict(placed.groupBy(partition).count().collect())
     last = max(sizes, default=0)
     before = accumulate((sizes.get(p, 0) for p in range(last)), initial=start_after)
-    offsets = F.expr(f"array({', '.join(f'{n}L' for n in before)})")
+    # One text literal, folded into an array once: thousands of partitions do not swell the plan.
+    offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
     place = F.col(_POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1
     return placed.select((F.get(offsets, partition) + place).alias(key_col), *[F.col(f"`{c}`") for c in df.columns])
 
