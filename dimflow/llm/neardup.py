@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -197,6 +197,23 @@ def near_duplicates(
     return result.select(*names, "n_shingles", "component_id", F.col(id_col).eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, id_col: str, text_col: str, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, with one document left of each group: that of the least id.
+
+    Of rows that repeat the id and the text one stays. Documents without words belong to no group and all stay.
+    """
+    key = [F.col(f"`{id_col}`").alias("_id"), F.md5(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("_md5")]
+    rows = docs.select(F.struct("*").alias("row"), *key)
+    keyed = docs.select(*key, F.col(f"`{text_col}`").alias("_text"))
+    found = near_duplicates(keyed, "_id", "_text", size, percent, carry=("_md5",))
+    wordless = F.col("n_shingles") == 0
+    keep = materialise(found.where("kept").select(F.col("_id").alias("id"), F.col("_md5").alias("md5"), wordless.alias("wordless")).distinct(), "kept")
+    # One row of each key, by the row's number within its key: keys are spread, and only exact repeats share one.
+    joined = rows.join(keep, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_md5") == F.col("md5")))
+    first = F.row_number().over(Window.partitionBy("id", "md5").orderBy(F.lit(1))) == 1
+    return joined.withColumn("first", first).where("first OR wordless").select("row.*")
+
+
 def _oriented(left: str, right: str) -> list[Column]:
     return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
 
