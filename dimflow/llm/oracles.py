@@ -6,11 +6,11 @@ ORACLES = {
     "op1_near_duplicates": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'), w -> w <> '') AS ws
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'), lambda w: w <> '') AS ws
   FROM documents),
 sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 3
-    THEN list_transform(range(1, len(ws) - 1), i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+    THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
     WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingles FROM words),
 exploded AS (SELECT doc_id, unnest(shingles) AS shingle FROM sets),
 common AS (
@@ -26,15 +26,15 @@ SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, doc_id
     "op2_quality_rules": r"""
 WITH words AS (
   SELECT doc_id, coalesce(text, '') AS text,
-    list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), w -> w <> '') AS ws,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ \t-\r]')) AS lines FROM documents),
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda w: w <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS lines FROM documents),
 windows AS (
   SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, unnest(list_transform(range(1, len(ws) - 1),
-    i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) AS w FROM words),
+    lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) AS w FROM words),
 twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1),
 covered AS (
-  SELECT doc_id, count(DISTINCT at) AS n FROM (
-    SELECT doc_id, i + 0 AS at FROM twice UNION ALL SELECT doc_id, i + 1 FROM twice UNION ALL SELECT doc_id, i + 2 FROM twice)
+  SELECT doc_id, count(DISTINCT place) AS n FROM (
+    SELECT doc_id, i + 0 AS place FROM twice UNION ALL SELECT doc_id, i + 1 FROM twice UNION ALL SELECT doc_id, i + 2 FROM twice)
   GROUP BY doc_id),
 m AS (
   SELECT words.doc_id, text, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
@@ -65,7 +65,7 @@ have AS (
   SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS w
   FROM (SELECT doc_id, ws, n, unnest(range(1, CAST(len(ws) - n + 2 AS BIGINT))) AS i FROM docs, lengths WHERE len(ws) >= n)),
 met AS (SELECT doc_id, i, n, item_id FROM have JOIN wanted USING (n, w)),
-hit AS (SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM met) GROUP BY doc_id),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM met) GROUP BY doc_id),
 named AS (
   SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM met) GROUP BY doc_id)
