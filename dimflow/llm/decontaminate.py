@@ -129,8 +129,9 @@ def contamination(
     met = materialise(met.select(F.col("doc.id").alias("_id"), F.col("doc.hash").alias("_hash"), "passages"), "passages")
 
     key = doc_key(id_col, text_col)
-    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{text_col}`").alias("_text"), key["id"].alias("_id"), key["hash"].alias("_hash"))
-    rows = rows.join(met, ["_id", "_hash"], "left")
+    rows = docs.select(F.struct("*").alias("row"), key["id"].alias("_id"), key["hash"].alias("_hash"))
+    # The texts move once at any size; the candidates' side is the small one of each partition.
+    rows = rows.join(met.hint("shuffle_hash"), ["_id", "_hash"], "left")
 
     def found(v: Column) -> Column:
         n = F.size(v["words"])
@@ -155,7 +156,7 @@ def contamination(
         none = F.struct(n.cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
         return F.when(v["passages"].isNull(), none).otherwise(_let(occurring, summed))
 
-    value = F.struct(words_of(F.col("_text")).alias("words"), F.col("passages").alias("passages"))
+    value = F.struct(words_of(F.col("row")[text_col]).alias("words"), F.col("passages").alias("passages"))
     result = rows.select("row", _let(value, found).alias("f"))
     return result.select(
         "row", "f.n_words", "f.n_hit", F.size("f.items").cast("long").alias("n_items"), "f.items", (F.col("f.n_hit") > 0).alias("contaminated")
