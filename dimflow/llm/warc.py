@@ -198,7 +198,9 @@ def read_bundles(places: DataFrame) -> DataFrame:
                 yield _rows(rows, _RECORDS_ARROW)
 
     found = places.select("file").distinct().mapInArrow(frames, "file string, frame long, frame_bytes long")
-    return found.repartition("file", "frame").mapInArrow(records, _RECORDS)
+    # Frames are listed in a few bytes each: the number of tasks must not follow the list's size.
+    tasks = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return found.repartition(tasks, "file", "frame").mapInArrow(records, _RECORDS)
 
 
 def fetch(places: DataFrame) -> DataFrame:
