@@ -40,9 +40,18 @@ class Encoder:
         tokenizer = load_tokenizer(path)
 
         def ids(keys: list[bytes]) -> list[bytes]:
+            """A stop or comma right after a letter is a token by itself, so the word before it is looked up alone."""
+            cores = [k[:-1] if k[-1:] in tails and k[-2:-1].isalpha() else k for k in keys]
+            known = self.memo.known
+            fresh = [c for c in set(cores) if c not in known]
+            known.update(zip(fresh, plain(fresh)))
+            return [known[c] if c is k else known[c] + tails[k[-1:]] for c, k in zip(cores, keys)]
+
+        def plain(keys: list[bytes]) -> list[bytes]:
             found = tokenizer.encode_batch_fast([k.decode() for k in keys], add_special_tokens=False)
             return [np.array(e.ids, dtype).tobytes() for e in found]
 
+        tails = dict(zip((b".", b","), plain([b".", b","])))
         self.memo = Memo(ids)
 
     def __call__(self, data: np.ndarray, bounds: np.ndarray) -> Iterator[bytes]:
@@ -185,8 +194,10 @@ def read_files(manifest: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids"],
                 )
 
+    # The manifest is small and the blocks are not: the number of tasks must not follow the manifest's bytes.
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = manifest.select("file", "block", "offset", "length", "first")
-    return blocks.repartition("file", "block").mapInArrow(work, "doc_id long, start long, n_tokens long, ids binary")
+    return blocks.repartition(tasks, "file", "block").mapInArrow(work, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def token_files(
