@@ -23,6 +23,7 @@ from dimflow.llm.common import query, slices, table, text_buffer
 #: About so many labelled documents of each language are learned from, and never more than ``MOST_ROWS``.
 ROWS_PER_LANGUAGE = 400
 MOST_ROWS = 4000
+MOST_LANGUAGES = 500
 FEATURES = 1 << 12
 GRAMS = (1, 2, 3)
 STEPS, RATE, DECAY = 300, 0.5, 1e-4
@@ -123,10 +124,15 @@ def train(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> Model:
     """
     text, label = F.col(f"`{text_col}`").cast("string"), F.col(f"`{label_col}`").cast("string")
     usable = docs.where(~held_out(id_col)).select(label.alias("label"), text.alias("text")).where("label IS NOT NULL AND text IS NOT NULL")
-    counts = usable.groupBy("label").count()
-    rate = F.least(F.lit(1.0), F.lit(float(ROWS_PER_LANGUAGE)) / F.col("count"))
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < rate * (1 << 30)
-    chosen = usable.join(counts, "label").where(drawn).select("label", "text")
+    counts = usable.groupBy("label").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} labels; these are no languages")
+    if not counts:
+        return fit(np.empty((0, FEATURES)), [])
+    # Rates are literals, so that texts are drawn where they are read and only the drawn ones move.
+    rates = F.create_map(*[F.lit(v) for row in counts for v in (row.label, min(1.0, ROWS_PER_LANGUAGE / row["count"]))])
+    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.element_at(rates, F.col("label")) * (1 << 30)
+    chosen = usable.where(drawn)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
