@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions.keys import text_key
+from dimflow.session import materialise
 
 
 def resolve(
@@ -51,7 +52,8 @@ def resolve_deep(
     fact_key, side = _comparable(facts, fact_key, _versions(dim, key_col, natural_key))
     fact_date = F.col(fact_date) if isinstance(fact_date, str) else fact_date
     depth = side.groupBy(F.col("_key").alias("_depth_key")).agg(F.count(F.lit(1)).alias("_depth"))
-    counted = side.join(depth, F.col("_key") == F.col("_depth_key")).drop("_depth_key")
+    # Written, as later joins split a hot key only if both sides come straight from a shuffle.
+    counted = materialise(side.join(depth, F.col("_key") == F.col("_depth_key")).drop("_depth_key"), "depths")
     span = facts.agg(
         F.struct(
             F.min(fact_date).cast("timestamp_ntz").alias("first"),

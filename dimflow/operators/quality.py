@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from dimflow.session import materialise
 
-MEMBERS_PER_ROW = 10_000
-
 
 def _shared(df: DataFrame, identity: str | Column, name: str, member: str) -> DataFrame:
     computed = not isinstance(identity, str)
@@ -24,6 +22,8 @@ def _shared(df: DataFrame, identity: str | Column, name: str, member: str) -> Da
         .agg(F.count(F.lit(1)).alias("occurrence_count"))
         .where(F.col("occurrence_count") > 1)
     )
+    # Written, as the join splits a hot identity only if both sides come straight from a shuffle.
+    counts = materialise(counts, "shared-identities")
     return rows.join(counts, F.col(name) == F.col("_identity")).drop("_identity")
 
 
@@ -34,25 +34,16 @@ def duplicate_members(df: DataFrame, identity: str | Column, name: str, member:
     )
 
 
-def duplicate_candidates(
-    df: DataFrame, identity: str | Column, name: str, member: str, per_row: int = MEMBERS_PER_ROW
-) -> DataFrame:
-    """Identities that occur more than once, with the count and the ordered list of members.
+def duplicate_candidates(df: DataFrame, identity: str | Column, name: str) -> DataFrame:
+    """Identities that occur more than once, one row each, with the count; NULL is not a shared identity.
 
-    A group is one row (``part`` 0) as long as it has at most ``per_row`` members. A larger one is
-    spread by hash over as many rows as it takes, each with an ordered part of the list, so that the
-    list stays whole and no task has to build it alone. NULL is not a shared identity.
+    The members, one per row whatever the group's size, come from :func:`duplicate_members`.
     """
-    parts = F.ceil(F.col("occurrence_count") / F.lit(per_row))
-    part = F.pmod(F.xxhash64("_member"), parts).cast("int")
-    return (
-        _shared(df, identity, name, member)
-        .withColumn("part", part)
-        .groupBy(name, "occurrence_count", "part")
-        .agg(F.expr("listagg(_member, ', ') within group (order by _member)").alias("members"))
-    )
+    value = (F.col(identity) if isinstance(identity, str) else identity).alias(name)
+    groups = df.select(value).where(F.col(name).isNotNull()).groupBy(name)
+    return groups.agg(F.count(F.lit(1)).alias("occurrence_count")).where(F.col("occurrence_count") > 1)
 
 
 def review_order(candidates: DataFrame, name: str) -> DataFrame:
     """The candidates with the most frequent identity first."""
-    return candidates.orderBy(F.col("occurrence_count").desc(), F.col(name), F.col("part"))
+    return candidates.orderBy(F.col("occurrence_count").desc(), F.col(name))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions.calendar import batch_id
+from dimflow.session import materialise
 
 
 def assemble(transactions: DataFrame, node: str, at: str, quantity: str) -> DataFrame:
@@ -50,7 +51,8 @@ def trace(
 
     ``traced`` tells whether both ends were found. Links without either are kept.
     """
-    ends = last_event(events, at, event_id)
+    # Written first, so that the join below starts from two plain shuffles and a hot batch can be split.
+    ends = materialise(last_event(events, at, event_id), "last-events")
     lots = transactions.withColumn("_lot", F.col(transaction_id)).drop(transaction_id)
     return (
         batch_links.join(lots, batch_links["transaction_id"] == F.col("_lot"), "left")

@@ -117,12 +117,19 @@ def apply_snapshot(
         start_after=last_key(dim, key_col),
     )
     versions = _as_versions(rows, key_col, snapshot.columns, as_of)
+    twice = rows.groupBy(natural_key).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"the snapshot holds {natural_key} {twice[0][0]} more than once")
+    backwards = F.raise_error(F.lit("the snapshot is not later than a version it closes")).cast("timestamp_ntz")
     closing = versions.where(F.col("change") == CHANGED).select(F.col(natural_key).alias("_closing"))
     closes = F.col("is_current") & F.col("_closing").isNotNull()
     kept = dim.join(closing, text_key(natural_key) == F.col("_closing"), "left").select(
         key_col,
         *[text_key(c).alias(c) if c == natural_key else F.col(c) for c in snapshot.columns],
-        F.when(closes, as_of).otherwise(F.col("valid_to")).alias("valid_to"),
+        F.when(closes & (as_of <= F.col("valid_from")), backwards)
+        .when(closes, as_of)
+        .otherwise(F.col("valid_to"))
+        .alias("valid_to"),
         F.col("valid_from"),
         (F.col("is_current") & ~closes).alias("is_current"),
     )

@@ -343,9 +343,7 @@ from ({_resolved('d3')}) group by 1""",
 select (select count(*) from d2) as dim_customer_rows, (select count(*) from p2) as dim_part_rows,
        (select count(*) from sales) as fact_sales_rows, (select count(*) from events) as fact_moves_rows""",
     "duplicate_candidates": """
-select sha256(text) as identity, count(*) as occurrence_count, 0 as part,
-       string_agg(cast(doc_id as varchar), ', ' order by cast(doc_id as varchar)) as members
-from documents where text is not null group by 1 having count(*) > 1""",
+select sha256(text) as identity, count(*) as occurrence_count from documents where text is not null group by 1 having count(*) > 1""",
     "duplicate_members": """
 select c_nationkey as identity, n as occurrence_count, cast(c_custkey as varchar) as member
 from customer join (select c_nationkey k, count(*) n from customer group by 1 having count(*) > 1) on c_nationkey = k""",
@@ -414,6 +412,8 @@ ORACLES["column_profile"] = _profiles()
 
 ORACLES["full_replace"] = "select n_nationkey, 'new ' || n_name as n_name, n_regionkey from nation"
 ORACLES["stored_upsert"] = ORACLES["stored_upsert_by_range"] = ORACLES["stream_upsert"] = UPSERTED
+ORACLES["stored_upsert_rebucketed"] = ORACLES["stored_upsert_late"] = UPSERTED
+ORACLES["first_load_all_rows"] = "select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders where o_orderdate is not null"
 ORACLES["stored_upsert_composite"] = ORACLES["upsert_composite_key"]
 ORACLES["registry_load_counts"] = """
 with n as (select 'nation' as table_name, 'replace' as mode, count(*) as n_rows from nation

@@ -370,7 +370,7 @@ def fact_summary(spark, sf_dir):
 @query
 def duplicate_candidates(spark, sf_dir):
     documents = fx.table(spark, sf_dir, "documents")
-    found = quality.duplicate_candidates(documents, F.sha2("text", 256), "identity", "doc_id")
+    found = quality.duplicate_candidates(documents, F.sha2("text", 256), "identity")
     return quality.review_order(found, "identity")
 
 
@@ -580,6 +580,37 @@ def stored_upsert_by_range(spark, sf_dir):
     return _events_shown(store.read(RAW, "events"))
 
 
+@query
+def stored_upsert_rebucketed(spark, sf_dir):
+    """The bucketing changes twice while the table is in use."""
+    store = _store(spark)
+    for bucketing in ({}, {"buckets": 16}, {"id_range": 2000}):
+        spec = TableSpec("events", ("event_id",), incremental=True, updated_at="ts", **bucketing)
+        store.upsert(RAW, spec, (fx.event_batch if bucketing else fx.event_base)(spark, sf_dir))
+    return _events_shown(store.read(RAW, "events"))
+
+
+@query
+def stored_upsert_late(spark, sf_dir):
+    """A later batch with older stamps changes nothing."""
+    store = _store(spark)
+    store.upsert(RAW, EVENTS, fx.event_base(spark, sf_dir))
+    store.upsert(RAW, EVENTS, fx.event_batch(spark, sf_dir))
+    late = fx.event_batch(spark, sf_dir).withColumn("ts", F.expr("ts - interval 5 years")).limit(200)
+    known = store.read(RAW, "events").select("event_id")
+    store.upsert(RAW, EVENTS, late.join(known, "event_id", "left_semi"))
+    return _events_shown(store.read(RAW, "events"))
+
+
+@query
+def first_load_all_rows(spark, sf_dir):
+    """Without a mark nothing is too old to be loaded."""
+    store = _store(spark)
+    orders = TableSpec("orders", ("o_orderkey",), incremental=True, updated_at="o_orderdate")
+    load.run(store, lambda name: fx.table(spark, sf_dir, name), [orders])
+    return store.read(RAW, "orders").select("o_orderkey", day("o_orderdate").alias("day"))
+
+
 @query
 def stored_upsert_composite(spark, sf_dir):
     store = _store(spark)

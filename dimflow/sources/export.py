@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 from dimflow.plans.layout import Usage, sort_advice
 
 _PLACE = "_place"
-_BITS = 8  # of each column's hash that take part in the interleaving
+_BITS = 63  # of a place, shared out among the columns' hashes
 
 
 def interleaved(columns: list[str]) -> Column:
-    """A number that gives every column the same say: the hash bits of all of them in turn."""
-    each = min(_BITS, 63 // len(columns))
+    """A number that gives every column the same say: the hash bits of all of them in turn.
+
+    Of more than 63 columns the first 63 take part, with a bit each.
+    """
+    columns = columns[:_BITS]
+    each = _BITS // len(columns)
     bits = []
     for bit in range(each):
         for i, column in enumerate(columns):

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from dimflow.functions.calendar import LOAD_EPOCH
 from dimflow.operators.highwater import past_mark
 from dimflow.registry import TableSpec
 from dimflow.session import side_by_side
@@ -15,9 +14,9 @@ LOADED = "table_name string, mode string, n_rows bigint"
 
 
 def load_incremental(store: Store, source: Source, spec: TableSpec, inclusive: bool = False) -> int:
-    """Upsert the rows past the table's mark; nothing past it is a no-op."""
+    """Upsert the rows past the table's mark, all stamped rows where there is none; nothing past it is a no-op."""
     commit = store.commit(RAW, spec.name)
-    mark = commit.mark.strftime("%Y-%m-%d %H:%M:%S.%f") if commit and commit.mark else LOAD_EPOCH
+    mark = commit.mark.strftime("%Y-%m-%d %H:%M:%S.%f") if commit and commit.mark else None
     batch = past_mark(source(spec.name), mark, spec.updated_at, inclusive=inclusive)
     return store.upsert(RAW, spec, batch)
 

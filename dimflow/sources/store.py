@@ -8,6 +8,7 @@ never disturbed. One job writes a table at a time.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -17,13 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.functions.keys import hash_bucket
-from dimflow.operators.upsert import keyed, latest_per_key, replace_keys, same_columns
+from dimflow.operators.upsert import keep_newest, keyed, latest_per_key, replace_keys, same_columns
 from dimflow.registry import TableSpec
 from dimflow.session import materialise
 
 RAW, ANALYTICS, AUDIT = "raw", "analytics", "audit"
 
-COMMITS = "generation bigint, table_schema string, live map<int,bigint>, mark timestamp_ntz, committed_at timestamp_ntz"
+COMMITS = (
+    "generation bigint, table_schema string, live map<int,bigint>, mark timestamp_ntz, committed_at timestamp_ntz, "
+    "bucketing string"
+)
 AUDIT_TABLES = {
     "pipeline_runs": "run_id string, step string, start_time timestamp_ntz, end_time timestamp_ntz, "
     "status string, error_message string",
@@ -36,13 +40,15 @@ AUDIT_TABLES = {
 class Commit:
     """The state of a table: its generation, the generation each bucket lives in, schema and mark.
 
-    A table replaced whole has no buckets; all of it lives in the latest generation.
+    A table replaced whole has no buckets; all of it lives in the latest generation. ``bucketing`` is the
+    rule that rows were placed by, which may differ from the one a spec asks for by now.
     """
 
     generation: int
     live: dict[int, int]
     schema: T.StructType
     mark: datetime | None
+    bucketing: str | None = None
 
 
 class Store:
@@ -61,7 +67,7 @@ class Store:
         if not last:
             return None
         schema = T.StructType.fromDDL(last[0].table_schema)
-        return Commit(last[0].generation, last[0].live, schema, last[0].mark)
+        return Commit(last[0].generation, last[0].live, schema, last[0].mark, last[0].bucketing)
 
     def exists(self, layer: str, table: str) -> bool:
         return self.commit(layer, table) is not None
@@ -109,7 +115,9 @@ class Store:
 
         The batch is written first: data, keys and mark then come from the same rows. The first batch
         of a table is written where it stays, later ones to the shared folder; of the table, only the
-        buckets a batch touches are read and rewritten. Returns the number of rows.
+        buckets a batch touches are read and rewritten. Where the spec's bucketing is not the one the
+        table was written by, the whole table is rewritten once by the new rule. With a stamp column,
+        a stored row stays if it is newer than the batch's. Returns the number of rows.
         """
         commit = self.commit(layer, spec.name)
         if commit:
@@ -134,17 +142,21 @@ class Store:
         if facts.n == 0:
             return 0
         if commit:
-            touched = {b: g for b, g in commit.live.items() if b in set(facts.touched)}
+            moved = commit.bucketing != _rule(spec)
+            touched = commit.live if moved else {b: g for b, g in commit.live.items() if b in set(facts.touched)}
             rows = staged
             if touched:
                 old = Commit(commit.generation, touched, commit.schema, commit.mark)
                 base = self._at(layer, spec.name, old).withColumn("_b", _bucket(spec))
-                rows = replace_keys(base, staged, keys)
-            self._write_buckets(layer, spec.name, generation, rows)
-        live = {**(commit.live if commit else {}), **dict.fromkeys(facts.touched, generation)}
+                rows = keep_newest(base, staged, keys, stamp) if stamp else replace_keys(base, staged, keys)
+            written = self._write_buckets(layer, spec.name, generation, rows)
+        if commit and moved:
+            live = {r["_b"]: generation for r in written.select("_b").distinct().collect()}
+        else:
+            live = {**(commit.live if commit else {}), **dict.fromkeys(facts.touched, generation)}
         before = commit.mark if commit else None
         reached = max((m for m in (before, facts.mark) if m is not None), default=None)
-        self._commit(layer, spec.name, Commit(generation, live, batch.schema, reached))
+        self._commit(layer, spec.name, Commit(generation, live, batch.schema, reached, _rule(spec)))
         return facts.n
 
     def append(self, table: str, rows: DataFrame) -> None:
@@ -184,7 +196,7 @@ class Store:
 
     def _commit(self, layer: str, table: str, commit: Commit) -> DataFrame:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
-        row = (commit.generation, _ddl(commit.schema), commit.live, commit.mark, now)
+        row = (commit.generation, _ddl(commit.schema), commit.live, commit.mark, now, commit.bucketing)
         self.spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(self._log(layer, table))
         return self._at(layer, table, commit)
 
@@ -193,6 +205,12 @@ def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def _rule(spec: TableSpec) -> str:
+    """The bucketing as text: two specs with the same rule place every row in the same bucket."""
+    rule = {"keys": spec.keys, "buckets": spec.buckets} if spec.id_range is None else {"range_key": spec.range_key, "id_range": spec.id_range}
+    return json.dumps(rule, sort_keys=True)
+
+
 def _bucket(spec: TableSpec) -> Column:
     if spec.id_range is None:
         return hash_bucket(list(spec.keys), spec.buckets)

@@ -11,26 +11,22 @@ SCHEMA = "farmer_id int, farmer_code string, national_id string"
 def test_shared_identity_is_flagged_with_its_members(spark):
     df = spark.createDataFrame([(1, "700002", "X"), (2, "700001", "X"), (3, "700003", "Y"), (4, "7", None),
                                 (5, "8", None)], SCHEMA)
-    found = duplicate_candidates(df, "national_id", "national_id", "farmer_code")
-    assert rows(found) == [("X", 2, 0, "700001, 700002")]
+    found = duplicate_candidates(df, "national_id", "national_id")
+    assert rows(found) == [("X", 2)]
 
 
 def test_distinct_identities_are_not_flagged(spark):
     df = spark.createDataFrame([(1, "700001", "X"), (2, "700002", "Y")], SCHEMA)
-    assert rows(duplicate_candidates(df, "national_id", "national_id", "farmer_code")) == []
+    assert rows(duplicate_candidates(df, "national_id", "national_id")) == []
 
 
-def test_large_group_is_listed_whole_over_several_rows(spark):
+def test_groups_of_any_size_have_one_shape(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 700).cast("string")).alias("g"), "id"
     )
-    found = duplicate_candidates(df, "g", "g", "id", per_row=100).collect()
-    hot = [r for r in found if r.g == "hot"]
-    assert len(hot) > 5 and all(r.occurrence_count == 1000 for r in hot)
-    members = [m for r in hot for m in r.members.split(", ")]
-    assert sorted(map(int, members)) == list(range(0, 3000, 3))
-    assert max(len(r.members.split(", ")) for r in found) < 200
-    assert all(r.part == 0 for r in found if r.g != "hot")
+    assert [r for r in rows(duplicate_candidates(df, "g", "g")) if r[0] == "hot"] == [("hot", 1000)]
+    hot = [int(r.member) for r in duplicate_members(df, "g", "g", "id").collect() if r.g == "hot"]
+    assert sorted(hot) == list(range(0, 3000, 3))
 
 
 def test_members_come_one_per_row(spark):
@@ -40,5 +36,5 @@ def test_members_come_one_per_row(spark):
 
 def test_most_frequent_identity_is_reviewed_first(spark):
     df = spark.createDataFrame([(i, str(i), x) for i, x in enumerate("aabbbcc")], SCHEMA)
-    found = review_order(duplicate_candidates(df, "national_id", "id", "farmer_code"), "id")
+    found = review_order(duplicate_candidates(df, "national_id", "id"), "id")
     assert [r.id for r in found.collect()] == ["b", "a", "c"]

@@ -154,3 +154,24 @@ def test_copies_in_a_batch_give_one_row_and_an_empty_first_batch_none(spark, sto
     assert not store.exists(RAW, "widgets")
     assert store.upsert(RAW, SPEC, frame(spark, (1, "new", D2), (1, "old", D1), (2, "b", D1))) == 2
     assert rows(store.read(RAW, "widgets")) == [(1, "new", D2), (2, "b", D1)]
+
+
+def test_changed_bucketing_keeps_every_row(store, spark):
+    def batch(ids, value):
+        return spark.createDataFrame([(i, value) for i in ids], "id int, value string")
+
+    store.upsert(RAW, TableSpec("t", ("id",), incremental=True), batch(range(200), "old"))
+    for spec in (TableSpec("t", ("id",), incremental=True, buckets=16), TableSpec("t", ("id",), incremental=True, id_range=50)):
+        store.upsert(RAW, spec, batch((3, 77, 150), "new"))
+        kept = {r.id: r.value for r in store.read(RAW, "t").collect()}
+        assert store.read(RAW, "t").count() == len(kept) == 200
+        assert {i for i, v in kept.items() if v == "new"} == {3, 77, 150}
+
+
+def test_newer_stored_row_stays(store, spark):
+    spec = TableSpec("t", ("id",), incremental=True)
+    for value, day in (("new", 3), ("late", 1), ("same", 3)):
+        rows_ = [(1, value, datetime(2026, 1, day)), (2, value, None)]
+        store.upsert(RAW, spec, spark.createDataFrame(rows_, "id int, value string, updated_at timestamp_ntz"))
+        stored = {r.id: r.value for r in store.read(RAW, "t").collect()}
+        assert stored[1] == {"new": "new", "late": "new", "same": "same"}[value] and stored[2] == value

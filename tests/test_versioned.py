@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from datetime import datetime
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -160,3 +161,15 @@ def test_random_waves_match_a_plain_model(spark):
         result = apply(dim, snapshot(spark, list(incoming.items())), as_of.strftime("%Y-%m-%d %H:%M:%S"))
         dim = materialise(result.dim, "wave")
         assert rows(dim) == sorted(tuple(r) for r in want)
+
+
+def test_backward_or_repeated_snapshots_are_errors(spark):
+    def snapshot(*values):
+        return spark.createDataFrame(list(values), "code string, v string")
+
+    first = versioned.initial_load(snapshot(("a", "x")), "sk", "code").dim
+    later = versioned.apply_snapshot(first, snapshot(("a", "y")), "sk", "code", ["v"], "2026-06-01")
+    with pytest.raises(Exception, match="not later"):
+        versioned.apply_snapshot(later.dim, snapshot(("a", "z")), "sk", "code", ["v"], "2026-01-01").dim.collect()
+    with pytest.raises(ValueError, match="more than once"):
+        versioned.apply_snapshot(first, snapshot(("b", "1"), ("b", "2")), "sk", "code", ["v"], "2026-06-01")
