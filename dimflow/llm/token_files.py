@@ -47,10 +47,24 @@ class Encoder:
             known.update(zip(fresh, plain(fresh)))
             return [known[c] if c is k else known[c] + tails[k[-1:]] for c, k in zip(cores, keys)]
 
-        def plain(keys: list[bytes]) -> list[bytes]:
+        def whole(keys: list[bytes]) -> list[bytes]:
             found = tokenizer.encode_batch_fast([k.decode() for k in keys], add_special_tokens=False)
             return [np.array(e.ids, dtype).tobytes() for e in found]
 
+        def letters(keys: list[bytes]) -> list[bytes]:
+            return [np.array([t.id for t in tokenizer.model.tokenize(k.decode())], dtype).tobytes() for k in keys]
+
+        # Small ASCII letters pass normalising and splitting unchanged, so the library's model can take them directly.
+        probes = [b"a", b"the", b"antidisestablishment", b"zqxjk"]
+        direct = letters(probes) == whole(probes)
+
+        def plain(keys: list[bytes]) -> list[bytes]:
+            if not direct:
+                return whole(keys)
+            easy = [k.isalpha() and k.islower() for k in keys]
+            fast, slow = iter(letters([k for k, e in zip(keys, easy) if e])), iter(whole([k for k, e in zip(keys, easy) if not e]))
+            return [next(fast if e else slow) for e in easy]
+
         tails = dict(zip((b".", b","), plain([b".", b","])))
         self.memo = Memo(ids)
 
