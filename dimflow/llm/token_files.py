@@ -52,7 +52,9 @@ class Encoder:
             return [np.array(e.ids, dtype).tobytes() for e in found]
 
         def letters(keys: list[bytes]) -> list[bytes]:
-            return [np.array([t.id for t in tokenizer.model.tokenize(k.decode())], dtype).tobytes() for k in keys]
+            kind = np.dtype(dtype).char
+            found = ([t.id for t in tokenizer.model.tokenize(k.decode())] for k in keys)
+            return [struct.pack(f"<{len(ids)}{kind}", *ids) for ids in found]
 
         # Small ASCII letters pass normalising and splitting unchanged, so the library's model can take them directly.
         probes = [b"a", b"the", b"antidisestablishment", b"zqxjk"]
@@ -66,7 +68,7 @@ class Encoder:
             return [next(fast if e else slow) for e in easy]
 
         tails = dict(zip((b".", b","), plain([b".", b","])))
-        self.memo = Memo(ids)
+        self.memo = Memo(ids, most=40 << 20)
 
     def __call__(self, data: np.ndarray, bounds: np.ndarray) -> Iterator[bytes]:
         """Each text's ids. A-Z are lower-cased first, unless that could make a special string."""
