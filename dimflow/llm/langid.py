@@ -28,6 +28,8 @@ FEATURES = 1 << 12
 GRAMS = (1, 2, 3)
 STEPS, RATE, DECAY = 300, 0.5, 1e-4
 AMBIGUOUS = 0.2
+#: A filter keeps texts from this score on; of four languages, none told from another, each has 0.25.
+LEAST_SCORE = 0.4
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -190,13 +192,13 @@ def predicted(docs: DataFrame, id_col: str, text_col: str, model: Model) -> Data
 
 
 def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text has a language that is not ambiguous."""
+    """The rows of ``docs``, all columns as they are, whose text has a language with ``LEAST_SCORE`` at least."""
     model, at, schema = train(docs, id_col, text_col, label_col), docs.columns.index(text_col), docs.schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, _, unclear = _judge(model, batch.column(at))
-            keep = [n != UNKNOWN and not u for n, u in zip(names, unclear)]
+            names, scores, _ = _judge(model, batch.column(at))
+            keep = [n != UNKNOWN and score >= LEAST_SCORE for n, score in zip(names, scores)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(work, schema)
