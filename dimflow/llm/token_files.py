@@ -12,6 +12,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -82,11 +83,17 @@ class Encoder:
             yield b"".join(map(lookup, words))
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str, dtype: str) -> Encoder:
+    """One for all tasks of a Python worker, so that words learnt in one task are known in the next."""
+    return Encoder(path, dtype)
+
+
 def tokenised(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int, dtype: str) -> DataFrame:
     """``doc_id`` (long) and ``ids``, the end id included, for each document."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = Encoder(tokenizer, dtype), np.array([end_id], dtype).tobytes()
+        encode, end = encoder(tokenizer, dtype), np.array([end_id], dtype).tobytes()
         for batch in batches:
             data, bounds = text_buffer(batch.column(1))
             ids = [x + end for a, b in slices(np.diff(bounds)) for x in encode(data, bounds[a : b + 1])]
