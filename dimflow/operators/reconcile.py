@@ -8,16 +8,17 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dimflow.functions.names import sql_name, sql_text
 from dimflow.functions.rowhash import digest_halves, fold, row_text, strict_fold
 
 
 @dataclass(frozen=True)
 class Pair:
-    """A source table and the copy it is compared with."""
+    """A source table and the copy it is compared with; None where there is none yet, which fails its checks."""
 
     table: str
     source: DataFrame
-    target: DataFrame
+    target: DataFrame | None
 
 
 def fingerprint(df: DataFrame, strict: bool = False) -> DataFrame:
@@ -35,14 +36,15 @@ def compare(pairs: list[Pair], strict: bool = False) -> DataFrame:
     Each side is reduced to one row before the sides meet. Columns are hashed in the source's order.
     """
     sides = [
-        fingerprint(df.select(*pair.source.columns), strict).selectExpr(
-            f"'{pair.table}' as table_name",
+        fingerprint(df.select(*map(sql_name, pair.source.columns)), strict).selectExpr(
+            f"{sql_text(pair.table)} as table_name",
             f"'{side}' as side",
             "inline(array(struct('row_count' as check_type, cast(row_count as string) as value), "
             "struct('row_hash' as check_type, row_hash as value)))",
         )
         for pair in pairs
         for side, df in (("source", pair.source), ("target", pair.target))
+        if df is not None
     ]
     value = {s: F.max(F.when(F.col("side") == s, F.col("value"))) for s in ("source", "target")}
     return (

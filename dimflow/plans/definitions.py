@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimflow.functions.names import sql_text
 from dimflow.plans.layout import Usage, advise, gather, sort_advice, table_stats
 
 # The target's type names, and the least width of a text column.
@@ -27,21 +28,22 @@ def target_type(field: T.StructField) -> str:
     Text gets twice its longest value and at least 16; decimals and unknown types keep their name.
     """
     if isinstance(field.dataType, T.StringType):
-        return f"concat('VARCHAR(', greatest({LEAST_WIDTH}, 2 * lengths['{field.name}']), ')')"
-    return f"'{TARGET_TYPES.get(field.dataType, field.dataType.simpleString().upper())}'"
+        return f"concat('VARCHAR(', greatest({LEAST_WIDTH}, 2 * lengths[{sql_text(field.name)}]), ')')"
+    return sql_text(TARGET_TYPES.get(field.dataType, field.dataType.simpleString().upper()))
 
 
-def column_profile(df: DataFrame, table: str) -> DataFrame:
-    """One row per column with its target type; all text widths come from one pass."""
+def column_profile(df: DataFrame, table: str, in_bytes: bool = False) -> DataFrame:
+    """One row per column with its target type; all text widths come from one pass, in characters or bytes."""
     columns = [
-        f"named_struct('position', {i}, 'column_name', '{f.name}', 'target_type', {target_type(f)})"
+        f"named_struct('position', {i}, 'column_name', {sql_text(f.name)}, 'target_type', {target_type(f)})"
         for i, f in enumerate(df.schema.fields, start=1)
     ]
-    return table_stats(df, table).selectExpr("table_name", f"inline(array({', '.join(columns)}))")
+    return table_stats(df, table, in_bytes=in_bytes).selectExpr("table_name", f"inline(array({', '.join(columns)}))")
 
 
 def create_tables(
-    tables: dict[str, DataFrame], usages: dict[str, Usage], schema: str = "analytics", approx: bool = False
+    tables: dict[str, DataFrame], usages: dict[str, Usage], schema: str = "analytics", approx: bool = False,
+    in_bytes: bool = False,
 ) -> DataFrame:
     """One row per table: the create-table statement, with distribution and sort clauses.
 
@@ -49,16 +51,16 @@ def create_tables(
     """
     bodies, sorts = [], []
     for name, df in tables.items():
-        lines = [f"concat('    {f.name} ', {target_type(f)})" for f in df.schema.fields]
-        bodies.append(f"when '{name}' then concat_ws(',\\n', {', '.join(lines)})")
+        lines = [f"concat({sql_text(f'    {f.name} ')}, {target_type(f)})" for f in df.schema.fields]
+        bodies.append(f"when {sql_text(name)} then concat_ws(',\\n', {', '.join(lines)})")
         sort = sort_advice(usages[name]) if name in usages else None
-        order = f"\\n{sort.style} SORTKEY({', '.join(sort.columns)})" if sort and sort.columns else ""
-        sorts.append(f"when '{name}' then '{order}'")
-    advice = advise(gather(tables, usages, approx), usages)
+        order = f"\n{sort.style} SORTKEY({', '.join(sort.columns)})" if sort and sort.columns else ""
+        sorts.append(f"when {sql_text(name)} then {sql_text(order)}")
+    advice = advise(gather(tables, usages, approx, in_bytes), usages)
     return advice.select(
         "table_name",
         F.expr(
-            f"concat('CREATE TABLE {schema}.', table_name, ' (\\n', case table_name {' '.join(bodies)} end, '\\n)', "
+            f"concat({sql_text(f'CREATE TABLE {schema}.')}, table_name, ' (\\n', case table_name {' '.join(bodies)} end, '\\n)', "
             "case when distkey is not null then concat('\\nDISTKEY(', distkey, ')') "
             "else concat('\\nDISTSTYLE ', diststyle) end, "
             f"case table_name {' '.join(sorts)} end, ';\\n')"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import traceback
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -18,8 +18,34 @@ from dimflow.sources import load
 from dimflow.sources.readers import Source
 from dimflow.sources.store import AUDIT_TABLES, RAW, Store
 
-STEPS = ("extract", "transform", "validate")
-CRITICAL = frozenset({"extract"})
+
+@dataclass(frozen=True)
+class Job:
+    """What a run works on."""
+
+    store: Store
+    source: Source
+    specs: list[TableSpec]
+    star: Star
+    as_of: str
+    run_id: str
+
+
+@dataclass(frozen=True)
+class Step:
+    """A part of the job. ``work`` tells whether the data were found right; nothing follows a failed ``critical`` step."""
+
+    name: str
+    work: Callable[[Job], bool]
+    critical: bool = False
+
+    def attempt(self, job: Job) -> tuple[bool, str | None]:
+        """Whether the data were found right, and the error if there was one."""
+        try:
+            return self.work(job), None
+        except Exception as failure:  # it is for the caller to go on or not
+            traceback.print_exc()
+            return False, str(failure) or type(failure).__name__
 
 
 @dataclass(frozen=True)
@@ -31,17 +57,29 @@ class JobResult:
     statuses: dict[str, str]
 
 
-def determine_steps(
-    skip_extract: bool = False, only_validate: bool = False, only_step: str | None = None
-) -> list[str]:
-    """The steps to run, in order."""
-    if only_step is not None:
-        if only_step not in STEPS:
-            raise ValueError(f"unknown step {only_step}; the steps are {', '.join(STEPS)}")
-        return [only_step]
-    if only_validate:
-        return ["validate"]
-    return [step for step in STEPS if step != "extract" or not skip_extract]
+def _extract(job: Job) -> bool:
+    load.run(job.store, job.source, job.specs)
+    return True
+
+
+def _transform(job: Job) -> bool:
+    build_star(job.store, job.star, job.as_of)
+    return True
+
+
+def _validate(job: Job) -> bool:
+    return reconcile(job.store, job.source, job.specs, job.run_id)
+
+
+STEPS = (Step("extract", _extract, critical=True), Step("transform", _transform), Step("validate", _validate))
+
+
+def plan_steps(names: Collection[str] | None = None) -> list[Step]:
+    """The named steps, all without names, in the job's order."""
+    unknown = set(names or ()) - {step.name for step in STEPS}
+    if unknown:
+        raise ValueError(f"no such step: {', '.join(sorted(unknown))}")
+    return [step for step in STEPS if names is None or step.name in names]
 
 
 def run_job(
@@ -49,46 +87,30 @@ def run_job(
     source: Source,
     specs: list[TableSpec],
     star: Star,
-    steps: list[str] | None = None,
+    steps: Collection[str] | None = None,
     as_of: str | None = None,
     dry_run: bool = False,
     run_id: str | None = None,
 ) -> JobResult:
-    """Run the steps. A failed extract ends the run, other failures do not; a dry run only logs."""
+    """Run the named steps. A failed extract ends the run, other failures do not; a dry run only logs."""
     configure(store.spark)
-    run_id = run_id or str(uuid.uuid4())
-    as_of = as_of or _now().strftime("%Y-%m-%d %H:%M:%S")
-    outcome = {"validate": True}
-
-    def validate() -> None:
-        outcome["validate"] = reconcile(store, source, specs, run_id)
-
-    work: dict[str, Callable[[], object]] = {
-        "extract": lambda: load.run(store, source, specs),
-        "transform": lambda: build_star(store, star, as_of),
-        "validate": validate,
-    }
-    statuses: dict[str, str] = {}
-    for step in steps if steps is not None else determine_steps():
-        start, error = _now(), None
-        if dry_run:
-            statuses[step] = "DRY_RUN"
-        else:
-            try:
-                work[step]()
-                statuses[step] = "SUCCESS"
-            except Exception as failure:  # the run goes on unless the step is critical
-                traceback.print_exc()
-                statuses[step], error = "FAILED", str(failure)
-        _log(store, run_id, step, start, statuses[step], error)
-        if statuses[step] == "FAILED" and step in CRITICAL:
+    planned = plan_steps(steps)
+    job = Job(store, source, specs, star, as_of or _now().strftime("%Y-%m-%d %H:%M:%S"), run_id or str(uuid.uuid4()))
+    ok, statuses = True, {}
+    for step in planned:
+        start = _now()
+        right, error = (True, None) if dry_run else step.attempt(job)
+        statuses[step.name] = "DRY_RUN" if dry_run else "FAILED" if error else "SUCCESS"
+        _log(store, job.run_id, step.name, start, statuses[step.name], error)
+        ok = ok and right
+        if error and step.critical:
             break
-    return JobResult(run_id, "FAILED" not in statuses.values() and outcome["validate"], statuses)
+    return JobResult(job.run_id, ok, statuses)
 
 
 def reconcile(store: Store, source: Source, specs: list[TableSpec], run_id: str) -> bool:
     """Compare every raw table with its source, keep the result in the audit, tell whether all agree."""
-    pairs = [Pair(spec.name, source(spec.name), store.read(RAW, spec.name)) for spec in specs]
+    pairs = [Pair(spec.name, source(spec.name), store.find(RAW, spec.name)) for spec in specs]
     store.append("validation_results", report(pairs, run_id))
     return all_passed(store.audit("validation_results").where(F.col("run_id") == run_id)).first().all_passed
 

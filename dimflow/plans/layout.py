@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimflow.functions.names import sql_name, sql_text
+
 # The rules' thresholds.
 SMALL_TABLE_ROWS = 5000
 HIGH_CARDINALITY = 0.05
@@ -42,17 +44,22 @@ def text_columns(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def table_stats(df: DataFrame, table: str, keys: tuple[str, ...] = (), approx: bool = False) -> DataFrame:
+def table_stats(
+    df: DataFrame, table: str, keys: tuple[str, ...] = (), approx: bool = False, in_bytes: bool = False
+) -> DataFrame:
     """One row from one pass: row count, distinct values of each key, longest text per text column.
 
+    Texts are measured in characters, or with ``in_bytes`` in bytes of UTF-8.
+
     Exact distinct counts shuffle the distinct values of each key, after dropping repeats on the map
     side; ``approx`` replaces them by sketches of fixed size. NULLs are not counted.
     """
-    count = "approx_count_distinct(`{}`)" if approx else "count(distinct `{}`)"
+    count = "approx_count_distinct({})" if approx else "count(distinct {})"
     distincts = [
-        f"named_struct('position', {i}, 'name', '{k}', 'n', {count.format(k)})" for i, k in enumerate(keys)
+        f"named_struct('position', {i}, 'name', {sql_text(k)}, 'n', {count.format(sql_name(k))})" for i, k in enumerate(keys)
     ]
-    lengths = [f"'{t}', coalesce(max(length(`{t}`)), 0)" for t in text_columns(df.schema)]
+    width = "octet_length" if in_bytes else "length"
+    lengths = [f"{sql_text(t)}, coalesce(max({width}({sql_name(t)})), 0)" for t in text_columns(df.schema)]
     return df.agg(
         F.expr("count(1)").alias("row_count"),
         F.expr(f"array({', '.join(distincts)})").alias("distincts"),
@@ -150,10 +157,10 @@ def usage_of(table: str, usages: dict[str, Usage]) -> Usage:
     return usages[table]
 
 
-def gather(tables: dict[str, DataFrame], usages: dict[str, Usage], approx: bool = False) -> DataFrame:
+def gather(tables: dict[str, DataFrame], usages: dict[str, Usage], approx: bool = False, in_bytes: bool = False) -> DataFrame:
     """The stats rows of several tables; a table without a usage profile is an error."""
     rows = [
-        table_stats(df, name, usage_of(name, usages).join_keys, approx) for name, df in tables.items()
+        table_stats(df, name, usage_of(name, usages).join_keys, approx, in_bytes) for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, rows)
 
@@ -162,8 +169,8 @@ def advise(stats: DataFrame, usages: dict[str, Usage]) -> DataFrame:
     """The recommendation that follows from each stats row."""
     sorts = {table: sort_advice(usage) for table, usage in usages.items()}
     entries = ", ".join(
-        f"'{table}', named_struct('columns', array({', '.join(repr(c) for c in s.columns)}), "
-        f"'style', '{s.style}', 'rationale', '{s.rationale}')"
+        f"{sql_text(table)}, named_struct('columns', array({', '.join(map(sql_text, s.columns))}), "
+        f"'style', {sql_text(s.style)}, 'rationale', {sql_text(s.rationale)})"
         for table, s in sorts.items()
     )
     return (

@@ -110,6 +110,11 @@ class Store:
         df.write.mode("overwrite").parquet(self._generation(layer, table, generation))
         return self._commit(layer, table, Commit(generation, {}, df.schema, None))
 
+    def create(self, layer: str, spec: TableSpec, schema: T.StructType) -> DataFrame:
+        """An empty table to upsert into."""
+        self._write_buckets(layer, spec.name, 0, self.spark.createDataFrame([], schema).withColumn("_b", F.lit(0)))
+        return self._commit(layer, spec.name, Commit(0, {}, schema, None, _rule(spec)))
+
     def upsert(self, layer: str, spec: TableSpec, batch: DataFrame) -> int:
         """Replace the rows that share a key with the batch by the batch's, and advance the mark.
 
@@ -122,7 +127,7 @@ class Store:
         commit = self.commit(layer, spec.name)
         if commit:
             same_columns(commit.schema, batch.schema)
-            if not commit.live:
+            if not commit.live and commit.bucketing is None:
                 raise ValueError(f"{layer}.{spec.name} is replaced whole, it has no buckets to upsert into")
         keys = list(spec.keys)
         stamp = spec.updated_at if spec.updated_at in batch.columns else None

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from dimflow import harvest
 from dimflow.plans.definitions import create_tables
-from dimflow.plans.job import determine_steps, run_job
+from dimflow.plans.job import plan_steps, run_job
 from dimflow.sources.export import write_export
 from dimflow.sources.store import ANALYTICS, RAW
 from tests.conftest import rows
@@ -144,12 +144,29 @@ def test_failed_transform_does_not_stop_the_checks(spark, store):
 
 
 def test_steps():
-    assert determine_steps() == ["extract", "transform", "validate"]
-    assert determine_steps(skip_extract=True) == ["transform", "validate"]
-    assert determine_steps(only_validate=True) == ["validate"]
-    assert determine_steps(only_step="transform") == ["transform"]
-    with pytest.raises(ValueError, match="unknown step"):
-        determine_steps(only_step="load")
+    assert [s.name for s in plan_steps()] == ["extract", "transform", "validate"]
+    assert [s.name for s in plan_steps(["validate", "extract"])] == ["extract", "validate"]
+    assert [s.name for s in plan_steps() if s.critical] == ["extract"]
+    with pytest.raises(ValueError, match="no such step: load"):
+        plan_steps(["load"])
+
+
+def test_an_empty_source_table_gets_an_empty_raw_table_and_passes(spark, store):
+    empty = {**TABLES, "custody_events": []}
+    assert run(spark, store, empty, steps=["extract", "validate"]).ok
+    assert store.read(RAW, "custody_events").count() == 0
+    assert run(spark, store, steps=["extract", "validate"]).ok
+    assert store.read(RAW, "custody_events").count() == 2
+
+
+def test_a_table_never_loaded_fails_its_checks_only(spark, store):
+    specs = [spec for spec in harvest.TABLES if spec.name in ("regions", "crop_types")]
+    run_job(store, source_of(spark, TABLES), specs[:1], harvest.STAR, steps=["extract"])
+    result = run_job(store, source_of(spark, TABLES), specs, harvest.STAR, steps=["validate"])
+    assert result.statuses == {"validate": "SUCCESS"} and not result.ok
+    checks = store.audit("validation_results")
+    assert checks.count() == 4
+    assert rows(checks.where("not passed").select("table_name").distinct()) == [(specs[1].name,)]
 
 
 def test_export_reads_back_as_written(spark, tmp_path):
