@@ -233,8 +233,8 @@ _COLUMNS = {
 }
 
 
-def _width(column: str) -> str:
-    return f"'VARCHAR(' || greatest(16, 2 * coalesce(max(length({column})), 0)) || ')'"
+def _width(column: str, measure: str = "length") -> str:
+    return f"'VARCHAR(' || greatest(16, 2 * coalesce(max({measure}({column})), 0)) || ')'"
 
 
 def _definition(table: str) -> str:
@@ -395,11 +395,12 @@ _PROFILED = {
 }
 
 
-def _profiles() -> str:
+def _profiles(tables: tuple[str, ...] = tuple(_PROFILED), measure: str = "length") -> str:
     rows = []
-    for table, columns in _PROFILED.items():
+    for table in tables:
+        columns = _PROFILED[table]
         for i, (column, target) in enumerate(columns, start=1):
-            kind = _width(column) if target is None else f"'{target}'"
+            kind = _width(column, measure) if target is None else f"'{target}'"
             source = f" from {table}" if target is None else ""
             rows.append(
                 f"select '{table}' as table_name, {i} as position, '{column}' as column_name, "
@@ -409,6 +410,7 @@ def _profiles() -> str:
 
 
 ORACLES["column_profile"] = _profiles()
+ORACLES["column_profile_bytes"] = _profiles(("documents",), "strlen")
 
 ORACLES["full_replace"] = "select n_nationkey, 'new ' || n_name as n_name, n_regionkey from nation"
 ORACLES["stored_upsert"] = ORACLES["stored_upsert_by_range"] = ORACLES["stream_upsert"] = UPSERTED

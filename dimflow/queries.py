@@ -476,6 +476,12 @@ def column_profile(spark, sf_dir):
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+@query
+def column_profile_bytes(spark, sf_dir):
+    """Widths in bytes, as the target counts them."""
+    return definitions.column_profile(fx.table(spark, sf_dir, "documents"), "documents", in_bytes=True)
+
+
 @query
 def create_table_text(spark, sf_dir):
     return definitions.create_tables(_profiled(spark, sf_dir), fx.USAGES)
