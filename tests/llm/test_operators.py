@@ -285,3 +285,14 @@ def test_urls_follow_the_longest_rule(llm):
     assert {r.verdict for r in got.values()} <= {"allow", "block"}
     assert urls.judged(pages.limit(0), "url", ["page_id"], urls.RULES).count() == 0
     assert {r.verdict for r in urls.judged(pages, "url", ["page_id"], ()).collect()} == {"allow"}
+
+
+def test_word_ids_are_the_librarys_also_around_stops_and_odd_letters():
+    odd = ["a. b, c.", "x.,y ., É. İstanbul. ǅ. ", "", ".", " ,", "a.\nb.", "it's. <|endoftext|>. ABC<|endoftext|>a. b",
+           "日本語. ひらがな한국어 ét. a. b.　c", "ß, ŉ. ﬁn.", "don't. 3.5. a1. 1a.", *(t or "" for t in ODD)]
+    library = token_counts.load_tokenizer(WORDS)
+    for dtype in ("<u2", "<u4"):
+        data = np.frombuffer("".join(odd).encode(), np.uint8)
+        bounds = np.cumsum([0, *(len(t.encode()) for t in odd)])
+        got = [np.frombuffer(ids, dtype).tolist() for ids in token_files.Encoder(WORDS, dtype)(data, bounds)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in odd]
