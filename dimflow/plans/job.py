@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from dimflow.operators.reconcile import Pair, all_passed, report
 from dimflow.plans.star import Star, build_star
 from dimflow.registry import TableSpec
-from dimflow.session import configure
+from dimflow.session import configure, run_folder
 from dimflow.sources import load
 from dimflow.sources.readers import Source
 from dimflow.sources.store import AUDIT_TABLES, RAW, Store
@@ -92,14 +92,18 @@ def run_job(
     dry_run: bool = False,
     run_id: str | None = None,
 ) -> JobResult:
-    """Run the named steps. A failed extract ends the run, other failures do not; a dry run only logs."""
+    """Run the named steps. A failed extract ends the run, other failures do not; a dry run only logs.
+
+    Intermediate tables of a step are removed when it ends, however it ends.
+    """
     configure(store.spark)
     planned = plan_steps(steps)
     job = Job(store, source, specs, star, as_of or _now().strftime("%Y-%m-%d %H:%M:%S"), run_id or str(uuid.uuid4()))
     ok, statuses = True, {}
     for step in planned:
         start = _now()
-        right, error = (True, None) if dry_run else step.attempt(job)
+        with run_folder(store.spark):
+            right, error = (True, None) if dry_run else step.attempt(job)
         statuses[step.name] = "DRY_RUN" if dry_run else "FAILED" if error else "SUCCESS"
         _log(store, job.run_id, step.name, start, statuses[step.name], error)
         ok = ok and right

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -14,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 Item = TypeVar("Item")
 Result = TypeVar("Result")
 
+#: Local property that names the folder of the run a thread works for; threads of ``side_by_side`` inherit it.
+_RUN = "dimflow.run"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -48,7 +53,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="dimflow-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
@@ -56,7 +61,29 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has been written to yet."""
-    return f"{shared_folder(spark)}/dimflow/{name}-{uuid.uuid4().hex}"
+    run = spark.sparkContext.getLocalProperty(_RUN)
+    return f"{run or shared_folder(spark) + '/dimflow'}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """What is written to the shared folder inside the block goes to a folder of its own, removed at the end.
+
+    Nothing that outlives the block may still read from it: store results in tables first. Inside another
+    block nothing new is made, and the outer one removes everything.
+    """
+    context = spark.sparkContext
+    if outer := context.getLocalProperty(_RUN):
+        yield outer
+        return
+    folder = f"{shared_folder(spark)}/dimflow/run-{uuid.uuid4().hex}"
+    context.setLocalProperty(_RUN, folder)
+    try:
+        yield folder
+    finally:
+        context.setLocalProperty(_RUN, None)
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

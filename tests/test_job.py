@@ -2,11 +2,12 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from dimflow import harvest
+from dimflow import harvest, session
 from dimflow.plans.definitions import create_tables
 from dimflow.plans.job import plan_steps, run_job
 from dimflow.sources.export import write_export
@@ -65,6 +66,30 @@ def second_wave():
     return {**TABLES, "farmers": moved, "harvest_transactions": TABLES["harvest_transactions"] + more}, later
 
 
+def test_a_job_leaves_no_intermediate_files(spark, store, monkeypatch):
+    used = []
+    monkeypatch.setattr(session, "fresh_path", lambda s, name, make=session.fresh_path: used.append(make(s, name)) or used[-1])
+    kept = session.materialise(spark.range(3), "kept")
+    for as_of in ("2026-03-10 00:00:00", "2026-03-11 00:00:00"):
+        assert run(spark, store, as_of=as_of).ok
+    assert kept.count() == 3 and len(used) > 3
+    assert not [path for path in used[1:] if Path(path).exists()]
+    assert not list(Path(session.shared_folder(spark), "dimflow").glob("run-*"))
+
+
+def test_a_run_folder_is_one_for_all_its_threads_and_goes_with_an_error(spark):
+    with pytest.raises(ZeroDivisionError), session.run_folder(spark) as folder:
+        with session.run_folder(spark) as inner:
+            assert inner == folder
+        paths = session.side_by_side(spark, lambda n: session.fresh_path(spark, n), ["a", "b"])
+        assert all(p.startswith(folder + "/") for p in paths)
+        assert session.materialise(spark.range(2), "some").count() == 2
+        assert Path(folder).exists()
+        1 / 0
+    assert not Path(folder).exists()
+    assert "/run-" not in session.fresh_path(spark, "after")
+
+
 def test_job_end_to_end_again_and_with_new_activity(spark, store):
     first = run(spark, store, as_of="2026-03-10 00:00:00", run_id="one")
     assert first.ok and first.statuses == {"extract": "SUCCESS", "transform": "SUCCESS", "validate": "SUCCESS"}

@@ -134,6 +134,9 @@ def test_shared_folder_is_the_one_the_session_names(spark):
 def test_a_cluster_that_names_no_shared_folder_is_refused():
     context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://somewhere:7077")
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default), sparkContext=context)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+    context.master = "local-cluster[2,1,1024]"  # its executors are machines of their own to Spark
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session)
     context.getCheckpointDir = lambda: "hdfs:///shared/"
