@@ -3,14 +3,15 @@
 Each language has a codeword. For each bit a logistic classifier, fitted on hashed n-gram shares of a bounded
 sample of labelled documents, says which side of the bit a text is on. Decoding adds up, for each
 codeword, the losses of all bits weighted by how well each bit did on rows kept back, and takes the
-nearest codeword. A text whose two nearest codewords are about as near is flagged as ambiguous.
+nearest codeword. A text whose two nearest codewords are about as near is flagged as ambiguous: the gap of
+their losses, unlike a score over all languages, means the same for any number of them.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +28,8 @@ MOST_LANGUAGES = 500
 FEATURES = 1 << 12
 GRAMS = (1, 2, 3)
 STEPS, RATE, DECAY = 300, 0.5, 1e-4
-AMBIGUOUS = 0.2
-#: A filter keeps texts from this score on; of four languages, none told from another, each has 0.25.
-LEAST_SCORE = 0.4
+#: All but ``FEW`` of the rightly decided rows kept back reach some gap; texts below ``AMBIGUOUS`` of it are ambiguous.
+FEW, AMBIGUOUS = 0.01, 0.5
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -77,13 +77,14 @@ def codewords(n: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """Codewords, a classifier for each bit, and each bit's weight."""
+    """Codewords, a classifier for each bit, each bit's weight, and the gap below which texts are ambiguous."""
 
     languages: tuple[str, ...]
     code: np.ndarray
     weights: np.ndarray
     bias: np.ndarray
     trust: np.ndarray
+    limit: float = 0.0
 
     def losses(self, x: np.ndarray) -> np.ndarray:
         """Each text's weighted mean loss of each codeword."""
@@ -92,8 +93,16 @@ class Model:
         return (each * self.trust).sum(axis=2) / max(self.trust.sum(), 1e-12)
 
 
+def gaps(losses: np.ndarray) -> np.ndarray:
+    """How much farther the second codeword is than the nearest; without a second nothing is ambiguous."""
+    if losses.shape[1] < 2:
+        return np.full(len(losses), np.inf)
+    near = np.partition(losses, 1, axis=1)
+    return near[:, 1] - near[:, 0]
+
+
 def fit(x: np.ndarray, labels: list[str]) -> Model:
-    """Fit all bits together by gradient descent; every fifth row is kept back to weigh them."""
+    """Fit all bits together by gradient descent; every fifth row is kept back, to weigh them and to set the limit."""
     languages = tuple(sorted(set(labels)))
     y = np.searchsorted(languages, labels) if labels else np.empty(0, int)
     code = codewords(len(languages))
@@ -110,7 +119,12 @@ def fit(x: np.ndarray, labels: list[str]) -> Model:
         w, b = w + speed, b - RATE * pull.sum(axis=0)
     right = (np.sign(x[back] @ w + b) == code[y[back]]).mean(axis=0) if back.any() else np.ones(code.shape[1])
     trust = np.log(np.clip(right, 0.55, 0.999) / (1 - np.clip(right, 0.55, 0.999)))
-    return Model(languages, code, w, b, trust)
+    model = Model(languages, code, w, b, trust)
+    if len(languages) < 2 or not back.any():
+        return model
+    losses = model.losses(x[back])
+    reached = gaps(losses)[losses.argmin(axis=1) == y[back]]
+    return replace(model, limit=AMBIGUOUS * float(np.quantile(reached, FEW)) if len(reached) else 0.0)
 
 
 def held_out(id_col: str) -> Column:
@@ -155,6 +169,7 @@ def _judge(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray, np.nda
     names, scores, unclear = [], [], []
     for a, b in slices(np.diff(bounds)):
         losses = model.losses(features(data, bounds[a : b + 1]))
+        near = gaps(losses) < model.limit
         for i, row in enumerate(losses):
             if not len(row) or not _LETTER.search(data[bounds[a + i] : bounds[a + i + 1]].tobytes().decode()):
                 names.append(UNKNOWN)
@@ -163,10 +178,9 @@ def _judge(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray, np.nda
                 continue
             best = int(np.argmin(row))
             share = np.exp(row[best] - row)
-            second = np.partition(row, 1)[1] if len(row) > 1 else row[best] + 1
             names.append(model.languages[best])
             scores.append(float(1 / share.sum()))
-            unclear.append(bool(second - row[best] < AMBIGUOUS))
+            unclear.append(bool(near[i]))
     return names, np.array(scores), np.array(unclear, bool)
 
 
@@ -192,14 +206,16 @@ def predicted(docs: DataFrame, id_col: str, text_col: str, model: Model) -> Data
 
 
 def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text has a language with ``LEAST_SCORE`` at least."""
+    """The rows of ``docs``, all columns as they are, whose text has a language and is not ambiguous.
+
+    Of one learnt language alone no text is ambiguous: there is nothing to tell it from.
+    """
     model, at, schema = train(docs, id_col, text_col, label_col), docs.columns.index(text_col), docs.schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores, _ = _judge(model, batch.column(at))
-            keep = [n != UNKNOWN and score >= LEAST_SCORE for n, score in zip(names, scores)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            _, _, unclear = _judge(model, batch.column(at))
+            yield batch.filter(pa.array(~unclear, pa.bool_()))
 
     return docs.mapInArrow(work, schema)
 

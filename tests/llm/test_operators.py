@@ -264,6 +264,36 @@ def test_languages_are_told_apart(llm, nothing):
     assert {c for n in (2, 4, 9, 40) for c in np.unique(langid.codewords(n))} == {-1.0, 1.0}
 
 
+def _tongues(n: int, rows: int = 60) -> tuple[list[str], list[str]]:
+    """Texts and labels of ``n`` made-up languages with words of their own."""
+    rnd = random.Random(7)
+    words = [["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 7))) for _ in range(25)] for _ in range(n)]
+    labels = [f"l{i % n:02}" for i in range(n * rows)]
+    return [" ".join(rnd.choice(words[i % n]) for _ in range(40)) for i in range(n * rows)], labels
+
+
+@pytest.mark.parametrize("n", [2, 4, 20])
+def test_languages_are_rejected_by_the_gap_whatever_their_number(n):
+    def judge(texts):
+        return langid._judge(model, langid.pa.array(texts))
+
+    made, labels = _tongues(n)
+    data, bounds = langid.text_buffer(langid.pa.array(made))
+    order = np.random.default_rng(1).permutation(len(made))
+    model = langid.fit(langid.features(data, bounds)[order], [labels[i] for i in order])
+    names, _, unclear = judge(made)
+    assert np.mean(np.array(names) == labels) > 0.98 and unclear.mean() < 0.02
+    _, _, unclear = judge(["Στον ήλιο " * 30, "слово за слово " * 30, "日本語の文章です " * 30])
+    assert unclear.all()
+
+
+def test_language_filter_rejects_what_two_languages_do_not_tell(llm):
+    made, labels = _tongues(2)
+    rows = [(i, t, k) for i, (t, k) in enumerate(zip(made, labels))] + [(1000, "слово за слово " * 30, None)]
+    kept = {r.doc_id for r in langid.recognised(llm.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert 1000 not in kept and len(kept) > 0.98 * len(made)
+
+
 def test_shards_are_contiguous_and_even(docs, nothing, llm):
     many = llm.range(5000).selectExpr("id as doc_id", "repeat('x', int(id % 97)) as text")
     got = sharding.sharded(many, "doc_id", "text", 40).orderBy("doc_id").collect()
