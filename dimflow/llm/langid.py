@@ -15,16 +15,17 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.llm.common import query, slices, table, text_buffer
 
-#: About so many labelled documents of each language are learned from, and never more than ``MOST_ROWS``.
+#: So many distinct labelled texts of each language are learned from, fewer of each if all would be over ``MOST_ROWS``.
 ROWS_PER_LANGUAGE = 400
 MOST_ROWS = 4000
 MOST_LANGUAGES = 500
+SALT = 23
 FEATURES = 1 << 12
 GRAMS = (1, 2, 3)
 STEPS, RATE, DECAY = 300, 0.5, 1e-4
@@ -102,12 +103,14 @@ def gaps(losses: np.ndarray) -> np.ndarray:
 
 
 def fit(x: np.ndarray, labels: list[str]) -> Model:
-    """Fit all bits together by gradient descent; every fifth row is kept back, to weigh them and to set the limit."""
+    """Fit all bits together by gradient descent; every fifth row of a language is kept back, to weigh them and to set the limit."""
     languages = tuple(sorted(set(labels)))
     y = np.searchsorted(languages, labels) if labels else np.empty(0, int)
     code = codewords(len(languages))
-    back = np.arange(len(labels)) % 5 == 4
     share = np.bincount(y, minlength=len(languages))
+    # Counted within each language, so that none is kept back whole.
+    back, together = np.zeros(len(labels), bool), np.argsort(y, kind="stable")
+    back[together] = (np.arange(len(labels)) - np.repeat(np.cumsum(share) - share, share)) % 5 == 4
     even = 1 / share[y] / max(len(languages), 1) if len(labels) else np.empty(0)
     w, b = np.zeros((FEATURES, code.shape[1])), np.zeros(code.shape[1])
     speed, x = np.zeros_like(w), x.astype(np.float64)
@@ -132,23 +135,38 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> Model:
-    """A model of the labelled documents that are not held out.
+def sample(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame | None:
+    """``label, text``: of each label the distinct texts with the least salted hashes; None without labels.
 
-    Labels are counted first; then each document is taken by a hash of its text at a rate that gives about
-    ``ROWS_PER_LANGUAGE`` for its label, at most ``MOST_ROWS`` in all. Only their feature rows reach the driver.
+    All labels get the same number, ``ROWS_PER_LANGUAGE`` or what keeps them all within ``MOST_ROWS``, or all
+    their texts where they have fewer. How often a text comes up and where it stands change nothing.
     """
     text, label = F.col(f"`{text_col}`").cast("string"), F.col(f"`{label_col}`").cast("string")
     usable = docs.where(~held_out(id_col)).select(label.alias("label"), text.alias("text")).where("label IS NOT NULL AND text IS NOT NULL")
-    counts = usable.groupBy("label").count().limit(MOST_LANGUAGES + 1).collect()
+    usable = usable.withColumn("hash", F.pmod(F.xxhash64(F.lit(SALT), "text"), F.lit(1 << 62)))
+    counts = usable.groupBy("label").agg(F.approx_count_distinct("hash").alias("texts")).limit(MOST_LANGUAGES + 1).collect()
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} labels; these are no languages")
     if not counts:
+        return None
+    each = max(1, min(ROWS_PER_LANGUAGE, MOST_ROWS // len(counts)))
+    # Below this hash there are more texts than needed, so that only these move. The bounds are literals.
+    below = {r.label: int(min(1.0, (2 * each + 100) / max(r.texts, 1)) * (1 << 62)) for r in counts}
+    bounds = F.create_map(*[F.lit(v) for pair in below.items() for v in pair])
+    near = usable.where(F.col("hash") < F.element_at(bounds, F.col("label")))
+    distinct = near.groupBy("label", "hash").agg(F.min("text").alias("text"))
+    least = F.row_number().over(Window.partitionBy("label").orderBy("hash"))
+    return distinct.withColumn("place", least).where(F.col("place") <= each).select("label", "text")
+
+
+def train(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> Model:
+    """A model of the labelled documents that are not held out, learned from a ``sample`` of each label.
+
+    Only the feature rows of the sample reach the driver.
+    """
+    chosen = sample(docs, id_col, text_col, label_col)
+    if chosen is None:
         return fit(np.empty((0, FEATURES)), [])
-    # Rates are literals, so that texts are drawn where they are read and only the drawn ones move.
-    rates = F.create_map(*[F.lit(v) for row in counts for v in (row.label, min(1.0, ROWS_PER_LANGUAGE / row["count"]))])
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.element_at(rates, F.col("label")) * (1 << 30)
-    chosen = usable.where(drawn)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,7 +174,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> Model:
             rows = [r.tobytes() for a, b in slices(np.diff(bounds)) for r in features(data, bounds[a : b + 1])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["label", "x"])
 
-    rows = chosen.mapInArrow(work, "label string, x binary").limit(MOST_ROWS).collect()
+    rows = chosen.mapInArrow(work, "label string, x binary").collect()
     rows.sort(key=lambda r: (bytes(r.x), r.label))
     x = np.frombuffer(b"".join(bytes(r.x) for r in rows), np.float32).reshape(len(rows), FEATURES)
     order = np.random.default_rng(1).permutation(len(rows))

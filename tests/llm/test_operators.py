@@ -294,6 +294,26 @@ def test_language_filter_rejects_what_two_languages_do_not_tell(llm):
     assert 1000 not in kept and len(kept) > 0.98 * len(made)
 
 
+def test_every_language_is_learned_from(llm, monkeypatch, tmp_path):
+    """Twenty labels in files sorted by label, few and much-copied texts among them, and a third of all rows one text."""
+    made, labels = _tongues(20, 30)
+    rows = sorted(zip(labels, made)) + [("l00", made[0])] * 600 + [("zz", "hapax legomenon " * 20)] * 300
+    ids = [(i, t, k) for i, (k, t) in enumerate(rows)]
+    path = str(tmp_path / "sorted")
+    llm.createDataFrame(ids, "doc_id long, text string, lang string").repartitionByRange(10, "lang").write.parquet(path)
+    docs = llm.read.parquet(path)
+    monkeypatch.setattr(langid, "MOST_ROWS", 210)
+    drawn = langid.sample(docs, "doc_id", "text", "lang").collect()
+    each = defaultdict(list)
+    for r in drawn:
+        each[r.label].append(r.text)
+    assert len(each) == 21 and all(len(set(t)) == len(t) == (1 if k == "zz" else 10) for k, t in each.items())
+    model = langid.train(docs, "doc_id", "text", "lang")
+    got = langid.predicted(docs, "doc_id", "text", model).join(docs.select("doc_id", "lang"), "doc_id")
+    assert set(model.languages) == set(each) and got.where("lang = 'zz' AND lang_pred = lang").count() == 300
+    assert got.where("lang_pred = lang").count() > 0.9 * got.count()
+
+
 def test_shards_are_contiguous_and_even(docs, nothing, llm):
     many = llm.range(5000).selectExpr("id as doc_id", "repeat('x', int(id % 97)) as text")
     got = sharding.sharded(many, "doc_id", "text", 40).orderBy("doc_id").collect()
