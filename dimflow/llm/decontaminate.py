@@ -10,6 +10,8 @@
 4. A candidate is read word by word: every window of the item that stands in the document in full is an
    exact match, and the words inside are hit.
 
+``proximity`` also finds windows that are not exact, for callers of their own; ``contamination`` does not ask it.
+
 All steps are joins and aggregates on terms and documents; only benchmark-sized tables are ever small
 sides, and Spark decides by their written size whether to broadcast them.
 """
@@ -52,8 +54,12 @@ def item_words(benchmark: DataFrame, item_col: str, text_col: str, window: int)
     return materialise(items, "items")
 
 
-def item_seeds(docs: DataFrame, text_col: str, items: DataFrame) -> DataFrame:
-    """``term, item, place``: the words that every possible window of an item is looked up by."""
+def item_seeds(docs: DataFrame, text_col: str, items: DataFrame, near: bool = False) -> DataFrame:
+    """``term, item, place, len, windows``: the words that every possible window of an item is looked up by.
+
+    ``windows`` are the starts of the windows that chose the word. For ``near`` matches a window picks its three
+    rarest words that the training texts have, whatever words they lack.
+    """
     terms = materialise(items.select(F.explode("words").alias("term")).distinct(), "terms")
     used = docs.select(F.explode(words_of(F.col(f"`{text_col}`"))).alias("term")).join(terms, "term")
     counts = materialise(used.groupBy("term").agg(F.count(F.lit(1)).alias("uses")), "uses")
@@ -66,12 +72,16 @@ def item_seeds(docs: DataFrame, text_col: str, items: DataFrame) -> DataFrame:
         inside = F.transform(
             F.slice("places", start + 1, F.col("len")), lambda p: F.struct(p["uses"], p["place"], p["term"])
         )
-        chosen = F.slice(F.sort_array(inside), 1, 2)
-        return F.when(F.exists(inside, lambda p: p["uses"].isNull()), F.slice(chosen, 1, 0)).otherwise(chosen)
+        if near:
+            chosen = F.slice(F.sort_array(F.filter(inside, lambda p: p["uses"].isNotNull())), 1, 3)
+        else:
+            chosen = F.slice(F.sort_array(inside), 1, 2)
+            chosen = F.when(F.exists(inside, lambda p: p["uses"].isNull()), F.slice(chosen, 1, 0)).otherwise(chosen)
+        return F.transform(chosen, lambda p: F.struct(p["term"].alias("term"), p["place"].alias("place"), start.alias("window")))
 
     chosen = F.flatten(F.transform(F.sequence(F.lit(0), F.size("places") - F.col("len")), rarest))
-    seeds = placed.select("item", F.explode(F.array_distinct(chosen)).alias("seed"))
-    return materialise(seeds.select("seed.term", "item", "seed.place"), "seeds")
+    seeds = placed.select("item", "len", F.explode(chosen).alias("seed")).select("seed.*", "item", "len")
+    return materialise(seeds.groupBy("term", "item", "place", "len").agg(F.collect_list("window").alias("windows")), "seeds")
 
 
 def postings(docs: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> DataFrame:
@@ -96,16 +106,27 @@ def alignments(index: DataFrame, seeds: DataFrame, items: DataFrame) -> DataFram
 
 
 def proximity(index: DataFrame, seeds: DataFrame, slop: int) -> DataFrame:
-    """``doc, item``: documents where all seeds of an item stand within ``slop`` words of their order there."""
-    starts = index.join(seeds, "term").select("doc", "item", "place", F.explode("positions").alias("at"))
-    starts = starts.groupBy("doc", "item", "place").agg(F.sort_array(F.collect_set(F.col("at") - F.col("place"))).alias("starts"))
-    lists = starts.groupBy("doc", "item").agg(F.collect_list("starts").alias("lists"), F.count(F.lit(1)).alias("met"))
-    lists = lists.join(seeds.groupBy("item").agg(F.count(F.lit(1)).alias("wanted")), "item").where("met = wanted")
-    near = F.exists(
-        F.element_at("lists", 1),
-        lambda s: F.forall("lists", lambda other: F.exists(other, lambda o: F.abs(o - s) <= slop)),
-    )
-    return lists.where(near).select("doc", "item")
+    """``doc, item``: documents with two seeds of one window of an item, in its order and within ``slop`` words of their distance there.
+
+    Any window will do, so that part of a long item is found too. One seed is enough for items of one word only.
+    """
+    met = index.join(seeds, "term").select("doc", "item", "len", "place", F.explode("windows").alias("window"), "positions")
+    each = F.transform("positions", lambda at: F.struct(at.alias("at"), F.col("place").alias("place")))
+    lists = met.groupBy("doc", "item", "len", "window").agg(F.array_sort(F.flatten(F.collect_list(each))).alias("found"))
+
+    def follows(later: Column, i: Column) -> Column:
+        # A window has three places at most, each at any position once: no more can stand within the reach.
+        reach = 3 * (F.col("len") + slop)
+        before = F.slice("found", F.greatest(i - reach, F.lit(0)) + 1, F.least(i, reach))
+        return F.exists(
+            before,
+            lambda b: (b["place"] < later["place"])
+            & (b["at"] < later["at"])
+            & (F.abs((later["at"] - later["place"]) - (b["at"] - b["place"])) <= slop),
+        )
+
+    near = F.exists(F.transform("found", follows), lambda f: f)
+    return lists.where((F.col("len") == 1) | near).select("doc", "item").distinct()
 
 
 def contamination(

@@ -174,6 +174,21 @@ def test_proximity_of_seeds(llm):
     assert {r.id for r in near} <= {r.id for r in found} and "1" in {r.id for r in near}
 
 
+def test_proximity_finds_windows_with_a_word_put_in_or_changed(llm):
+    words = [f"w{i:02}" for i in range(30)]
+    put_in = " ".join(w + (" um" if i % 5 == 2 else "") for i, w in enumerate(words))
+    changed = " ".join("other" if i % 6 == 3 else w for i, w in enumerate(words))
+    rows = [(1, put_in), (2, changed), (3, "so " * 9 + " ".join(words[12:24])), (4, " ".join(reversed(words))), (5, " ".join(w + " x" * 40 for w in words)), (6, "none of it")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    lacking = " ".join(w + (" unseen" if i % 8 == 7 else "") for i, w in enumerate(words))
+    for n, text in enumerate((" ".join(words), lacking)):
+        items = decontaminate.item_words(llm.createDataFrame([(1, text)], "item_id long, text string"), "item_id", "text", 10)
+        seeds = decontaminate.item_seeds(docs, "text", items, near=True)
+        index = decontaminate.postings(docs, "doc_id", "text", seeds.select("term"))
+        found = [r.id for r in decontaminate.proximity(index, seeds, 3).select("doc.id").collect()]
+        assert sorted(found) == ["1", "2", "3"], n
+
+
 def test_token_counts_and_ids_equal_the_libraries(docs, nothing):
     tokenizer = token_counts.load_tokenizer(JSON)
     for r in token_counts.token_counts(docs, "doc_id", "text", JSON).collect():
