@@ -2,7 +2,7 @@
 
 Host and path are cut with native expressions. Rules are a short list given by the caller, so they become one
 CASE, longest rule first. What no rule decides goes to a model trained on a small labelled table of
-URLs: counts of character n-grams of host and path, hashed into a fixed number of features, weighted by
+URLs, which owes nothing to the rules: counts of character n-grams of host and path, hashed into a fixed number of features, weighted by
 Spark's logistic regression.
 """
 
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.llm.common import query, table
@@ -21,8 +21,22 @@ from dimflow.llm.common import query, table
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = 1 << 14
 NGRAMS = (2, 3, 4)
-#: The most labelled URLs that the model is fitted on.
-LABELLED_ROWS = 2000
+#: Names of hosts by language, good and spam, written for this table. Twice as many are good, so that unheard-of names pass.
+GOOD = {
+    "en": ("library", "weather", "gardening", "university", "history", "museum", "the-other-weather", "mathematics", "northern-town", "cooking",
+           "fashion", "workshop", "relationships", "stations", "english-theatre", "health", "nations", "fish-and-ships"),
+    "de": ("bibliothek", "wetter", "garten", "universitaet", "geschichte", "nachrichten", "stadt-museum", "rezepte", "wanderung", "schule"),
+    "fr": ("bibliotheque", "meteo", "jardin", "universite", "histoire", "musee", "recettes", "la-ville", "journal", "ecole"),
+    "es": ("biblioteca", "tiempo", "jardin", "universidad", "historia", "museo", "recetas", "la-ciudad", "noticias", "escuela"),
+}
+SPAM = {
+    "en": ("casino", "online-casino", "casino-slots", "win-casino", "best-bets", "free-pills", "win-cash", "ads-click-tracker", "spam-links"),
+    "de": ("spielcasino", "sport-wetten-bonus", "gratis-pillen", "gewinnspiel-ads", "sofort-kredit"),
+    "fr": ("casino-gratuit", "paris-bonus", "pilules-gratuites", "gagner-cash", "pub-tracker"),
+    "es": ("casino-gratis", "apuestas-bonus", "pastillas-gratis", "ganar-cash", "ads-tracking"),
+}
+#: Each name comes once with each of these, good or spam, so that they teach the model nothing.
+SUBDOMAINS, DOMAINS = ("", "www.", "m.", "blog."), ("example.com", "example.net", "example.org")
 
 
 @dataclass(frozen=True)
@@ -95,16 +109,22 @@ def train(labelled: DataFrame):
         rows.unpersist()
 
 
-def labelled_sample(ruled: DataFrame, rows: int = LABELLED_ROWS) -> DataFrame:
-    """At most ``rows`` URLs that rules decide, the same whatever the partitions: those of the least hashes."""
-    order = [F.xxhash64("host", "path"), F.col("host"), F.col("path"), F.col("ruled")]
-    return ruled.where("ruled IS NOT NULL").select("host", "path", "ruled").orderBy(*order).limit(rows)
+def labelled_urls(spark: SparkSession) -> DataFrame:
+    """``host, path, ruled``: the labelled table, every name in the paths of every language."""
+    named = [(name, verdict) for verdict, names in (("allow", GOOD), ("block", SPAM)) for of in names.values() for name in of]
+    rows = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(verdict).alias("ruled")) for name, verdict in sorted(set(named))])
+    urls = spark.range(1).select(F.inline(rows))
+    for column, values in (("sub", SUBDOMAINS), ("domain", DOMAINS), ("lang", tuple(GOOD))):
+        urls = urls.select("*", F.explode(F.array(*[F.lit(v) for v in values])).alias(column))
+    # Numbers of one to five digits, the same for all names.
+    number = F.substring(F.pmod(F.xxhash64("sub", "domain", "lang"), F.lit(90000)).cast("string"), 1, F.pmod(F.hash("lang", "domain", "sub"), F.lit(5)) + 1)
+    return urls.select(F.concat("sub", "name", F.lit("."), "domain").alias("host"), F.concat(F.lit("/"), "lang", F.lit("/"), number).alias("path"), "ruled")
 
 
 def judged(urls: DataFrame, url_col: str, carry: Sequence[str], rules: Sequence[UrlRule], labelled: DataFrame | None = None) -> DataFrame:
     """``carry`` columns, ``host``, ``path``, ``rule`` and ``verdict``.
 
-    ``labelled`` has ``host, path, ruled``; without it the model learns from URLs that rules decide. Null
+    ``labelled`` has ``host, path, ruled``; without it the model learns from ``labelled_urls``. Null
     URLs and such without ``://`` have an empty host and path and get the model's verdict on those. With
     nothing to learn from the verdict is ``allow``. Rows stand for themselves; ``carry`` may not name a
     result column.
@@ -112,7 +132,7 @@ def judged(urls: DataFrame, url_col: str, carry: Sequence[str], rules: Sequence[
     if clash := set(carry) & {"host", "path", "rule", "ruled", "verdict"}:
         raise ValueError(f"rename {sorted(clash)} first")
     rows = with_rules(urls, url_col, carry, rules)
-    model = train(labelled_sample(rows) if labelled is None else labelled)
+    model = train(labelled_urls(urls.sparkSession) if labelled is None else labelled)
     if model is None:
         learnt, scored = F.lit("allow"), rows
     else:

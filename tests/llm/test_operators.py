@@ -352,6 +352,17 @@ def test_urls_follow_the_longest_rule(llm):
     assert {r.verdict for r in urls.judged(pages, "url", ["page_id"], ()).collect()} == {"allow"}
 
 
+def test_url_model_knows_more_than_the_rules(llm):
+    bad = ["free-bets.example.com/en/1", "m.ads-track.example.com/en/77", "www.casino-win.example.net/de/3", "free-bets.example.com/es/4"]
+    good = ["ththan.example.net/de/1", "m.ththha.example.net/es/2", "www.garten.example.net/de/3", "blog.therly.example.com/en/4", "museo.example.com/es/5"]
+    pages = llm.createDataFrame([(i, f"http://{u}") for i, u in enumerate(bad + good)], "page_id long, url string")
+    rules = urls.RULES[:3]  # they decide none of these
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judged(pages, "url", ["page_id"], rules).collect()}
+    assert [got[i] for i in range(len(got))] == [(None, "block")] * len(bad) + [(None, "allow")] * len(good)
+    table = urls.labelled_urls(llm)
+    assert table.count() == table.distinct().count() == table.select("host", "path").distinct().count()
+
+
 def test_word_ids_are_the_librarys_also_around_stops_and_odd_letters():
     odd = ["a. b, c.", "x.,y ., É. İstanbul. ǅ. ", "", ".", " ,", "a.\nb.", "it's. <|endoftext|>. ABC<|endoftext|>a. b",
            "日本語. ひらがな한국어 ét. a. b.　c", "ß, ŉ. ﬁn.", "don't. 3.5. a1. 1a.", *(t or "" for t in ODD)]
