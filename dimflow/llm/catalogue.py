@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from corpus_pipeline import ORACLE_SQL, run
-from dimflow.llm import bpe, decontaminate, langid, neardup, quality, sharding, spelling, suffixes, token_counts, token_files, urls, warc  # noqa: F401
+from dimflow.llm import alignment, bpe, decontaminate, langid, neardup, quality, sharding, spelling, suffixes, token_counts, token_files, urls, warc  # noqa: F401
 from dimflow.llm.common import REGISTRY
 from dimflow.llm.oracles import ORACLES
 
