@@ -32,7 +32,7 @@ from dimflow.llm.common import query, table, text_buffer
 from dimflow.session import materialise
 
 THRESHOLD = 400
-PIECE = 1 << 20  # windows worked on at once
+PIECE = 1 << 20  # windows worked on at once, at most 2^21 less the threshold
 _PLACE = np.uint64((1 << 21) - 1)
 _BASE = 0x9E3779B97F4A7C15  # odd, so powers have inverses modulo 2^64
 _STEP = 8
@@ -48,7 +48,7 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=24)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A number for each byte, and the powers of the base and of its inverse."""
     of_byte = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
@@ -58,7 +58,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def anchors(data: np.ndarray, gram: int, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """For each window of ``threshold`` bytes the place and the hash of its anchor."""
-    of_byte, up, down = _powers(PIECE + threshold)
+    of_byte, up, down = _powers(1 << (len(data) - 1).bit_length())
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(of_byte[data] * up[: len(data)])])
     hashes = _mixed((sums[gram:] - sums[:-gram]) * down[: len(data) - gram + 1])
     # The place in the low bits makes the least of all the leftmost of equals.
@@ -80,14 +80,14 @@ def digests(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> list[np.n
     return [pairs[:, 0], pairs[:, 1]]
 
 
-def runs_of(data: np.ndarray, bounds: np.ndarray, threshold: int) -> Iterator[list[np.ndarray]]:
+def runs_of(data: np.ndarray, bounds: np.ndarray, threshold: int, piece: int = PIECE) -> Iterator[list[np.ndarray]]:
     """Row number, first suffix, number of suffixes, anchor, its hash, and digests of each run, piece by piece.
 
     Suffixes that share an anchor are a run; a run ends with its text, and where a piece ends.
     """
     gram, end = max(1, threshold // 2), int(bounds[-1])
-    for at in range(int(bounds[0]), end - threshold + 1, PIECE):
-        places, hashes = anchors(data[at : min(at + PIECE + threshold - 1, end)], gram, threshold)
+    for at in range(int(bounds[0]), end - threshold + 1, piece):
+        places, hashes = anchors(data[at : min(at + piece + threshold - 1, end)], gram, threshold)
         starts = np.arange(at, at + len(places))
         rows = np.searchsorted(bounds, starts, "right") - 1
         whole = np.flatnonzero(starts + threshold <= bounds[rows + 1])
@@ -121,12 +121,12 @@ def cuts_of(text: np.ndarray, lo: np.ndarray, n: np.ndarray, anchor: np.ndarray,
     return [lo, n, anchor, *a, *(a if step == 1 else digests(text, lo, lo + n - 1 + threshold))]
 
 
-def _runs(texts: DataFrame, threshold: int) -> DataFrame:
+def _runs(texts: DataFrame, threshold: int, piece: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = text_buffer(batch.column(1))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for rows, lo, n, anchor, gram, x, y in runs_of(data, bounds, threshold):
+            for rows, lo, n, anchor, gram, x, y in runs_of(data, bounds, threshold, piece):
                 columns = [ids[rows], lo, n.astype(np.int32), anchor, gram, np.zeros_like(gram), x, y]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_NAMES)
 
@@ -181,7 +181,7 @@ def _merged(spans: DataFrame, threshold: int) -> DataFrame:
     return grouped.mapInArrow(work, "row long, spans array<struct<start:long,end:long>>")
 
 
-def without_repeats(docs: DataFrame, id_col: str, text_col: str, threshold: int = THRESHOLD) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str, text_col: str, threshold: int = THRESHOLD, piece: int = PIECE) -> DataFrame:
     """``id_col``, ``n_bytes``, ``spans`` and ``kept`` for each document.
 
     ``spans`` are the maximal stretches of UTF-8 bytes (``start`` inside, ``end`` outside) covered by strings of
@@ -199,7 +199,7 @@ def without_repeats(docs: DataFrame, id_col: str, text_col: str, threshold: int
     )
     rows = materialise(rows, "texts")  # which fixes the row numbers
     texts = rows.select("row", "text")
-    repeated, undecided = _pass(_runs(texts, threshold))
+    repeated, undecided = _pass(_runs(texts, threshold, piece))
     spans = repeated
     for step in (max(1, min(_STEP, threshold // 2)), 1):
         repeated, undecided = _pass(_cuts(texts, undecided, step, threshold))

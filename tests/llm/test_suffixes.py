@@ -53,21 +53,19 @@ def texts_with_repeats(seed: int, n: int = 120) -> list[str | None]:
 
 
 @pytest.mark.parametrize(("seed", "threshold", "piece"), [(1, 20, 1 << 20), (2, 33, 64), (3, 9, 17), (4, 2, 1 << 10), (5, 50, 1 << 20)])
-def test_equals_brute_force(spark, monkeypatch, seed, threshold, piece):
+def test_equals_brute_force(spark, seed, threshold, piece):
     """Also where texts are worked on in pieces shorter than themselves, which cuts runs in two."""
-    monkeypatch.setattr(suffixes, "PIECE", piece)
     texts = texts_with_repeats(seed)
     docs = prepare(spark).createDataFrame([(i, t, "c", 1, None) for i, t in enumerate(texts)], SCHEMA).repartition(3)
-    assert found(suffixes.without_repeats(docs, "doc_id", "text", threshold)) == dict(enumerate(brute(texts, threshold)))
+    assert found(suffixes.without_repeats(docs, "doc_id", "text", threshold, piece)) == dict(enumerate(brute(texts, threshold)))
 
 
-def test_runs_cover_each_window_once(monkeypatch):
+def test_runs_cover_each_window_once():
     for piece in (7, 50, 1 << 20):
-        monkeypatch.setattr(suffixes, "PIECE", piece)
         raws = [t.encode() for t in texts_with_repeats(6) if t]
         data, bounds = np.frombuffer(b"".join(raws), np.uint8), np.cumsum([0, *map(len, raws)])
         got = Counter()
-        for rows, lo, n, anchor, *_ in suffixes.runs_of(data, bounds, 24):
+        for rows, lo, n, anchor, *_ in suffixes.runs_of(data, bounds, 24, piece):
             for r, a, k, p in zip(rows.tolist(), lo.tolist(), n.tolist(), anchor.tolist()):
                 got.update((r, s) for s in range(a, a + k))
                 assert a + k - 1 <= p <= a + 12
