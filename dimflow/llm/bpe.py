@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from struct import pack
 
 import numpy as np
@@ -261,6 +262,12 @@ class Codec:
         yield decoder.finish()
 
 
+@lru_cache(maxsize=2)
+def codec(rank_file: str, pattern: str) -> Codec:
+    """One for all tasks of a Python worker: states and pieces made in one task are there in the next."""
+    return Codec(load_ranks(rank_file), pattern)
+
+
 def _long(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in columns.items()])
 
@@ -269,10 +276,10 @@ def encoded(docs: DataFrame, id_col: str, text_col: str, rank_file: str, pattern
     """``id_col`` and ``ids`` (binary, little-endian unsigned 32-bit) for each document; null texts have no ids."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(load_ranks(rank_file), pattern)
+        known = codec(rank_file, pattern)
         for batch in batches:
             data, bounds = text_buffer(batch.column(1))
-            ids = [x for a, b in slices(np.diff(bounds)) for x in codec.encode(data, bounds[a : b + 1])]
+            ids = [x for a, b in slices(np.diff(bounds)) for x in known.encode(data, bounds[a : b + 1])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=[id_col, "ids"])
 
     rows = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string").alias("_text"))
@@ -303,16 +310,16 @@ def round_trip(docs: DataFrame, id_col: str, text_col: str, rank_file: str, patt
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(load_ranks(rank_file), pattern)
+        known = codec(rank_file, pattern)
         for batch in batches:
             data, bounds = text_buffer(batch.column(1))
             counts, ids_sha, text_sha = [], [], []
             for a, b in slices(np.diff(bounds)):
-                for ids in codec.encode(data, bounds[a : b + 1]):
+                for ids in known.encode(data, bounds[a : b + 1]):
                     counts.append(len(ids) // 4)
                     ids_sha.append(hashlib.sha256(ids).hexdigest())
                     digest = hashlib.sha256()
-                    for chunk in codec.decode(ids):
+                    for chunk in known.decode(ids):
                         digest.update(chunk)
                     text_sha.append(digest.hexdigest())
             yield pa.RecordBatch.from_arrays(
