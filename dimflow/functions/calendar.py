@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The bounds of an open validity interval, and the mark a first load starts from.
+# The bounds of an open validity interval.
 INCEPTION = "1900-01-01 00:00:00"
 FAR_FUTURE = "9999-12-31 00:00:00"
-LOAD_EPOCH = "2000-01-01 00:00:00"
 
 
 def ntz(text: str) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from dimflow import fixtures as fx
 from dimflow.functions import calendar
-from dimflow.functions.calendar import LOAD_EPOCH
 from dimflow.operators import dimensions, facts, highwater, pointintime, quality, reconcile, trace, upsert
 from dimflow.operators import versioned
 from dimflow.plans import definitions, layout
@@ -59,14 +58,14 @@ def highwater_batch(spark, sf_dir):
 
 @query
 def highwater_first_load(spark, sf_dir):
-    rows = highwater.past_mark(fx.table(spark, sf_dir, "events"), LOAD_EPOCH, "ts")
+    rows = highwater.past_mark(fx.table(spark, sf_dir, "events"), updated_at="ts")
     return rows.withColumn("ts", instant("ts"))
 
 
 @query
 def highwater_state(spark, sf_dir):
     marks = [
-        highwater.high_water(highwater.past_mark(fx.table(spark, sf_dir, name), LOAD_EPOCH, stamp), stamp).select(
+        highwater.high_water(highwater.past_mark(fx.table(spark, sf_dir, name), updated_at=stamp), stamp).select(
             F.lit(name).alias("table_name"), instant("last_watermark").alias("last_watermark")
         )
         for name, stamp in (("events", "ts"), ("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
@@ -495,14 +494,17 @@ def _lots(spark, sf_dir):
 
 
 def _batch_events(spark, sf_dir):
-    """What happened to the batches: each one's lots, carrying the batch total less the errors found."""
+    """What happened to the batches: each one's lots, carrying the batch total less the errors found.
+
+    Events of a node and week without a lot carry nothing.
+    """
     rows = fx.event_rows(spark, sf_dir)
     totals = trace.assemble(_lots(spark, sf_dir), "user_id", "ts", "value")
     moves = rows.where(F.col("event_type") != "purchase").select(
         calendar.batch_id("user_id", "ts").alias("batch_id"), "event_id", "ts", "event_type", "value"
     )
     lost = F.when((F.col("event_type") == "error") & (F.col("value") > 250), F.lit(1)).otherwise(F.lit(0))
-    return moves.join(totals, "batch_id").select(
+    return moves.join(totals, "batch_id", "left").select(
         "batch_id", "event_id", "ts", "event_type", (F.col("total_quantity") - lost).alias("carried")
     )
 
@@ -602,9 +604,8 @@ def stored_upsert_late(spark, sf_dir):
     store = _store(spark)
     store.upsert(RAW, EVENTS, fx.event_base(spark, sf_dir))
     store.upsert(RAW, EVENTS, fx.event_batch(spark, sf_dir))
-    late = fx.event_batch(spark, sf_dir).withColumn("ts", F.expr("ts - interval 5 years")).limit(200)
-    known = store.read(RAW, "events").select("event_id")
-    store.upsert(RAW, EVENTS, late.join(known, "event_id", "left_semi"))
+    late = fx.event_batch(spark, sf_dir).withColumn("ts", F.expr("ts - interval 5 years"))
+    store.upsert(RAW, EVENTS, late.withColumn("value", -F.col("value")))
     return _events_shown(store.read(RAW, "events"))
 
 
