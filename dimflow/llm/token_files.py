@@ -116,14 +116,24 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_i
     return rows.mapInArrow(work, "doc_id long, ids binary")
 
 
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column in one array, and where each row begins and the last one ends."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
 def id_counts(tokens: DataFrame, dtype: str, vocabulary: int) -> np.ndarray:
     """How often each id occurs in all documents; one number per id reaches the driver."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                total += np.bincount(np.frombuffer(ids.as_buffer(), dtype), minlength=vocabulary)
+            data, bounds = _bytes_of(batch.column(0))
+            for a, b in slices(np.diff(bounds)):
+                total += np.bincount(data[bounds[a] : bounds[b]].view(dtype), minlength=vocabulary)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], names=["id", "n"])
 
@@ -210,18 +220,26 @@ def read_lengths(file: str) -> np.ndarray:
     return np.frombuffer(zlib.decompress(files.read(file, len(head), packed)), np.uint8)
 
 
+@lru_cache(maxsize=4)
+def _code(packed: bytes) -> Code:
+    return Code.of(np.frombuffer(packed, np.uint8))
+
+
+@lru_cache(maxsize=4096)
+def _code_of(file: str) -> Code:
+    """The code of a file; its header is read once by a Python worker, and files of one writing share one table."""
+    return _code(read_lengths(file).tobytes())
+
+
 def read_files(manifest: DataFrame) -> DataFrame:
     """``doc_id``, ``start``, ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit) of all documents, from the files."""
     totals = manifest.groupBy("part", "file").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()
     bases = dict(zip((t.file for t in totals), accumulate((t.n for t in totals), initial=0)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, lengths = None, None
         for batch in batches:
             for row in batch.to_pylist():
-                own = read_lengths(row["file"])
-                if lengths is None or not np.array_equal(own, lengths):
-                    code, lengths = Code.of(own), own
+                code = _code_of(row["file"])
                 docs, ids = read_block(files.read(row["file"], row["offset"], row["length"]), code)
                 sizes = np.array([len(x) for x in ids], np.int64)
                 starts = bases[row["file"]] + row["first"] + np.cumsum(sizes) - sizes
