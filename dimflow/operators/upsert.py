@@ -48,16 +48,14 @@ def replace_keys(base: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFram
     return base.join(fresh.select(*keys), keys, "left_anti").select(*base.columns).unionByName(fresh)
 
 
-def keep_newest(base: DataFrame, fresh: DataFrame, keys: list[str], updated_at: str) -> DataFrame:
-    """Both sides' rows, of each key the one with the later stamp; on a tie, or without stamps, the batch's.
+def older_than(fresh: DataFrame, base: DataFrame, keys: list[str], updated_at: str) -> DataFrame:
+    """Keys of fresh rows for which the base has a later stamp; a tie, or no stamp in the base, is not later.
 
-    Both sides hold one row per key. The keys meet in one aggregate, so rows move as often as in a join.
+    Only keys and stamps of the base are read, and it is not moved if the batch is small enough to broadcast.
     """
-    others = [c for c in base.columns if c not in keys]
-    both = base.withColumn("_fresh", F.lit(0)).unionByName(fresh.withColumn("_fresh", F.lit(1)))
-    newest = F.max_by(F.struct(*others), F.struct(updated_at, "_fresh")).alias("_newest")
-    kept = both.groupBy(*keys).agg(newest)
-    return kept.select(*[F.col(c) if c in keys else F.col(f"_newest.`{c}`").alias(c) for c in base.columns])
+    stamps = fresh.select(*keys, F.col(updated_at).alias("_stamp"))
+    later = (F.col(updated_at) > F.col("_stamp")) | (F.col("_stamp").isNull() & F.col(updated_at).isNotNull())
+    return base.select(*keys, updated_at).join(stamps, keys).where(later).select(*keys)
 
 
 def same_columns(table: StructType, batch: StructType) -> None:

@@ -66,6 +66,14 @@ def _as_versions(rows: DataFrame, key_col: str, columns: list[str], as_of: Colum
     )
 
 
+def single(rows: DataFrame, natural_key: str) -> DataFrame:
+    """The rows; a natural key that is there twice is an error, as it would get two current versions."""
+    twice = rows.groupBy(natural_key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").first()
+    if twice:
+        raise ValueError(f"the snapshot holds {natural_key} {twice[0]} more than once")
+    return rows
+
+
 def initial_load(
     snapshot: DataFrame, key_col: str, natural_key: str, order_by: list[str] | None = None
 ) -> Wave:
@@ -73,10 +81,51 @@ def initial_load(
     rows = dense_keys(
         _keyed(snapshot, natural_key).withColumn("change", F.lit(NEW)), key_col, order_by or [natural_key]
     )
-    versions = _as_versions(rows, key_col, snapshot.columns, ntz(INCEPTION))
+    versions = _as_versions(single(rows, natural_key), key_col, snapshot.columns, ntz(INCEPTION))
     return Wave(versions.drop("change"), versions)
 
 
+def added_versions(
+    current: DataFrame,
+    snapshot: DataFrame,
+    key_col: str,
+    natural_key: str,
+    tracked: list[str],
+    as_of: Column,
+    start_after: int,
+    order_by: list[str] | None = None,
+) -> DataFrame:
+    """The versions a snapshot adds to a dimension whose ``current`` versions are given, with their ``change``.
+
+    The snapshot meets the current versions in one join. Only what that join found to be new or changed is
+    numbered, new keys first, and written.
+    """
+    found = classify(current, snapshot, natural_key, tracked).where(F.col("change") != UNCHANGED)
+    typed = found.select(
+        *[F.col(c).cast(current.schema[c].dataType).alias(c) for c in snapshot.columns if c != natural_key],
+        text_key(natural_key).alias(natural_key),
+        "change",
+    ).select(*snapshot.columns, "change")
+    order = [F.col("change") == CHANGED, *(order_by or [natural_key])]
+    rows = single(dense_keys(typed, key_col, order, start_after=start_after), natural_key)
+    return _as_versions(rows, key_col, snapshot.columns, as_of)
+
+
+def same_shape(dim: DataFrame, snapshot: DataFrame, key_col: str) -> None:
+    """Raise unless the snapshot has the dimension's own columns."""
+    if list(dim.columns) != [key_col, *snapshot.columns, *VALIDITY]:
+        raise ValueError(
+            f"the dimension has columns {dim.columns}, the snapshot calls for "
+            f"{[key_col, *snapshot.columns, *VALIDITY]}"
+        )
+
+
+def closed_at(as_of: Column) -> Column:
+    """The end of a version closed at ``as_of``; an error for one that begins no earlier."""
+    backwards = F.raise_error(F.lit("the snapshot is not later than a version it closes")).cast("timestamp_ntz")
+    return F.when(as_of <= F.col("valid_from"), backwards).otherwise(as_of)
+
+
 def apply_snapshot(
     dim: DataFrame | None,
     snapshot: DataFrame,
@@ -92,44 +141,21 @@ def apply_snapshot(
     version closed at ``as_of`` and a new one opened there. Unchanged keys, and keys the snapshot does
     not mention, are left alone. Numbering continues after the greatest key, new keys first.
 
-    The snapshot meets the current versions in one join. Only what that join found to be new or
-    changed is numbered and written, and the dimension is then joined with that remainder, whose true
-    size the optimizer knows.
+    Only what is new or changed is numbered and written, and the dimension is then joined with that, whose true
+    size the optimizer knows. For a stored dimension see ``sources.history``, which leaves closed versions alone.
     """
     if dim is None:
         return initial_load(snapshot, key_col, natural_key, order_by)
-    if list(dim.columns) != [key_col, *snapshot.columns, *VALIDITY]:
-        raise ValueError(
-            f"the dimension has columns {dim.columns}, the snapshot calls for "
-            f"{[key_col, *snapshot.columns, *VALIDITY]}"
-        )
+    same_shape(dim, snapshot, key_col)
     as_of = ntz(as_of) if isinstance(as_of, str) else as_of
-    found = classify(dim, snapshot, natural_key, tracked).where(F.col("change") != UNCHANGED)
-    typed = found.select(
-        *[F.col(c).cast(dim.schema[c].dataType).alias(c) for c in snapshot.columns if c != natural_key],
-        text_key(natural_key).alias(natural_key),
-        "change",
-    ).select(*snapshot.columns, "change")
-    rows = dense_keys(
-        typed,
-        key_col,
-        [F.col("change") == CHANGED, *(order_by or [natural_key])],
-        start_after=last_key(dim, key_col),
-    )
-    versions = _as_versions(rows, key_col, snapshot.columns, as_of)
-    twice = rows.groupBy(natural_key).count().where("count > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"the snapshot holds {natural_key} {twice[0][0]} more than once")
-    backwards = F.raise_error(F.lit("the snapshot is not later than a version it closes")).cast("timestamp_ntz")
+    start_after = last_key(dim, key_col)
+    versions = added_versions(dim, snapshot, key_col, natural_key, tracked, as_of, start_after, order_by)
     closing = versions.where(F.col("change") == CHANGED).select(F.col(natural_key).alias("_closing"))
     closes = F.col("is_current") & F.col("_closing").isNotNull()
     kept = dim.join(closing, text_key(natural_key) == F.col("_closing"), "left").select(
         key_col,
         *[text_key(c).alias(c) if c == natural_key else F.col(c) for c in snapshot.columns],
-        F.when(closes & (as_of <= F.col("valid_from")), backwards)
-        .when(closes, as_of)
-        .otherwise(F.col("valid_to"))
-        .alias("valid_to"),
+        F.when(closes, closed_at(as_of)).otherwise(F.col("valid_to")).alias("valid_to"),
         F.col("valid_from"),
         (F.col("is_current") & ~closes).alias("is_current"),
     )

@@ -15,8 +15,13 @@ class TableSpec:
     of recent ids touches only the newest buckets: the choice for large tables whose ids grow. The id is
     ``range_key``, one of the keys, which must be an integer; it need not be named if there is one key.
 
-    ``unique`` says that the source holds one row per key, as a primary key does. Batches are then not
-    searched for older copies of a key, which saves a shuffle. Leave it off for feeds of changes.
+    With ``split_rows`` a bucket of more rows than that is split alone, by more bits of its keys' hash, while the others
+    stay: the choice for tables that grow without growing ids.
+
+    ``unique`` says that the source holds one row per key, as a primary key does. Whole rows of a batch are then not
+    searched for older copies of a key, only the keys are checked. Leave it off for feeds of changes.
+
+    ``inclusive`` pulls the rows at the high-water mark again at each load, ``cap_at`` leaves out rows stamped later.
     """
 
     name: str
@@ -28,6 +33,9 @@ class TableSpec:
     id_range: int | None = None
     range_key: str | None = None
     unique: bool = False
+    split_rows: int | None = None
+    inclusive: bool = False
+    cap_at: str | None = None
 
     def __post_init__(self) -> None:
         if not self.keys:
@@ -38,6 +46,8 @@ class TableSpec:
             object.__setattr__(self, "range_key", self.keys[0])
         if self.range_key is not None and self.range_key not in self.keys:
             raise ValueError(f"{self.name}: range_key must be one of the keys")
+        if self.split_rows is not None and (self.id_range is not None or self.split_rows < 1):
+            raise ValueError(f"{self.name}: split_rows is positive and goes without id_range")
         if self.buckets < 1:
             raise ValueError(f"{self.name}: buckets must be positive")
 

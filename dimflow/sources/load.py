@@ -13,14 +13,15 @@ from dimflow.sources.store import RAW, Store
 LOADED = "table_name string, mode string, n_rows bigint"
 
 
-def load_incremental(store: Store, source: Source, spec: TableSpec, inclusive: bool = False) -> int:
+def load_incremental(store: Store, source: Source, spec: TableSpec, inclusive: bool | None = None) -> int:
     """Upsert the rows past the table's mark, all stamped rows where there is none; nothing past it is a no-op.
 
     The first load of a table without rows makes an empty raw table.
     """
     commit = store.commit(RAW, spec.name)
     mark = commit.mark.strftime("%Y-%m-%d %H:%M:%S.%f") if commit and commit.mark else None
-    batch = past_mark(source(spec.name), mark, spec.updated_at, inclusive=inclusive)
+    again = spec.inclusive if inclusive is None else inclusive
+    batch = past_mark(source(spec.name), mark, spec.updated_at, again, spec.cap_at)
     loaded = store.upsert(RAW, spec, batch)
     if commit is None and loaded == 0:
         store.create(RAW, spec, batch.schema)

@@ -1,16 +1,24 @@
 """The warehouse on a shared file system: layers of Parquet tables with atomic replacement.
 
-Every write goes to a directory of its own, ``<layer>/<table>/gen=<n>``, and takes effect by one row
-appended to the table's commit log. That row names the live directories, the schema and the
-high-water mark, so data and mark change together, a crash leaves the previous state, and readers are
-never disturbed. One job writes a table at a time.
+Every write goes to directories of its own and takes effect by one commit, a row in a directory with the
+commit's number. That row names the live directories, the schema and the high-water mark, so data and mark
+change together, a crash leaves the previous state, and readers are never disturbed. Below ``<layer>/<table>``:
+
+- ``gen=<n>`` the table, or the buckets of it that commit n wrote;
+- ``kept=<n>`` rows that commit n added for good: no later commit reads or rewrites them;
+- ``delta=<n>`` the rows commit n put in, replaced by or took out, for tables derived from this one;
+- ``commits/c=<n>`` the commit itself. Commits are numbered without gaps, so the newest is found by doubling steps.
+
+One job writes a table at a time.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
+from functools import reduce
+from math import ceil, log2
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.functions.keys import hash_bucket
-from dimflow.operators.upsert import keep_newest, keyed, latest_per_key, replace_keys, same_columns
+from dimflow.operators.upsert import keyed, latest_per_key, older_than, same_columns
 from dimflow.registry import TableSpec
 from dimflow.session import materialise
 
@@ -26,8 +34,10 @@ RAW, ANALYTICS, AUDIT = "raw", "analytics", "audit"
 
 COMMITS = (
     "generation bigint, table_schema string, live map<int,bigint>, mark timestamp_ntz, committed_at timestamp_ntz, "
-    "bucketing string"
+    "bucketing string, kept array<bigint>, deltas array<bigint>, last_key bigint, streams map<string,bigint>, "
+    "inputs map<string,bigint>"
 )
+NOWHERE = -1  # the generation of a bucket without rows
 AUDIT_TABLES = {
     "pipeline_runs": "run_id string, step string, start_time timestamp_ntz, end_time timestamp_ntz, "
     "status string, error_message string",
@@ -41,14 +51,21 @@ class Commit:
     """The state of a table: its generation, the generation each bucket lives in, schema and mark.
 
     A table replaced whole has no buckets; all of it lives in the latest generation. ``bucketing`` is the
-    rule that rows were placed by, which may differ from the one a spec asks for by now.
+    rule that rows were placed by, which may differ from the one a spec asks for by now. ``kept`` and ``deltas`` are the
+    commits with such directories, ``last_key`` the greatest surrogate key given out, ``streams`` the last batch
+    of each stream, ``inputs`` the generations of the tables this one was derived from.
     """
 
     generation: int
     live: dict[int, int]
     schema: T.StructType
-    mark: datetime | None
+    mark: datetime | None = None
     bucketing: str | None = None
+    kept: list[int] = field(default_factory=list)
+    deltas: list[int] = field(default_factory=list)
+    last_key: int | None = None
+    streams: dict[str, int] = field(default_factory=dict)
+    inputs: dict[str, int] = field(default_factory=dict)
 
 
 class Store:
@@ -60,14 +77,33 @@ class Store:
 
     # --- reading ---
 
-    def commit(self, layer: str, table: str) -> Commit | None:
-        """The last commit of a table, None before the first."""
-        log = _existing(self.spark, self._log(layer, table), COMMITS)
-        last = log.orderBy(F.col("generation").desc()).limit(1).collect() if log is not None else []
-        if not last:
+    def commit(self, layer: str, table: str, number: int | None = None) -> Commit | None:
+        """The last commit of a table, None before the first; or the one with that number."""
+        newest = self._newest(layer, table) if number is None else number
+        if newest < 0:
             return None
-        schema = T.StructType.fromDDL(last[0].table_schema)
-        return Commit(last[0].generation, last[0].live, schema, last[0].mark, last[0].bucketing)
+        row = self.spark.read.schema(COMMITS).parquet(self._log(layer, table, newest)).first()
+        return Commit(
+            row.generation, row.live, T.StructType.fromDDL(row.table_schema), row.mark, row.bucketing, row.kept or [],
+            row.deltas or [], row.last_key, row.streams or {}, row.inputs or {},
+        )
+
+    def _newest(self, layer: str, table: str) -> int:
+        """The number of the newest commit, -1 before the first; asks for some twice as many files as its number has bits."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path
+        files = path(self.root).getFileSystem(context._jsc.hadoopConfiguration())
+
+        def there(number: int) -> bool:
+            return files.exists(path(f"{self._log(layer, table, number)}/_SUCCESS"))
+
+        low, step = -1, 1
+        while there(low + step):
+            low, step = low + step, 2 * step
+        while step > 1:  # low is there, low + step is not
+            step //= 2
+            low = low + step if there(low + step) else low
+        return low
 
     def exists(self, layer: str, table: str) -> bool:
         return self.commit(layer, table) is not None
@@ -79,10 +115,25 @@ class Store:
 
     def read(self, layer: str, table: str) -> DataFrame:
         """The table as last committed; an error before that."""
-        found = self.find(layer, table)
-        if found is None:
+        return self._at(layer, table, self._committed(layer, table))
+
+    def current(self, layer: str, table: str) -> DataFrame:
+        """The table without the rows that are kept for good."""
+        return self._at(layer, table, replace(self._committed(layer, table), kept=[]))
+
+    def deltas(self, layer: str, table: str, after: int) -> DataFrame | None:
+        """The rows that the commits after one put in, replaced by or took out; None if some commit kept no such record."""
+        commit = self._committed(layer, table)
+        wanted = range(after + 1, commit.generation + 1)
+        if not set(wanted) <= set(commit.deltas) or not wanted:
+            return None
+        return self.spark.read.parquet(*[self._delta(layer, table, n) for n in wanted])
+
+    def _committed(self, layer: str, table: str) -> Commit:
+        commit = self.commit(layer, table)
+        if commit is None:
             raise LookupError(f"{layer}.{table} has not been written yet")
-        return found
+        return commit
 
     def marks(self, layer: str, tables: list[str]) -> DataFrame:
         """The high-water marks of the tables loaded so far."""
@@ -90,80 +141,166 @@ class Store:
         rows = [(t, c.mark) for t, c in commits if c is not None and c.mark is not None]
         return self.spark.createDataFrame(rows, "table_name string, last_watermark timestamp_ntz")
 
-    def superseded(self, layer: str, table: str) -> list[str]:
-        """Directories no commit refers to any more, for the storage's retention job to remove."""
-        log = _existing(self.spark, self._log(layer, table), COMMITS)
-        if log is None:
+    def superseded(self, layer: str, table: str, consumed: int | None = None) -> list[str]:
+        """Directories no reader needs any more, for the storage's retention job to remove.
+
+        Those of buckets that no commit refers to, and the deltas up to the commit ``consumed``, which every table derived
+        from this one has been brought up to.
+        """
+        newest = self.commit(layer, table)
+        if newest is None:
             return []
-        places = log.select(F.explode_outer("live").alias("bucket", "at"), "generation").select(
-            "bucket", F.coalesce("at", "generation").alias("at")
-        )
-        used = {self._directory(layer, table, r.at, r.bucket) for r in places.distinct().collect()}
-        return sorted(used - set(self._directories(layer, table, self.commit(layer, table))))
+        logs = [self._log(layer, table, n) for n in range(newest.generation + 1)]
+        places = self.spark.read.schema(COMMITS).parquet(*logs).select(F.explode_outer("live").alias("bucket", "at"), "generation")
+        places = places.select("bucket", F.coalesce("at", "generation").alias("at")).where(F.col("at") != NOWHERE)
+        used = {self._directory(layer, table, r["at"], r.bucket) for r in places.distinct().collect()}
+        done = [self._delta(layer, table, n) for n in newest.deltas if consumed is not None and n <= consumed]
+        return sorted(used - set(self._directories(layer, table, newest))) + done
 
     # --- writing ---
 
-    def replace(self, layer: str, table: str, df: DataFrame) -> DataFrame:
-        """Replace a table whole, and return it as written."""
+    def replace(self, layer: str, table: str, df: DataFrame, delta: DataFrame | None = None) -> DataFrame:
+        """Replace a table whole, and return it as written. ``delta`` is what it changes, where that is known."""
         commit = self.commit(layer, table)
         generation = commit.generation + 1 if commit else 0
         df.write.mode("overwrite").parquet(self._generation(layer, table, generation))
-        return self._commit(layer, table, Commit(generation, {}, df.schema, None))
+        deltas = commit.deltas if commit else []
+        if delta is not None:
+            delta.write.mode("overwrite").parquet(self._delta(layer, table, generation))
+            deltas = [*deltas, generation]
+        return self._commit(layer, table, Commit(generation, {}, df.schema, deltas=deltas))
 
     def create(self, layer: str, spec: TableSpec, schema: T.StructType) -> DataFrame:
         """An empty table to upsert into."""
-        self._write_buckets(layer, spec.name, 0, self.spark.createDataFrame([], schema).withColumn("_b", F.lit(0)))
-        return self._commit(layer, spec.name, Commit(0, {}, schema, None, _rule(spec)))
+        return self._commit(layer, spec.name, Commit(0, _first_buckets(spec), schema, bucketing=_rule(spec)))
 
-    def upsert(self, layer: str, spec: TableSpec, batch: DataFrame) -> int:
+    def upsert(
+        self, layer: str, spec: TableSpec, batch: DataFrame, gone: DataFrame | None = None,
+        stream: tuple[str, int] | None = None, inputs: dict[str, int] | None = None, keep_newer: bool = True,
+    ) -> int:
         """Replace the rows that share a key with the batch by the batch's, and advance the mark.
 
-        The batch is written first: data, keys and mark then come from the same rows. The first batch
-        of a table is written where it stays, later ones to the shared folder; of the table, only the
-        buckets a batch touches are read and rewritten. Where the spec's bucketing is not the one the
-        table was written by, the whole table is rewritten once by the new rule. With a stamp column,
-        a stored row stays if it is newer than the batch's. Returns the number of rows.
-        """
+        The batch is written first: data, keys and mark then come from the same rows, and they stay as the commit's delta.
+        The first batch of a table is written where it stays; later, only the buckets a batch touches are
+        read and rewritten. Where the spec's bucketing is not the one the table was written by, the whole
+        table is rewritten once by the new rule. With a stamp column, a stored row stays if it is newer than the batch's,
+        unless ``keep_newer`` is off.
+
+        ``gone`` has rows, of the table's columns, to take out by key. ``stream`` names a stream and its batch: one that
+        is already in the table, or is older than one that is, changes nothing. ``inputs`` goes into the commit, with
+        which the table is committed even if nothing changed. Returns the number of rows.
+        """
         commit = self.commit(layer, spec.name)
         if commit:
             same_columns(commit.schema, batch.schema)
-            if not commit.live and commit.bucketing is None:
+            if commit.bucketing is None:
                 raise ValueError(f"{layer}.{spec.name} is replaced whole, it has no buckets to upsert into")
+            if stream and commit.streams.get(stream[0], -1) >= stream[1]:
+                return 0
         keys = list(spec.keys)
         stamp = spec.updated_at if spec.updated_at in batch.columns else None
         unique = keyed(batch, keys) if spec.unique else latest_per_key(batch, keys, stamp)
-        placed = unique.withColumn("_b", _bucket(spec))
+        if gone is not None:
+            out = gone.select(*batch.columns).join(unique.select(*keys), keys, "left_anti").select(*batch.columns).dropDuplicates(keys)
+            unique = unique.withColumn("_gone", F.lit(False)).unionByName(out.withColumn("_gone", F.lit(True)))
         generation = commit.generation + 1 if commit else 0
-        if commit:
-            staged = materialise(placed, f"batch-{spec.name}")
+        old = commit or Commit(generation, _first_buckets(spec), batch.schema, bucketing=_rule(spec))
+        if commit is None and gone is None and spec.split_rows is None:
+            staged = self._write_buckets(layer, spec.name, generation, unique.withColumn("_b", _bucket(spec, old.live)))
         else:
-            staged = self._write_buckets(layer, spec.name, generation, placed)
+            path = self._delta(layer, spec.name, generation)
+            unique.write.mode("overwrite").parquet(path)
+            staged = self.spark.read.schema(unique.schema).parquet(path)
+            if commit is None:
+                old = replace(old, live=_first_buckets(spec, staged.count()))
+            staged = staged.withColumn("_b", _bucket(spec, old.live))
+        if spec.unique:
+            _reject_repeats(staged, keys, spec.name)
         # One row, with at most as many bucket numbers as the table has buckets.
         facts = staged.agg(
             F.count(F.lit(1)).alias("n"),
             F.collect_set("_b").alias("touched"),
             (F.max(stamp) if stamp else F.lit(None)).cast("timestamp_ntz").alias("mark"),
         ).first()
+        known = {**(commit.streams if commit else {}), **dict([stream] if stream else [])}
+        reached = max((m for m in (old.mark, facts.mark) if m is not None), default=None)
+        state = replace(
+            old, generation=generation, mark=reached, bucketing=_rule(spec), schema=batch.schema, streams=known,
+            inputs=inputs or {}, deltas=[*old.deltas, generation] if commit else [],
+        )
         if facts.n == 0:
+            if commit and (stream or inputs is not None):
+                self._commit(layer, spec.name, state)
             return 0
-        if commit:
-            moved = commit.bucketing != _rule(spec)
-            touched = commit.live if moved else {b: g for b, g in commit.live.items() if b in set(facts.touched)}
-            rows = staged
-            if touched:
-                old = Commit(commit.generation, touched, commit.schema, commit.mark)
-                base = self._at(layer, spec.name, old).withColumn("_b", _bucket(spec))
-                rows = keep_newest(base, staged, keys, stamp) if stamp else replace_keys(base, staged, keys)
-            written = self._write_buckets(layer, spec.name, generation, rows)
-        if commit and moved:
-            live = {r["_b"]: generation for r in written.select("_b").distinct().collect()}
-        else:
-            live = {**(commit.live if commit else {}), **dict.fromkeys(facts.touched, generation)}
-        before = commit.mark if commit else None
-        reached = max((m for m in (before, facts.mark) if m is not None), default=None)
-        self._commit(layer, spec.name, Commit(generation, live, batch.schema, reached, _rule(spec)))
+        if commit is None and gone is None and spec.split_rows is None:
+            self._commit(layer, spec.name, replace(state, live=dict.fromkeys(facts.touched, generation)))
+            return facts.n
+        moved = old.bucketing != _rule(spec)
+        touched = old.live if moved else {b: g for b, g in old.live.items() if b in set(facts.touched)}
+        stay = {} if moved else {b: g for b, g in old.live.items() if b not in touched}
+        rows = staged if gone is None else staged.where(~F.col("_gone")).drop("_gone")
+        if moved:
+            state = replace(state, live=_first_buckets(spec))
+            rows = rows.withColumn("_b", _bucket(spec, state.live))
+        if any(g != NOWHERE for g in touched.values()):
+            base = self._at(layer, spec.name, Commit(old.generation, touched, old.schema)).withColumn("_b", _bucket(spec, state.live))
+            if stamp and keep_newer:
+                rows = rows.join(older_than(rows, base, keys, stamp), keys, "left_anti").select(*base.columns)
+            replaced = rows if gone is None else rows.select(*keys).unionByName(staged.where("_gone").select(*keys))
+            rows = base.join(replaced.select(*keys), keys, "left_anti").select(*base.columns).unionByName(rows)
+        written = self._write_buckets(layer, spec.name, generation, rows.select(*batch.columns, "_b"))
+        sizes = {r["_b"]: r["count"] for r in written.groupBy("_b").count().collect()}
+        sizes = dict.fromkeys([] if moved else touched, 0) | dict.fromkeys(_first_buckets(spec) if moved else [], 0) | sizes
+        if spec.split_rows is not None:
+            sizes = self._split(layer, spec, generation, written, sizes)
+        live = stay | {b: generation if n else NOWHERE for b, n in sizes.items()}
+        self._commit(layer, spec.name, replace(state, live=live))
         return facts.n
 
+    def _split(self, layer: str, spec: TableSpec, generation: int, written: DataFrame, sizes: dict[int, int]) -> dict[int, int]:
+        """Cut the buckets above the target size by more bits of their hash; the others stay as they are."""
+        while large := {b: n for b, n in sizes.items() if n > spec.split_rows and b.bit_length() <= _HASH_BITS}:
+            finer = [c for b, n in large.items() for c in _finer(b, ceil(log2(n / spec.split_rows)))]
+            rows = written.where(F.col("_b").isin(list(large))).withColumn("_b", _bucket(spec, dict.fromkeys(finer, 0)))
+            path = self._generation(layer, spec.name, generation)
+            rows = materialise(rows, "split")  # the directory written to is the one read from
+            rows.hint("rebalance", F.col("_b")).write.mode("append").partitionBy("_b").parquet(path)
+            written = self.spark.read.schema(written.schema).parquet(path)
+            found = {r["_b"]: r["count"] for r in written.where(F.col("_b").isin(finer)).groupBy("_b").count().collect()}
+            sizes = {b: n for b, n in sizes.items() if b not in large} | dict.fromkeys(finer, 0) | found
+        return sizes
+
+    def add(
+        self, layer: str, spec: TableSpec, rows: DataFrame, last_key: int | None = None, taken: DataFrame | None = None,
+        kept: DataFrame | None = None, delta: DataFrame | None = None,
+    ) -> None:
+        """Put rows with new keys in, take rows out by key, and keep other rows for good, in one commit.
+
+        ``rows`` and ``taken`` share no key with each other. Only the buckets of ``taken`` and ``rows`` are rewritten.
+        """
+        commit, keys = self.commit(layer, spec.name), list(spec.keys)
+        generation = commit.generation + 1 if commit else 0
+        old = commit or Commit(generation, _first_buckets(spec), rows.schema, bucketing=_rule(spec))
+        if old.bucketing != _rule(spec):
+            raise ValueError(f"{layer}.{spec.name} was written by another bucketing: {old.bucketing}")
+        place, rows = _bucket(spec, old.live), rows.withColumn("_b", _bucket(spec, old.live))
+        touches = [rows.select("_b")] + ([taken.select(place.alias("_b"))] if taken is not None else [])
+        touched = {r["_b"] for r in reduce(DataFrame.unionAll, touches).distinct().collect()}
+        if standing := {b: g for b, g in old.live.items() if b in touched}:
+            base = self._at(layer, spec.name, Commit(old.generation, standing, old.schema)).withColumn("_b", place)
+            if taken is not None:
+                base = base.join(taken.select(*keys), keys, "left_anti").select(*rows.columns)
+            rows = base.unionByName(rows)
+        state = replace(old, generation=generation, last_key=old.last_key if last_key is None else last_key)
+        written = self._write_buckets(layer, spec.name, generation, rows)
+        full = {r["_b"] for r in written.select("_b").distinct().collect()}
+        live = {b: g for b, g in old.live.items() if b not in touched} | dict.fromkeys(full, generation)
+        for name, part in (("kept", kept), ("deltas", delta)):
+            if part is not None:
+                part.write.mode("overwrite").parquet((self._kept if name == "kept" else self._delta)(layer, spec.name, generation))
+                state = replace(state, **{name: [*getattr(state, name), generation]})
+        self._commit(layer, spec.name, replace(state, live=live))
+
     def append(self, table: str, rows: DataFrame) -> None:
         """Append to an audit table."""
         schema = T.StructType.fromDDL(AUDIT_TABLES[table])
@@ -174,24 +311,48 @@ class Store:
         rows = _existing(self.spark, f"{self.root}/{AUDIT}/{table}", AUDIT_TABLES[table])
         return rows if rows is not None else self.spark.createDataFrame([], AUDIT_TABLES[table])
 
+    def keep(self, layer: str, spec: TableSpec, rows: DataFrame, last_key: int) -> None:
+        """Add rows for good to a table that is only added to."""
+        commit = self.commit(layer, spec.name)
+        generation = commit.generation + 1 if commit else 0
+        old = commit or Commit(generation, {}, rows.schema, bucketing=_rule(spec))
+        rows.write.mode("overwrite").parquet(self._kept(layer, spec.name, generation))
+        self._commit(layer, spec.name, replace(old, generation=generation, kept=[*old.kept, generation], last_key=last_key))
+
+    def touched(self, layer: str, spec: TableSpec, keys: DataFrame) -> DataFrame:
+        """The buckets, without what is kept for good, that some keys are placed in."""
+        commit = self._committed(layer, spec.name)
+        places = {r["_b"] for r in keys.select(_bucket(spec, commit.live).alias("_b")).distinct().collect()}
+        return self._at(layer, spec.name, replace(commit, live={b: g for b, g in commit.live.items() if b in places}, kept=[]))
+
     # --- paths ---
 
-    def _log(self, layer: str, table: str) -> str:
-        return f"{self.root}/{layer}/{table}/commits"
+    def _log(self, layer: str, table: str, number: int) -> str:
+        return f"{self.root}/{layer}/{table}/commits/c={number}"
 
     def _generation(self, layer: str, table: str, generation: int) -> str:
         return f"{self.root}/{layer}/{table}/gen={generation}"
 
+    def _kept(self, layer: str, table: str, generation: int) -> str:
+        return f"{self.root}/{layer}/{table}/kept={generation}"
+
+    def _delta(self, layer: str, table: str, generation: int) -> str:
+        return f"{self.root}/{layer}/{table}/delta={generation}"
+
     def _directory(self, layer: str, table: str, generation: int, bucket: int | None) -> str:
         path = self._generation(layer, table, generation)
         return path if bucket is None else f"{path}/_b={bucket}"
 
     def _directories(self, layer: str, table: str, commit: Commit) -> list[str]:
-        places = sorted(commit.live.items()) or [(None, commit.generation)]
-        return [self._directory(layer, table, generation, bucket) for bucket, generation in places]
+        places = sorted(commit.live.items())
+        if commit.bucketing is None and not places:
+            places = [(None, commit.generation)]
+        kept = [self._kept(layer, table, generation) for generation in commit.kept]
+        return [self._directory(layer, table, at, bucket) for bucket, at in places if at != NOWHERE] + kept
 
     def _at(self, layer: str, table: str, commit: Commit) -> DataFrame:
-        return self.spark.read.schema(commit.schema).parquet(*self._directories(layer, table, commit))
+        paths = self._directories(layer, table, commit)
+        return self.spark.read.schema(commit.schema).parquet(*paths) if paths else self.spark.createDataFrame([], commit.schema)
 
     def _write_buckets(self, layer: str, table: str, generation: int, rows: DataFrame) -> DataFrame:
         """Write rows by bucket. Rebalancing makes files of even size and splits a bucket too large for a task."""
@@ -201,8 +362,13 @@ class Store:
 
     def _commit(self, layer: str, table: str, commit: Commit) -> DataFrame:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
-        row = (commit.generation, _ddl(commit.schema), commit.live, commit.mark, now, commit.bucketing)
-        self.spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(self._log(layer, table))
+        row = (
+            commit.generation, _ddl(commit.schema), commit.live, commit.mark, now, commit.bucketing, commit.kept, commit.deltas,
+            commit.last_key, commit.streams, commit.inputs,
+        )
+        # What an attempt that died left there is overwritten: it is not a commit without its _SUCCESS.
+        log = self._log(layer, table, commit.generation)
+        self.spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("overwrite").parquet(log)
         return self._at(layer, table, commit)
 
 
@@ -212,17 +378,56 @@ def _ddl(schema: T.StructType) -> str:
 
 def _rule(spec: TableSpec) -> str:
     """The bucketing as text: two specs with the same rule place every row in the same bucket."""
-    rule = {"keys": spec.keys, "buckets": spec.buckets} if spec.id_range is None else {"range_key": spec.range_key, "id_range": spec.id_range}
+    if spec.split_rows is not None:
+        rule = {"keys": spec.keys, "split": True}
+    elif spec.id_range is None:
+        rule = {"keys": spec.keys, "buckets": spec.buckets}
+    else:
+        rule = {"range_key": spec.range_key, "id_range": spec.id_range}
     return json.dumps(rule, sort_keys=True)
 
 
-def _bucket(spec: TableSpec) -> Column:
+#: Bits of the hash that buckets may be split by. A split bucket's number is a 1 before the low bits its rows share.
+_HASH_BITS = 30
+
+
+def _first_buckets(spec: TableSpec, n_rows: int = 0) -> dict[int, int]:
+    """The buckets a table that can be split starts with, empty; others get theirs from their rows."""
+    if spec.split_rows is None:
+        return {}
+    return dict.fromkeys(_finer(1, ceil(log2(max(1, n_rows / spec.split_rows)))), NOWHERE)
+
+
+def _finer(bucket: int, bits: int) -> list[int]:
+    """The buckets that one is split into by some more bits of the hash."""
+    depth = bucket.bit_length() - 1
+    low = bucket - (1 << depth)
+    bits = min(bits, _HASH_BITS - depth)
+    return [1 << depth + bits | more << depth | low for more in range(1 << bits)]
+
+
+def _bucket(spec: TableSpec, live: dict[int, int]) -> Column:
+    """The bucket of a row. In a table with split buckets it is the one of ``live`` whose bits the row's hash ends in."""
+    if spec.split_rows is not None:
+        hashed = F.xxhash64(*[F.col(k) for k in spec.keys])
+        depths: dict[int, list[int]] = {}
+        for bucket in live:
+            depths.setdefault(bucket.bit_length() - 1, []).append(bucket)
+        at = [(hashed.bitwiseAND(F.lit((1 << d) - 1)) + (1 << d)).cast("int") for d in depths]
+        return F.coalesce(*[F.when(place.isin(buckets), place) for place, buckets in zip(at, depths.values())])
     if spec.id_range is None:
         return hash_bucket(list(spec.keys), spec.buckets)
     key = spec.range_key
     return F.expr(f"cast((`{key}` - pmod(`{key}`, {spec.id_range})) div {spec.id_range} as int)")
 
 
+def _reject_repeats(rows: DataFrame, keys: list[str], table: str) -> None:
+    """Raise if a key is there twice; keys alone are shuffled."""
+    twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").first()
+    if twice:
+        raise ValueError(f"{table} is declared unique but holds {tuple(twice)[:-1]} {twice['_n']} times")
+
+
 def _existing(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(path)
