@@ -228,5 +228,19 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").withColumn("o_totalprice", money("o_totalprice"))
 
 
+def order_feed(spark: SparkSession, sf_dir: str, wave: int) -> DataFrame:
+    """Orders as two loads see them: first those before the second wave, then all, the urgent ones repriced."""
+    orders = order_rows(spark, sf_dir)
+    stamped = orders.withColumn("updated_at", F.expr("o_orderdate + interval 10 years"))
+    if wave == 1:
+        return stamped.where(F.col("o_orderdate") < ntz(SECOND_WAVE))
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    repriced = (F.col("o_totalprice") + F.lit(1)).cast("decimal(18,2)")
+    return stamped.withColumns({
+        "o_totalprice": F.when(urgent, repriced).otherwise(F.col("o_totalprice")),
+        "updated_at": F.when(urgent, F.expr("o_orderdate + interval 20 years")).otherwise(F.col("updated_at")),
+    })
+
+
 def customer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").withColumn("c_acctbal", money("c_acctbal"))

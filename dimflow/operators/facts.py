@@ -41,7 +41,8 @@ class CurrentRef:
 class FactSpec:
     """One fact table: where it comes from, what it points to, and its columns in order.
 
-    ``columns`` names the key and date columns made here along with the source columns kept.
+    ``columns`` names the key and date columns made here along with the source columns kept. The stored fact is in
+    ``buckets`` by hash of its id, or in ranges of ``id_range`` ids, the unit that a change rewrites.
     """
 
     name: str
@@ -52,6 +53,8 @@ class FactSpec:
     columns: tuple[str, ...]
     versioned: tuple[VersionedRef, ...] = field(default=())
     current: tuple[CurrentRef, ...] = field(default=())
+    buckets: int = 8
+    id_range: int | None = None
 
 
 def build_fact(

@@ -430,6 +430,21 @@ ORACLES["job_fact"] = f"""{WAVES}
 select o_orderkey as order_sk, k as customer_key, cast(strftime(o_orderdate, '%Y%m%d') as integer) as date_key,
        cast(cast(o_totalprice as decimal(18,2)) as double) as o_totalprice, o_orderpriority
 from orders left join d2 on o_custkey = c_custkey and o_orderdate >= vf and o_orderdate < vt"""
+ORACLES["job_fact_incremental"] = f"""{WAVES}
+select o_orderkey as order_sk, k as customer_key, cast(strftime(o_orderdate, '%Y%m%d') as integer) as date_key,
+       cast(cast(o_totalprice as decimal(18,2)) + case when o_orderpriority = '1-URGENT' then 1 else 0 end as double) as o_totalprice,
+       o_orderpriority
+from orders left join d2 on o_custkey = c_custkey and o_orderdate >= vf and o_orderdate < vt"""
+ORACLES["job_wave_counts"] = f"""{WAVES}
+select 'run-1' as run_id, 'dim_customer' as table_name, count(*) as n_new_versions, 0 as n_expired from d1
+union all select 'run-2', 'dim_customer', count(*), count(*) filter (where not is_new) from c_d2"""
+ORACLES["scd2_stored"] = _dim("d3")
+ORACLES["scd2_stored_current"] = _dim("d3") + " where cur"
+ORACLES["scd1_stable_keys"] = """
+select row_number() over (order by c_mktsegment = 'MACHINERY', c_custkey) as customer_key, cast(c_custkey as varchar) as code,
+       c_custkey, case when c_acctbal < 0 then (c_nationkey + 1) % 25 else c_nationkey end as c_nationkey, c_mktsegment
+from customer"""
+ORACLES["stored_upsert_split"] = ORACLES["stream_replay"] = UPSERTED
 ORACLES["audit_log"] = """
 select run_id, step, status, n_checks, n_checks as n_passed
 from (values ('run-1', 'SUCCESS', 10), ('run-2', 'DRY_RUN', null)) r(run_id, status, n_checks), (values ('extract'), ('transform'), ('validate')) s(step)"""

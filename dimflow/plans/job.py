@@ -63,7 +63,7 @@ def _extract(job: Job) -> bool:
 
 
 def _transform(job: Job) -> bool:
-    build_star(job.store, job.star, job.as_of)
+    build_star(job.store, job.star, job.as_of, job.run_id)
     return True
 
 

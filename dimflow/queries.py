@@ -16,7 +16,7 @@ from dimflow.plans.job import run_job
 from dimflow.plans.star import CurrentDim, Star, VersionedDim
 from dimflow.registry import TableSpec
 from dimflow.session import configure, fresh_path, materialise, side_by_side
-from dimflow.sources import export, load
+from dimflow.sources import export, history, load
 from dimflow.sources.store import ANALYTICS, RAW, Store
 from dimflow.streaming import upsert_stream
 
@@ -680,10 +680,13 @@ MIGRATED_STAR = Star(
 )
 
 
-def _migrated(spark, sf_dir):
+def _migrated(spark, sf_dir, orders=None):
+    """The star after two runs of the job; the second builds only what the first one's facts lack."""
     store = _store(spark)
-    run_job(store, _migration_source(spark, sf_dir, 1), MIGRATED, MIGRATED_STAR, as_of=fx.SECOND_WAVE, run_id="run-1")
-    run_job(store, _migration_source(spark, sf_dir, 2), MIGRATED, MIGRATED_STAR, as_of=fx.SECOND_WAVE, run_id="run-2")
+    for wave in (1, 2):
+        given = _migration_source(spark, sf_dir, wave)
+        source = given if orders is None else lambda name: orders(spark, sf_dir, wave) if name == "orders" else given(name)
+        run_job(store, source, MIGRATED, MIGRATED_STAR, as_of=fx.SECOND_WAVE, run_id=f"run-{wave}")
     return store
 
 
@@ -700,6 +703,69 @@ def job_fact(spark, sf_dir):
     return fact.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
 
 
+@query
+def job_fact_incremental(spark, sf_dir):
+    """The second run brings new orders, other prices for old ones, new customers and customers who moved."""
+    fact = _migrated(spark, sf_dir, fx.order_feed).read(ANALYTICS, "fact_orders")
+    return fact.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+
+
+@query
+def job_wave_counts(spark, sf_dir):
+    return _migrated(spark, sf_dir).audit("dimension_waves")
+
+
+def _stored_waves(spark, sf_dir):
+    store = _store(spark)
+    for wave, as_of in ((1, calendar.INCEPTION), (2, fx.SECOND_WAVE), (3, fx.THIRD_WAVE)):
+        snapshot = fx.customer_snapshot(spark, sf_dir, wave)
+        history.apply_wave(
+            store, ANALYTICS, "dim_customer", snapshot, "customer_key", "code", fx.CUSTOMER_TRACKED, as_of, ["c_custkey"]
+        )
+    return store
+
+
+@query
+def scd2_stored(spark, sf_dir):
+    """Three waves, each applied to the stored current versions."""
+    return shown(_stored_waves(spark, sf_dir).read(ANALYTICS, "dim_customer"))
+
+
+@query
+def scd2_stored_current(spark, sf_dir):
+    return shown(_stored_waves(spark, sf_dir).current(ANALYTICS, "dim_customer"))
+
+
+@query
+def scd1_stable_keys(spark, sf_dir):
+    """The second load has customers in between; those of the first keep their keys."""
+    store = _store(spark)
+    for wave in (1, 2):
+        rows = fx.customer_snapshot(spark, sf_dir, wave)
+        dim = history.stable_keys(store, ANALYTICS, "customer_keys", rows, "customer_key", ["c_custkey"])
+    return dim
+
+
+@query
+def stored_upsert_split(spark, sf_dir):
+    """Buckets above a hundred rows are split."""
+    store = _store(spark)
+    spec = TableSpec("events", ("event_id",), incremental=True, updated_at="ts", split_rows=100)
+    store.upsert(RAW, spec, fx.event_base(spark, sf_dir))
+    store.upsert(RAW, spec, fx.event_batch(spark, sf_dir))
+    return _events_shown(store.read(RAW, "events"))
+
+
+@query
+def stream_replay(spark, sf_dir):
+    """Both micro-batches come again under their numbers, with other values: the table has them already."""
+    store = _store(spark)
+    for number, rows in enumerate([fx.event_base(spark, sf_dir), fx.event_batch(spark, sf_dir)] * 2):
+        given = rows if number < 2 else rows.withColumn("value", -F.col("value"))
+        store.upsert(RAW, EVENTS, given, stream=("feed", number % 2))
+    return _events_shown(store.read(RAW, "events"))
+
+
 @query
 def audit_log(spark, sf_dir):
     store, source = _store(spark), _migration_source(spark, sf_dir, 1)

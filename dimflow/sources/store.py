@@ -41,6 +41,7 @@ NOWHERE = -1  # the generation of a bucket without rows
 AUDIT_TABLES = {
     "pipeline_runs": "run_id string, step string, start_time timestamp_ntz, end_time timestamp_ntz, "
     "status string, error_message string",
+    "dimension_waves": "run_id string, table_name string, n_new_versions bigint, n_expired bigint",
     "validation_results": "run_id string, table_name string, check_type string, source_value string, "
     "target_value string, passed boolean, checked_at timestamp_ntz",
 }
@@ -272,15 +273,16 @@ class Store:
 
     def add(
         self, layer: str, spec: TableSpec, rows: DataFrame, last_key: int | None = None, taken: DataFrame | None = None,
-        kept: DataFrame | None = None, delta: DataFrame | None = None,
+        kept: DataFrame | None = None, delta: DataFrame | None = None, inputs: dict[str, int] | None = None, whole: bool = False,
     ) -> None:
-        """Put rows with new keys in, take rows out by key, and keep other rows for good, in one commit.
+        """Take the rows with the keys of ``taken`` out, put ``rows`` in, and keep other rows for good, in one commit.
 
-        ``rows`` and ``taken`` share no key with each other. Only the buckets of ``taken`` and ``rows`` are rewritten.
+        Only the buckets of ``taken`` and ``rows`` are rewritten; with ``whole`` the table is made anew of ``rows``.
         """
         commit, keys = self.commit(layer, spec.name), list(spec.keys)
         generation = commit.generation + 1 if commit else 0
-        old = commit or Commit(generation, _first_buckets(spec), rows.schema, bucketing=_rule(spec))
+        old = None if whole else commit
+        old = old or Commit(generation, _first_buckets(spec), rows.schema, bucketing=_rule(spec))
         if old.bucketing != _rule(spec):
             raise ValueError(f"{layer}.{spec.name} was written by another bucketing: {old.bucketing}")
         place, rows = _bucket(spec, old.live), rows.withColumn("_b", _bucket(spec, old.live))
@@ -291,9 +293,11 @@ class Store:
             if taken is not None:
                 base = base.join(taken.select(*keys), keys, "left_anti").select(*rows.columns)
             rows = base.unionByName(rows)
-        state = replace(old, generation=generation, last_key=old.last_key if last_key is None else last_key)
-        written = self._write_buckets(layer, spec.name, generation, rows)
-        full = {r["_b"] for r in written.select("_b").distinct().collect()}
+        state = replace(old, generation=generation, last_key=old.last_key if last_key is None else last_key, inputs=inputs or {})
+        full = set()
+        if touched:
+            written = self._write_buckets(layer, spec.name, generation, rows)
+            full = {r["_b"] for r in written.select("_b").distinct().collect()}
         live = {b: g for b, g in old.live.items() if b not in touched} | dict.fromkeys(full, generation)
         for name, part in (("kept", kept), ("deltas", delta)):
             if part is not None:
