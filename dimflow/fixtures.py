@@ -224,6 +224,19 @@ def tampered_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def strayed_orders(orders: DataFrame) -> DataFrame:
+    """A copy of the orders: one has another priority, the pending ones stand under the negative of their keys."""
+    pending = F.col("o_orderstatus") == "P"
+    moved = orders.where(pending).withColumn("o_orderkey", -F.col("o_orderkey"))
+    return tampered_orders(orders).where(~pending).unionByName(moved)
+
+
+def restated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders of the first load and later ones, under old stamps: pending ones are gone, urgent ones repriced."""
+    stamped = order_feed(spark, sf_dir, 2).withColumn("updated_at", F.expr("o_orderdate + interval 10 years"))
+    return stamped.where(F.col("o_orderstatus") != "P")
+
+
 def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").withColumn("o_totalprice", money("o_totalprice"))
 

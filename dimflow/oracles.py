@@ -445,6 +445,21 @@ select row_number() over (order by c_mktsegment = 'MACHINERY', c_custkey) as cus
        c_custkey, case when c_acctbal < 0 then (c_nationkey + 1) % 25 else c_nationkey end as c_nationkey, c_mktsegment
 from customer"""
 ORACLES["stored_upsert_split"] = ORACLES["stream_replay"] = UPSERTED
+ORACLES["recon_diff_rows"] = """
+select o_orderkey, 'missing' as difference from orders where o_orderstatus = 'P'
+union all select -o_orderkey, 'extra' from orders where o_orderstatus = 'P'
+union all select o_orderkey, 'changed' from orders where o_orderkey = 1 and o_orderstatus <> 'P'"""
+ORACLES["recon_diff_turns"] = """
+select conv_id, turn, case when turn > 3 then 'missing' else 'changed' end as difference
+from conversations where turn > 3 or role = 'assistant'"""
+ORACLES["repair_load"] = """
+with old as (select * from orders where o_orderdate < timestamp '1998-01-01'),
+c as (select count(*) filter (where o_orderstatus <> 'P' and o_orderpriority = '1-URGENT') as changed,
+             (select count(*) from orders where o_orderdate >= timestamp '1998-01-01' and o_orderstatus <> 'P') as missing,
+             count(*) filter (where o_orderstatus = 'P') as extra from old)
+select o_orderkey, cast(cast(o_totalprice as decimal(18,2)) + case when o_orderpriority = '1-URGENT' then 1 else 0 end as double) as o_totalprice,
+       strftime(o_orderdate + interval 10 year, '%Y-%m-%d %H:%M:%S.%f') as updated_at, changed, missing, extra
+from orders, c where o_orderstatus <> 'P'"""
 ORACLES["audit_log"] = """
 select run_id, step, status, n_checks, n_checks as n_passed
 from (values ('run-1', 'SUCCESS', 10), ('run-2', 'DRY_RUN', null)) r(run_id, status, n_checks), (values ('extract'), ('transform'), ('validate')) s(step)"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dimflow import fixtures as fx
 from dimflow.functions import calendar
-from dimflow.operators import dimensions, facts, highwater, pointintime, quality, reconcile, trace, upsert
+from dimflow.operators import digests, dimensions, facts, highwater, pointintime, quality, reconcile, trace, upsert
 from dimflow.operators import versioned
 from dimflow.plans import definitions, layout
 from dimflow.plans.job import run_job
@@ -422,6 +422,21 @@ def recon_all_passed(spark, sf_dir):
     return reconcile.all_passed(reconcile.compare(_pairs(spark, sf_dir)))
 
 
+@query
+def recon_diff_rows(spark, sf_dir):
+    """Which orders differ from a copy in which one is changed, pending ones lack, and others stand under keys of their own."""
+    orders = fx.order_rows(spark, sf_dir)
+    return digests.diff_rows(orders, fx.strayed_orders(orders), digests.Ranges(("o_orderkey",), width=64, fanout=16))
+
+
+@query
+def recon_diff_turns(spark, sf_dir):
+    """Keys of two columns: answers were edited, later questions are new."""
+    turns = fx.table(spark, sf_dir, "conversations")
+    edited = upsert.keyed_upsert(fx.turn_base(spark, sf_dir), fx.turn_batch(spark, sf_dir), ["conv_id", "turn"])
+    return digests.diff_rows(turns, edited.where("turn <= 3"), digests.Ranges(("conv_id", "turn"), leaves=4096))
+
+
 # --- layout ---------------------------------------------------------------------------------------
 
 
@@ -618,6 +633,16 @@ def first_load_all_rows(spark, sf_dir):
     return store.read(RAW, "orders").select("o_orderkey", day("o_orderdate").alias("day"))
 
 
+@query
+def repair_load(spark, sf_dir):
+    """Orders change at the source without their stamps, old ones come, others go: a repair finds them all."""
+    store, spec = _store(spark), TableSpec("orders", ("o_orderkey",), incremental=True)
+    load.run(store, lambda name: fx.order_feed(spark, sf_dir, 1), [spec])
+    found = load.repair(store, lambda name: fx.restated_orders(spark, sf_dir), spec, digests.Ranges(spec.keys, width=256, fanout=8))
+    rows = store.read(RAW, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice"), instant("updated_at").alias("updated_at"))
+    return rows.withColumns({k: F.lit(n).cast("bigint") for k, n in vars(found).items()})
+
+
 @query
 def stored_upsert_composite(spark, sf_dir):
     store = _store(spark)
