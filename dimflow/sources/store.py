@@ -206,6 +206,8 @@ class Store:
             unique = unique.withColumn("_gone", F.lit(False)).unionByName(out.withColumn("_gone", F.lit(True)))
         generation = commit.generation + 1 if commit else 0
         old = commit or Commit(generation, _first_buckets(spec), batch.schema, bucketing=_rule(spec))
+        moved = old.bucketing != _rule(spec)
+        places = _first_buckets(spec) if moved else old.live
         if commit is None and gone is None and spec.split_rows is None:
             staged = self._write_buckets(layer, spec.name, generation, unique.withColumn("_b", _bucket(spec, old.live)))
         else:
@@ -213,8 +215,9 @@ class Store:
             unique.write.mode("overwrite").parquet(path)
             staged = self.spark.read.schema(unique.schema).parquet(path)
             if commit is None:
-                old = replace(old, live=_first_buckets(spec, staged.count()))
-            staged = staged.withColumn("_b", _bucket(spec, old.live))
+                places = _first_buckets(spec, staged.count())
+                old = replace(old, live=places)
+            staged = staged.withColumn("_b", _bucket(spec, places))
         if spec.unique:
             _reject_repeats(staged, keys, spec.name)
         # One row, with at most as many bucket numbers as the table has buckets.
@@ -236,22 +239,18 @@ class Store:
         if commit is None and gone is None and spec.split_rows is None:
             self._commit(layer, spec.name, replace(state, live=dict.fromkeys(facts.touched, generation)))
             return facts.n
-        moved = old.bucketing != _rule(spec)
         touched = old.live if moved else {b: g for b, g in old.live.items() if b in set(facts.touched)}
         stay = {} if moved else {b: g for b, g in old.live.items() if b not in touched}
         rows = staged if gone is None else staged.where(~F.col("_gone")).drop("_gone")
-        if moved:
-            state = replace(state, live=_first_buckets(spec))
-            rows = rows.withColumn("_b", _bucket(spec, state.live))
         if any(g != NOWHERE for g in touched.values()):
-            base = self._at(layer, spec.name, Commit(old.generation, touched, old.schema)).withColumn("_b", _bucket(spec, state.live))
+            base = self._at(layer, spec.name, Commit(old.generation, touched, old.schema)).withColumn("_b", _bucket(spec, places))
             if stamp and keep_newer:
                 rows = rows.join(older_than(rows, base, keys, stamp), keys, "left_anti").select(*base.columns)
             replaced = rows if gone is None else rows.select(*keys).unionByName(staged.where("_gone").select(*keys))
             rows = base.join(replaced.select(*keys), keys, "left_anti").select(*base.columns).unionByName(rows)
         written = self._write_buckets(layer, spec.name, generation, rows.select(*batch.columns, "_b"))
         sizes = {r["_b"]: r["count"] for r in written.groupBy("_b").count().collect()}
-        sizes = dict.fromkeys([] if moved else touched, 0) | dict.fromkeys(_first_buckets(spec) if moved else [], 0) | sizes
+        sizes = dict.fromkeys(places if moved else touched, 0) | sizes
         if spec.split_rows is not None:
             sizes = self._split(layer, spec, generation, written, sizes)
         live = stay | {b: generation if n else NOWHERE for b, n in sizes.items()}

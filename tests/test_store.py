@@ -178,3 +178,83 @@ def test_newer_stored_row_stays(store, spark):
         store.upsert(RAW, spec, spark.createDataFrame(rows_, "id int, value string, updated_at timestamp_ntz"))
         stored = {r.id: r.value for r in store.read(RAW, "t").collect()}
         assert stored[1] == {"new": "new", "late": "new", "same": "same"}[value] and stored[2] == value
+
+
+def ids(spark, numbers, name="a", day=D1):
+    return frame(spark, *[(i, name, day) for i in numbers])
+
+
+def test_a_bucket_over_its_size_is_split_alone(spark, store):
+    spec = TableSpec("widgets", ("id",), incremental=True, split_rows=50)
+    store.upsert(RAW, spec, ids(spark, range(160)))
+    first = store.commit(RAW, "widgets")
+    assert all(g == 0 for g in first.live.values()) and len(first.live) >= 4
+    sizes = bucket_sizes(store)
+    assert max(sizes.values()) <= 50 and sum(sizes.values()) == 160
+    # Ids of one bucket until it is over its size.
+    target = max(sizes, key=sizes.get)
+    some = spark.range(1000, 4000).selectExpr("cast(id as int) as id")
+    from dimflow.sources.store import _bucket
+
+    same = [r.id for r in some.where(_bucket(spec, first.live) == target).limit(60).collect()]
+    store.upsert(RAW, spec, ids(spark, same, "b", D2))
+    second = store.commit(RAW, "widgets")
+    assert {b: g for b, g in second.live.items() if b in first.live} == {b: 0 for b in first.live if b != target}
+    assert len(second.live) > len(first.live) and max(bucket_sizes(store).values()) <= 50
+    assert [r[0] for r in rows(store.read(RAW, "widgets"))] == sorted([*range(160), *same])
+
+
+def bucket_sizes(store):
+    commit = store.commit(RAW, "widgets")
+    live = {b: g for b, g in commit.live.items() if g >= 0}
+    return {b: store.spark.read.parquet(f"{store.root}/raw/widgets/gen={g}/_b={b}").count() for b, g in live.items()}
+
+
+def test_a_table_that_is_split_from_nothing_and_emptied(spark, store):
+    spec = TableSpec("widgets", ("id",), incremental=True, split_rows=10)
+    store.create(RAW, spec, frame(spark, (1, "a", D1)).schema)
+    assert store.read(RAW, "widgets").count() == 0
+    for start in range(0, 120, 40):
+        store.upsert(RAW, spec, ids(spark, range(start, start + 40)))
+    assert len(rows(store.read(RAW, "widgets"))) == 120 and max(bucket_sizes(store).values()) <= 10
+    gone = ids(spark, range(120))
+    store.upsert(RAW, spec, gone.limit(0), gone=gone)
+    assert store.read(RAW, "widgets").count() == 0
+    store.upsert(RAW, spec, ids(spark, [5], "again"))
+    assert rows(store.read(RAW, "widgets")) == [(5, "again", D1)]
+
+
+def test_a_table_can_change_to_split_buckets(spark, store):
+    store.upsert(RAW, SPEC, ids(spark, range(90)))
+    spec = TableSpec("widgets", ("id",), incremental=True, split_rows=20)
+    store.upsert(RAW, spec, ids(spark, [5], "b", D2))
+    kept = rows(store.read(RAW, "widgets"))
+    assert len(kept) == 90 and kept[5] == (5, "b", D2) and max(bucket_sizes(store).values()) <= 20
+    with pytest.raises(ValueError, match="without id_range"):
+        TableSpec("t", ("id",), split_rows=5, id_range=5)
+
+
+def test_declared_unique_but_not(spark, store):
+    spec = TableSpec("widgets", ("id",), incremental=True, unique=True)
+    with pytest.raises(ValueError, match=r"\(1,\) 2 times"):
+        store.upsert(RAW, spec, frame(spark, (1, "a", D1), (1, "b", D2)))
+    assert not store.exists(RAW, "widgets")
+
+
+def test_rows_at_or_past_a_mark_by_the_registry(spark, store):
+    spec = TableSpec("widgets", ("id",), incremental=True, inclusive=True, cap_at="2026-01-02 12:00:00")
+    load.run(store, lambda name: frame(spark, (1, "a", D1), (2, "future", D3)), [spec])
+    assert rows(store.read(RAW, "widgets")) == [(1, "a", D1)]
+    load.run(store, lambda name: frame(spark, (1, "a", D1), (3, "late", D1), (4, "b", D2)), [spec])
+    assert [r[0] for r in rows(store.read(RAW, "widgets"))] == [1, 3, 4]
+
+
+def test_deltas_say_what_a_commit_touched(spark, store):
+    store.upsert(RAW, SPEC, ids(spark, range(5)))
+    assert store.deltas(RAW, "widgets", 0) is None
+    store.upsert(RAW, SPEC, ids(spark, [2, 9], "b", D2))
+    store.upsert(RAW, SPEC, ids(spark, [1], "c", D3))
+    assert rows(store.deltas(RAW, "widgets", 0).select("id", "name")) == [(1, "c"), (2, "b"), (9, "b")]
+    assert rows(store.deltas(RAW, "widgets", 1).select("id")) == [(1,)]
+    assert f"{store.root}/raw/widgets/delta=1" in store.superseded(RAW, "widgets", consumed=1)
+    assert not any("delta=" in path for path in store.superseded(RAW, "widgets"))
