@@ -151,6 +151,22 @@ def certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def supplier_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of each supplier: as many as its nation's number, up to 24, of all lengths, beginning a season apart."""
+    begin = F.date_add(F.to_date(F.lit("1992-01-01")), (F.col("n") * 97 + F.col("s_nationkey") * 13).cast("int"))
+    return (
+        table(spark, sf_dir, "supplier")
+        .where(F.col("s_nationkey") > 0)
+        .withColumn("n", F.explode(F.sequence(F.lit(1), F.col("s_nationkey"))))
+        .select(
+            "s_suppkey",
+            F.concat_ws("-", "s_suppkey", "n").alias("term"),
+            begin.alias("valid_from"),
+            F.date_add(begin, (F.col("n") * F.col("n") * 3).cast("int")).alias("valid_until"),
+        )
+    )
+
+
 def event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_rows(spark, sf_dir).where(F.col("ts") < ntz(BASE_UNTIL))
 

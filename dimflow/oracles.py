@@ -445,6 +445,11 @@ select row_number() over (order by c_mktsegment = 'MACHINERY', c_custkey) as cus
        c_custkey, case when c_acctbal < 0 then (c_nationkey + 1) % 25 else c_nationkey end as c_nationkey, c_mktsegment
 from customer"""
 ORACLES["stored_upsert_split"] = ORACLES["stream_replay"] = UPSERTED
+ORACLES["effective_deep_lookup"] = """
+with t as (select s_suppkey, s_suppkey || '-' || n as term, date '1992-01-01' + (n * 97 + s_nationkey * 13)::int as a, (n * n * 3)::int as days
+           from (select *, unnest(range(1, s_nationkey + 1)) as n from supplier))
+select l_orderkey, l_linenumber, l_suppkey, strftime(l_shipdate, '%Y-%m-%d') as l_shipdate, term
+from lineitem left join t on l_suppkey = s_suppkey and l_shipdate::date >= a and l_shipdate::date <= a + days"""
 ORACLES["recon_diff_rows"] = """
 select o_orderkey, 'missing' as difference from orders where o_orderstatus = 'P'
 union all select -o_orderkey, 'extra' from orders where o_orderstatus = 'P'

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dimflow import fixtures as fx
 from dimflow.functions import calendar
-from dimflow.operators import digests, dimensions, facts, highwater, pointintime, quality, reconcile, trace, upsert
+from dimflow.operators import digests, dimensions, facts, highwater, intervals, pointintime, quality, reconcile, trace, upsert
 from dimflow.operators import versioned
 from dimflow.plans import definitions, layout
 from dimflow.plans.job import run_job
@@ -223,6 +223,17 @@ def effective_dated_lookup(spark, sf_dir):
     return found.withColumn("l_shipdate", day("l_shipdate"))
 
 
+@query
+def effective_deep_lookup(spark, sf_dir):
+    """Ships of a supplier under the certificates of all its parts, many of which hold at the same time."""
+    lines = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
+    found = intervals.effective_lookup_deep(
+        lines, fx.supplier_terms(spark, sf_dir), {"l_suppkey": "s_suppkey"}, "l_shipdate", "valid_from", "valid_until",
+        {"term": "term"}, ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"], deep=4,
+    )
+    return found.withColumn("l_shipdate", day("l_shipdate"))
+
+
 @query
 def dim_date(spark, sf_dir):
     orders, lines = fx.table(spark, sf_dir, "orders"), fx.table(spark, sf_dir, "lineitem")

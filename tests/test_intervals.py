@@ -1,0 +1,67 @@
+"""Interval covers and the lookup made of them, against brute force."""
+
+from __future__ import annotations
+
+import random
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from dimflow.operators.dimensions import effective_lookup
+from dimflow.operators.intervals import RADIX, cover, effective_lookup_deep, levels_for, nodes_of
+from tests.conftest import plan, rows
+
+DAY = date(2026, 1, 1)
+
+
+def test_covers_are_disjoint_complete_and_few(spark):
+    levels = 3
+    spans = [(a, b) for a in range(64) for b in range(a - 1, 64)]
+    df = spark.createDataFrame(spans, "a long, b long").select("a", "b", cover(F.col("a"), F.col("b"), levels).alias("c"))
+    for a, b, nodes in df.collect():
+        days = [d for n in nodes for d in range(n.node * RADIX**n.level, (n.node + 1) * RADIX**n.level)]
+        assert sorted(days) == list(range(a, b + 1))
+        assert len(nodes) <= 2 * (RADIX - 1) * levels + 1
+    assert [levels_for(n) for n in (1, 2, 4, 5, 16, 17)] == [0, 1, 1, 2, 2, 3]
+
+
+def test_a_day_is_in_one_node_of_a_cover_or_none(spark):
+    df = spark.range(64).select("id", nodes_of(F.col("id"), 3).alias("n"), cover(F.lit(5), F.lit(50), 3).alias("c"))
+    met = df.select("id", F.size(F.array_intersect("n", "c")).alias("k"))
+    assert rows(met) == [(i, int(5 <= i <= 50)) for i in range(64)]
+
+
+def tables(spark, seed, n_facts=300, n_validities=250):
+    rnd = random.Random(seed)
+    span = [(i, rnd.choice([1, 1, 1, 2, 3, None]), rnd.randint(-30, 400), rnd.choice([0, 1, 5, 90, 700])) for i in range(n_validities)]
+    dim = spark.createDataFrame([(k, DAY + timedelta(a), DAY + timedelta(a + n), f"c{i}") for i, k, a, n in span], "key int, since date, until date, cert string")
+    dim = dim.unionAll(spark.createDataFrame([(1, None, DAY, "open"), (1, DAY, None, "open"), (9, DAY, DAY, "one")], dim.schema))
+    facts = [(i, rnd.choice([1, 1, 2, 3, 4, 9, None]), DAY + timedelta(rnd.randint(-50, 500)) if i % 50 else None) for i in range(n_facts)]
+    return spark.createDataFrame(facts, "id int, item int, at date").repartition(3), dim
+
+
+@pytest.mark.parametrize("deep", [0, 60, 10_000])
+def test_lookup_equals_the_plain_one(spark, deep):
+    facts, dim = tables(spark, deep)
+    given = ({"item": "key"}, "at", "since", "until", {"cert": "certificate"})
+    want = rows(effective_lookup(facts, dim, *given))
+    assert rows(effective_lookup_deep(facts, dim, *given, ["id"], deep)) == want
+    assert len(want) > facts.count()
+
+
+def test_no_validity_is_compared_with_a_fact_it_does_not_hold(spark):
+    """A thousand validities of one key, a day each: the join makes a row for each match and no more."""
+    dim = spark.range(1000).select((F.col("id") % 1 + 1).alias("key"), F.date_add(F.lit(DAY), F.col("id").cast("int")).alias("since"), "id")
+    dim = dim.withColumn("until", F.col("since"))
+    facts = spark.range(2000).select("id", (F.col("id") % 1 + 1).alias("item"), F.date_add(F.lit(DAY), (F.col("id") % 1000).cast("int")).alias("at"))
+    found = effective_lookup_deep(facts, dim, {"item": "key"}, "at", "since", "until", {"id": "which"}, ["id"])
+    assert found.where("which = id % 1000").count() == 2000 == found.count()
+    assert "NestedLoop" not in plan(found) and "Cartesian" not in plan(found)
+
+
+def test_nothing(spark):
+    facts, dim = tables(spark, 1)
+    given = ({"item": "key"}, "at", "since", "until", {"cert": "certificate"}, ["id"], 0)
+    assert effective_lookup_deep(facts.limit(0), dim, *given).count() == 0
+    assert effective_lookup_deep(facts, dim.limit(0), *given).where("certificate is null").count() == 300
