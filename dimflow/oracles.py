@@ -450,6 +450,22 @@ with t as (select s_suppkey, s_suppkey || '-' || n as term, date '1992-01-01' +
            from (select *, unnest(range(1, s_nationkey + 1)) as n from supplier))
 select l_orderkey, l_linenumber, l_suppkey, strftime(l_shipdate, '%Y-%m-%d') as l_shipdate, term
 from lineitem left join t on l_suppkey = s_suppkey and l_shipdate::date >= a and l_shipdate::date <= a + days"""
+ORACLES["sketch_cardinality"] = """
+select 'events' as table_name, c as column_name, n as row_count, d as distinct_count, true as within_error
+from (select count(*) n, count(distinct user_id) u, count(distinct event_type) t, count(distinct event_id) e from events),
+lateral (values ('user_id', u), ('event_type', t), ('event_id', e)) v(c, d)"""
+ORACLES["hot_key_advice"] = """
+with o as (select *, case when o_orderpriority = '1-URGENT' then 0 else o_custkey end as c from orders),
+t as (select 'by_order' as table_name, 'o_orderkey' as k, cast(o_orderkey as varchar) as v from o
+      union all select 'by_customer', 'o_custkey', cast(c as varchar) from o
+      union all select 'by_priority', 'o_orderpriority', o_orderpriority from o),
+s as (select table_name, k, count(*) as n, count(distinct v) as d from t group by all),
+h as (select table_name, v, count(*) as hits, row_number() over (partition by table_name order by count(*) desc, v) as r from t group by table_name, v)
+select table_name, n as row_count, case when d / n >= 0.05 then 'KEY' else 'EVEN' end as diststyle, case when d / n >= 0.05 then k end as distkey,
+       case when d / n >= 0.05 and hits >= 0.1 * n then v end as hot_value, case when d / n >= 0.05 and hits >= 0.1 * n then hits end as hot_rows,
+       case when d / n >= 0.05 and hits >= 0.1 * n then hits / n end as hot_share, case when d / n >= 0.05 then hits < 0.1 * n end as safe,
+       case when d / n >= 0.05 and hits >= 0.1 * n then 'salt ' || k || ' before shuffles' end as hot_action
+from s join h using (table_name) where r = 1"""
 ORACLES["recon_diff_rows"] = """
 select o_orderkey, 'missing' as difference from orders where o_orderstatus = 'P'
 union all select -o_orderkey, 'extra' from orders where o_orderstatus = 'P'

@@ -11,7 +11,7 @@ from dimflow import fixtures as fx
 from dimflow.functions import calendar
 from dimflow.operators import digests, dimensions, facts, highwater, intervals, pointintime, quality, reconcile, trace, upsert
 from dimflow.operators import versioned
-from dimflow.plans import definitions, layout
+from dimflow.plans import definitions, hotkeys, layout, sketches
 from dimflow.plans.job import run_job
 from dimflow.plans.star import CurrentDim, Star, VersionedDim
 from dimflow.registry import TableSpec
@@ -462,6 +462,30 @@ def key_cardinality(spark, sf_dir):
     return layout.key_cardinality(layout.gather(_profiled(spark, sf_dir), fx.USAGES))
 
 
+@query
+def sketch_cardinality(spark, sf_dir):
+    """Distinct counts merged from the sketches of a table's directories after two loads, beside exact ones."""
+    store, keys = _store(spark), ("user_id", "event_type", "event_id")
+    for rows in (fx.event_base(spark, sf_dir), fx.event_batch(spark, sf_dir)):
+        store.upsert(RAW, EVENTS, rows)
+        sketches.refresh(store, RAW, "events", keys)
+    kept = layout.key_cardinality(sketches.kept_stats(store, RAW, "events", keys))
+    exact = layout.key_cardinality(layout.table_stats(store.read(RAW, "events"), "events", keys))
+    near = F.abs(kept["distinct_count"] - exact["distinct_count"]) <= 0.04 * exact["distinct_count"]
+    both = kept.join(exact, kept["column_name"] == exact["column_name"])
+    return both.select(kept["table_name"], kept["column_name"], kept["row_count"], exact["distinct_count"], near.alias("within_error"))
+
+
+@query
+def hot_key_advice(spark, sf_dir):
+    """Orders as they are, and with the urgent ones on one customer: as many keys, one of them hot."""
+    orders = fx.order_rows(spark, sf_dir)
+    customer = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(0)).otherwise(F.col("o_custkey"))
+    usage = layout.Usage(("o_orderkey",)), layout.Usage(("o_custkey",)), layout.Usage(("o_orderpriority",))
+    tables = {"by_order": orders, "by_customer": orders.withColumn("o_custkey", customer.cast("bigint")), "by_priority": orders}
+    return hotkeys.hot_key_advice(tables, dict(zip(tables, usage)))
+
+
 @query
 def dist_advice(spark, sf_dir):
     report = layout.layout_report(_profiled(spark, sf_dir), fx.USAGES)

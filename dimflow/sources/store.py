@@ -328,6 +328,18 @@ class Store:
         places = {r["_b"] for r in keys.select(_bucket(spec, commit.live).alias("_b")).distinct().collect()}
         return self._at(layer, spec.name, replace(commit, live={b: g for b, g in commit.live.items() if b in places}, kept=[]))
 
+    def places(self, layer: str, table: str) -> list[str]:
+        """The live directories of a table, below its own."""
+        base = f"{self.root}/{layer}/{table}/"
+        return [path.removeprefix(base) for path in self._directories(layer, table, self._committed(layer, table))]
+
+    def read_places(self, layer: str, table: str, places: list[str]) -> DataFrame:
+        """Some of a table's directories. Spark's hidden ``_metadata`` tells which one a row is from."""
+        schema = self._committed(layer, table).schema
+        paths = [f"{self.root}/{layer}/{table}/{place}" for place in places]
+        empty = self.spark.createDataFrame([], schema).withColumn("_metadata", F.struct(F.lit("").alias("file_path")))
+        return self.spark.read.schema(schema).parquet(*paths) if paths else empty
+
     # --- paths ---
 
     def _log(self, layer: str, table: str, number: int) -> str:
