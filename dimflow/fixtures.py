@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dimflow.functions.calendar import ntz
+from dimflow.functions.calendar import batch_id, ntz
 from dimflow.operators.versioned import Wave, apply_snapshot
 from dimflow.plans.layout import Usage
 from dimflow.session import materialise
@@ -232,6 +232,15 @@ def custody(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def weekly_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a user did in a week as moves, each from where the one before ended; of errors there is no record."""
+    events = table(spark, sf_dir, "events").select(
+        batch_id("user_id", "ts").alias("batch_id"), "event_id", "ts", "event_type", (F.col("event_id") * 7919 % 101).alias("to_node")
+    )
+    before = F.lag("to_node").over(Window.partitionBy("batch_id").orderBy("ts", "event_id"))
+    return events.withColumn("from_node", before).where(F.col("event_type") != "error")
+
+
 def tampered_orders(orders: DataFrame) -> DataFrame:
     """The orders with the priority of one of them changed."""
     return orders.withColumn(

@@ -466,6 +466,25 @@ select table_name, n as row_count, case when d / n >= 0.05 then 'KEY' else 'EVEN
        case when d / n >= 0.05 and hits >= 0.1 * n then hits / n end as hot_share, case when d / n >= 0.05 then hits < 0.1 * n end as safe,
        case when d / n >= 0.05 and hits >= 0.1 * n then 'salt ' || k || ' before shuffles' end as hot_action
 from s join h using (table_name) where r = 1"""
+CHAINS = f"""
+with recursive e as (select {WEEK} as batch, event_id as move, event_type, event_id * 7919 % 101 as t,
+    lag(event_id * 7919 % 101) over (partition by {WEEK} order by ts, event_id) as f from events),
+m as (select * from e where event_type <> 'error'),
+arr as (select batch, t, count(*) as n, min(move) as first from m group by all),
+dep as (select batch, f, count(*) as n from m group by all),
+p as (select m.batch, move, case when arr.n = 1 then arr.first end as follows,
+             case when m.f is null then 'start' when arr.n is null then 'gap' when arr.n > 1 then 'merge' else 'link' end as kind,
+             coalesce(dep.n, 0) as n_next
+      from m left join arr on m.batch = arr.batch and m.f = arr.t left join dep on m.batch = dep.batch and m.t = dep.f),
+walk as (select batch, move, move as first, 0::bigint as place from p where follows is null
+         union all select p.batch, p.move, walk.first, place + 1 from p join walk on p.batch = walk.batch and p.follows = walk.move),
+found as (select p.*, walk.first, place, walk.first is null as in_cycle from p left join walk using (batch, move))"""
+ORACLES["custody_chain"] = f"{CHAINS} select * from found"
+ORACLES["custody_report"] = f"""{CHAINS}
+select batch, count(*) as n_moves, count(*) filter (where place = 0) as n_chains, count(*) filter (where kind = 'gap') as n_gaps,
+       count(*) filter (where kind = 'merge') as n_merges, count(*) filter (where n_next > 1) as n_forks,
+       count(*) filter (where in_cycle) as n_in_cycles, coalesce(max(place), -1) + 1 as longest
+from found group by batch"""
 ORACLES["recon_diff_rows"] = """
 select o_orderkey, 'missing' as difference from orders where o_orderstatus = 'P'
 union all select -o_orderkey, 'extra' from orders where o_orderstatus = 'P'

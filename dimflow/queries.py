@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dimflow import fixtures as fx
 from dimflow.functions import calendar
-from dimflow.operators import digests, dimensions, facts, highwater, intervals, pointintime, quality, reconcile, trace, upsert
+from dimflow.operators import chains, digests, dimensions, facts, highwater, intervals, pointintime, quality, reconcile, trace, upsert
 from dimflow.operators import versioned
 from dimflow.plans import definitions, hotkeys, layout, sketches
 from dimflow.plans.job import run_job
@@ -602,6 +602,17 @@ def mass_balance(spark, sf_dir):
     )
 
 
+@query
+def custody_chain(spark, sf_dir):
+    """Each user's week as moves between nodes, of which the records of errors are lost."""
+    return chains.chains(fx.weekly_moves(spark, sf_dir), "batch_id", "event_id", "from_node", "to_node")
+
+
+@query
+def custody_report(spark, sf_dir):
+    return chains.chain_report(chains.chains(fx.weekly_moves(spark, sf_dir), "batch_id", "event_id", "from_node", "to_node"))
+
+
 # --- stored tables: these write under the shared folder ----------------------------------------------
 
 
