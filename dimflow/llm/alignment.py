@@ -1,9 +1,10 @@
 """Where two tokenizers cut the same bytes, and which tokens of the one stand for which of the other.
 
 Token lists of a batch are flattened with their parents' numbers, and cumulative sums of token lengths within each
-document give the bytes at which tokens end. An Acero hash join on (document, end) leaves the ends both have; they cut
-the documents into groups. Within a group every token of the first is linked with every token of the second,
-counted, not listed: a group's distinct ids of either side are joined on the group, with the product of how often they are there.
+document give the bytes at which tokens end. An Acero hash join on keys of document and end leaves the ends both have; they
+cut the documents into groups. Within a group every token of the first is linked with every token of the second. Small
+groups' links are laid out; those of large ones are counted, not listed: a group's distinct ids of either side are
+joined on the group, with the product of how often they are there.
 
 Counts over all documents: each task counts its distinct (document, pair) rows by ``Table.group_by`` in blocks of
 bounded text, Spark adds the blocks' counts up, and each block gets back the counts of the pairs it holds. So what a
@@ -14,9 +15,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import pairwise
+from itertools import batched, chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +29,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.llm.common import query, slices, table, text_buffer
-from dimflow.llm.pieces import Memo, uneven_blanks
+from dimflow.llm.pieces import uneven_blanks
 from dimflow.llm.token_counts import load_tokenizer
 from dimflow.session import materialise
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 BLOCK_BYTES = 64 << 20  # of text; a longer text is a block of its own
 MERGE_EVERY = 8
-_CUT = re.compile(r"(?<=\S)(?= )")
+MOST_PIECES = 400_000  # a worker remembers
+LARGE_GROUP = 64  # links
+LINE = 512  # words that go to the libraries in one text
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
+_AS_IS = b"\xff"  # in no text: begins the key of a piece that has no blank before it
 #: A document has ``links``; a block's last row has ``pairs`` and, for each, the number of ``documents`` that hold it.
 _ROWS = ("id {id}, block long, n_a long, n_b long, n_groups long, n_links long, groups string, links binary, "
          "pairs array<long>, documents array<long>")
@@ -50,11 +55,11 @@ def byte_level() -> dict[str, int]:
 
 
 class Pair:
-    """Both tokenizers, their tokens' bytes, and the ids of pieces already met.
+    """Both tokenizers, their tokens' bytes, and the ids of pieces already met, up to a number of them.
 
-    A text has a blank put before it and is cut before each blank that follows no white space: no token of either
-    reaches over that place. A piece is kept without the blank it begins with, as its ids under both, or as None
-    if either does not give its bytes back.
+    A text has a blank put before it and is cut before each blank or line break that follows no white space: no token of
+    either reaches over that place. A piece is kept with its ids under both, and whether both give its bytes back, by its
+    bytes without the blank it begins with.
     """
 
     def __init__(self, first: str, second: str) -> None:
@@ -69,54 +74,117 @@ class Pair:
         words = [one.id_to_token(i) or "" for i in ids]
         self.bytes_a = [bytes(map(as_byte.__getitem__, w)) if all(c in as_byte for c in w) else w.encode() for w in words]
         pieces = [two.id_to_piece(i) for i in range(self.size)]
-        if any("▁" in p.lstrip("▁") for p in pieces):
-            raise ValueError("tokens of the second tokenizer reach over blanks")
+        if any("▁" in p.lstrip("▁") or "\n" in p for p in pieces):
+            raise ValueError("tokens of the second tokenizer reach over blanks or line breaks")
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if two.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
         self.lengths_a, self.lengths_b = (np.array([len(t) for t in side], np.int64) for side in (self.bytes_a, self.bytes_b))
 
-        blank = two.piece_to_id("▁")
-
-        def both(keys: list[bytes]) -> Iterator[tuple[bytes, bytes] | None]:
-            texts = [k.decode() for k in keys]
-            ids_a = one.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-            for key, a, b in zip(keys, ids_a, two.encode(texts, num_threads=1)):
-                b = b if key else [blank]  # nothing gets no blank before it
-                same = all(b"".join(map(side.__getitem__, got)) == b" " + key for side, got in ((self.bytes_a, a.ids), (self.bytes_b, b)))
-                yield (np.array(a.ids, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if same else None
-
-        self.memo = Memo(both, most=16 << 20)
+        self.one, self.two, self.blank = one, two, two.piece_to_id("▁")
+        self._restart()
+
+    def _restart(self) -> None:
+        #: The number of a piece; for either side the ids of all pieces and how many each has; whether both give it back.
+        self.number: dict[bytes, int] = {}
+        self.flat: tuple[list[np.ndarray], ...] = ([], [])
+        self.sizes: tuple[list[np.ndarray], ...] = ([], [])
+        self.good: list[np.ndarray] = []
+
+    def _learn(self, keys: list[bytes]) -> None:
+        """Words go to the libraries many in a line, whose tokens are cut where the words end; other pieces one by one."""
+        words = [k for k in keys if k[:1] != _AS_IS and _is_word(k)]
+        after = [k for k in keys if k[:2] == _AS_IS + b"\n" and _is_word(k[2:])]
+        lines = [line for line in batched(words + after, LINE) if line[0][:1] != _AS_IS]
+        texts = [b"".join(map(_whole, line)) for line in lines]
+        found = self._encode(texts, [t[1:] for t in texts])
+        done = set()
+        for line, text, ids_a, ids_b in zip(lines, texts, *found):
+            ends, parts = np.cumsum([len(_whole(k)) for k in line]), []
+            for ids, as_bytes, lengths in ((ids_a, self.bytes_a, self.lengths_a), (ids_b, self.bytes_b, self.lengths_b)):
+                ids = np.array(ids, np.int64)
+                reached = np.cumsum(lengths[ids])
+                last = np.searchsorted(reached, ends)
+                whole = b"".join(map(as_bytes.__getitem__, ids.tolist())) == text
+                parts.append((ids, np.diff(last, prepend=-1)) if whole and (reached[last] == ends).all() else None)
+            if None not in parts:
+                self._add(line, parts, np.ones(len(line), bool))
+                done.update(line)
+        keys = [k for k in keys if k not in done]
+        # The second puts a blank before what it gets: that is the piece's own, or it is taken off.
+        whole = [_whole(k) for k in keys]
+        first, second = self._encode(whole, [k.removeprefix(_AS_IS) for k in keys])
+        second = [i[1:] if k[:1] == _AS_IS else i if k else [self.blank] for i, k in zip(second, keys)]
+        good, parts = np.ones(len(keys), bool), []
+        for ids, as_bytes in ((first, self.bytes_a), (second, self.bytes_b)):
+            good &= np.array([b"".join(map(as_bytes.__getitem__, i)) == w for i, w in zip(ids, whole)], bool)
+            parts.append((np.fromiter(chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64, len(ids))))
+        self._add(keys, parts, good)
+
+    def _encode(self, first: list[bytes], second: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
+        found = self.one.encode_batch_fast([t.decode() for t in first], add_special_tokens=False)
+        return [e.ids for e in found], self.two.encode([t.decode() for t in second], num_threads=1)
+
+    def _add(self, keys: Sequence[bytes], parts: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray) -> None:
+        self.number.update(zip(keys, range(len(self.number), len(self.number) + len(keys))))
+        self.good.append(good)
+        for side, (ids, sizes) in enumerate(parts):
+            self.flat[side].append(ids)
+            self.sizes[side].append(sizes)
 
     def __call__(self, data: np.ndarray, bounds: np.ndarray) -> list[pa.LargeListArray]:
         """Token lists of each text under both; none where either does not give its bytes back, or it has no bytes."""
-        cut, sides = list(_pieces(data, bounds)), ([], [])
-        self.memo.learn(p for pieces in cut for p in pieces)
-        known = self.memo.known
-        for pieces in cut:
-            found = [known[p] for p in pieces] or [None]
-            for i in (0, 1):
-                sides[i].append(b"" if None in found else b"".join([f[i] for f in found]))
-        return [_lists(side) for side in sides]
+        cut = list(_pieces(data, bounds))
+        pieces = list(chain.from_iterable(cut))
+        if len(self.number) > MOST_PIECES:
+            self._restart()
+        numbers = np.array(list(map(self.number.get, pieces, repeat(-1))), np.int64)
+        fresh = np.flatnonzero(numbers < 0).tolist()
+        if fresh:
+            self._learn(list({pieces[i] for i in fresh}))
+            numbers[fresh] = [self.number[pieces[i]] for i in fresh]
+            for held in (*self.flat, *self.sizes, self.good):
+                held[:] = [np.concatenate(held)]
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        doc = np.repeat(np.arange(len(cut)), sizes)
+        right = (np.bincount(doc, ~self.good[0][numbers], len(cut)) == 0)[doc] if pieces else np.empty(0, bool)
+        numbers, doc = numbers[right], doc[right]
+        lists = []
+        for flat, sizes in zip(self.flat, self.sizes):
+            if not pieces:
+                lists.append(pa.LargeListArray.from_arrays(pa.array(np.zeros(len(cut) + 1, np.int64)), pa.array(numbers)))
+                continue
+            n = sizes[0][numbers]
+            ends = np.cumsum(n)
+            ids = flat[0][np.repeat((np.cumsum(sizes[0]) - sizes[0])[numbers] - (ends - n), n) + np.arange(n.sum())]
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, n, len(cut)).astype(np.int64))])
+            lists.append(pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(ids)))
+        return lists
+
+
+def _whole(key: bytes) -> bytes:
+    """The bytes of the piece with this key."""
+    return key[1:] if key[:1] == _AS_IS else b" " + key
+
+
+def _is_word(piece: bytes) -> bool:
+    text = piece.decode()
+    return text.split() == [text]
 
 
 def _pieces(data: np.ndarray, bounds: np.ndarray) -> Iterator[list[bytes]]:
-    """Each text's pieces, without the blank that each begins with; no pieces for an empty text."""
-    odd = uneven_blanks(data[bounds[0] : bounds[-1]]) + bounds[0]
+    """The keys of each text's pieces; none for an empty text."""
+    part = data[bounds[0] : bounds[-1]]
+    odd = np.sort(np.append(uneven_blanks(part), uneven_blanks(part, 10))) + bounds[0]
     counts = np.searchsorted(odd, bounds)
     for i in range(len(bounds) - 1):
         text = data[bounds[i] : bounds[i + 1]].tobytes()
         if not text:
             yield []
         elif counts[i + 1] > counts[i] or text[:1].isspace() or text[0] >= 128:
-            yield [p[1:].encode() for p in _CUT.split(" " + text.decode())]
+            yield [p[1:].encode() if p[0] == " " else _AS_IS + p.encode() for p in _CUT.split(" " + text.decode())]
         else:
-            yield text.split(b" ")
-
-
-def _lists(rows: list[bytes]) -> pa.ListArray:
-    ends = np.cumsum([0, *(len(r) // 4 for r in rows)])
-    return pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.frombuffer(b"".join(rows), "<u4").astype(np.int64)))
+            yield text.replace(b"\n", b" \xff\n").split(b" ")
 
 
 def ends_of(lists: pa.LargeListArray, lengths: np.ndarray) -> pa.Table:
@@ -130,25 +198,39 @@ def ends_of(lists: pa.LargeListArray, lengths: np.ndarray) -> pa.Table:
 
 def groups_of(a: pa.Table, b: pa.Table) -> tuple[pa.Table, pa.Table, np.ndarray]:
     """Both sides with their ``group``, and the document of each group; groups are numbered in order over all documents."""
-    keys = ["doc", "end"]
-    common = a.select(keys).join(b.select(keys), keys, join_type="inner", use_threads=False).sort_by([(k, "ascending") for k in keys])
-    docs, ends = (common[k].to_numpy() for k in keys)
     wide = int(max(pc.max(a["end"]).as_py() or 0, pc.max(b["end"]).as_py() or 0)) + 1
-    cuts = docs * wide + ends
-    sides = [side.append_column("group", pa.array(np.searchsorted(cuts, side["doc"].to_numpy() * wide + side["end"].to_numpy()))) for side in (a, b)]
-    return *sides, docs
+    keys = [pa.table({"doc_end": pc.add(pc.multiply(side["doc"], wide), side["end"])}) for side in (a, b)]
+    common = keys[0].join(keys[1], "doc_end", join_type="inner", use_threads=False)
+    cuts = np.sort(common["doc_end"].to_numpy())
+    sides = []
+    for side, key in zip((a, b), keys):
+        last = np.searchsorted(key["doc_end"].to_numpy(), cuts)  # the last token of each group
+        sides.append(side.append_column("group", pa.array(np.repeat(np.arange(len(cuts)), np.diff(last, prepend=-1)))))
+    return *sides, cuts // wide
 
 
 def links_of(a: pa.Table, b: pa.Table, docs: np.ndarray, size: int) -> pa.Table:
     """``doc``, ``pair`` and ``times``: how often a pair (first id times ``size`` plus second) is linked in each document."""
-    sides = [s.select(["group", "id"]).group_by(["group", "id"], use_threads=False).aggregate([([], "count_all")]) for s in (a, b)]
-    both = sides[0].rename_columns(["group", "a", "n_a"]).join(sides[1].rename_columns(["group", "b", "n_b"]), "group", join_type="inner", use_threads=False)
-    rows = pa.table({
-        "doc": docs[both["group"].to_numpy()], "pair": both["a"].to_numpy() * size + both["b"].to_numpy(),
-        "times": both["n_a"].to_numpy() * both["n_b"].to_numpy(),
-    })
-    found = rows.group_by(["doc", "pair"], use_threads=False).aggregate([("times", "sum")]).rename_columns(["doc", "pair", "times"])
-    return found.sort_by([("doc", "ascending"), ("pair", "ascending")])
+    (group_a, id_a), (group_b, id_b) = ([side[c].to_numpy() for c in ("group", "id")] for side in (a, b))
+    n_a, n_b = (np.bincount(group, minlength=len(docs)) for group in (group_a, group_b))
+    small = n_a * n_b <= LARGE_GROUP
+    # Each token of the first side beside all tokens of the second in its group.
+    own = np.flatnonzero(small[group_a])
+    n = n_b[group_a[own]]
+    first = np.repeat(own, n)
+    second = np.arange(len(first)) + np.repeat((np.cumsum(n_b) - n_b)[group_a[own]] - (np.cumsum(n) - n), n)
+    doc, pair, times = docs[group_a[first]], id_a[first] * size + id_b[second], np.ones(len(first), np.int64)
+    if not small.all():
+        large = [side.filter(pa.array(~small[group])).select(["group", "id"]) for side, group in ((a, group_a), (b, group_b))]
+        large = [side.group_by(["group", "id"], use_threads=False).aggregate([([], "count_all")]) for side in large]
+        both = large[0].rename_columns(["group", "a", "n_a"]).join(large[1].rename_columns(["group", "b", "n_b"]), "group", join_type="inner", use_threads=False)
+        doc = np.append(doc, docs[both["group"].to_numpy()])
+        pair = np.append(pair, both["a"].to_numpy() * size + both["b"].to_numpy())
+        times = np.append(times, both["n_a"].to_numpy() * both["n_b"].to_numpy())
+    order = np.lexsort((pair, doc))
+    doc, pair, times = doc[order], pair[order], times[order]
+    new = np.flatnonzero(np.append(True, (np.diff(doc) != 0) | (np.diff(pair) != 0))[: len(doc)])
+    return pa.table({"doc": doc[new], "pair": pair[new], "times": np.add.reduceat(times, new) if len(new) else times})
 
 
 @lru_cache(maxsize=2)
@@ -231,6 +313,7 @@ def _work(first: str, second: str, names: list[str], digest: bool, block_bytes:
                 if len(seen) >= MERGE_EVERY:
                     seen = [merged()]
                 held += int(bounds[hi] - bounds[lo])
+                pa.default_memory_pool().release_unused()
                 if held >= block_bytes:
                     yield closed()
                     block, held, seen = block + 1, 0, []

@@ -42,9 +42,9 @@ class Memo(Generic[Value]):
             self.held += sum(map(len, fresh)) + 24 * len(fresh)
 
 
-def uneven_blanks(data: np.ndarray) -> np.ndarray:
-    """Places of blanks that may follow white space."""
-    at = np.flatnonzero(data == 32)
+def uneven_blanks(data: np.ndarray, byte: int = 32) -> np.ndarray:
+    """Places of blanks, or of another byte, that may follow white space."""
+    at = np.flatnonzero(data == byte)
     at = at[at > 0]
     before = data[at - 1]
     return at[_BLANK[before] | ((before >= 128) & _SECOND_LAST[data[at - 2]])]
