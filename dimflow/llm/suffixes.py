@@ -22,13 +22,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.llm.common import query, table, text_buffer
+from dimflow.llm.common import SLICE_BYTES, query, table, text_buffer
 from dimflow.session import materialise
 
 THRESHOLD = 400
@@ -38,7 +40,7 @@ _BASE = 0x9E3779B97F4A7C15  # odd, so powers have inverses modulo 2^64
 _STEP = 8
 
 #: Suffixes ``lo`` to ``lo + n - 1`` of a text, its anchor, and two digits; the second contains the first.
-_CUTS = "row long, lo long, n int, anchor long, ax long, ay long, bx long, by long"
+_CUTS = "row long, lo int, n int, anchor int, ax long, ay long, bx long, by long"
 _NAMES = [c.split()[0] for c in _CUTS.split(", ")]
 
 
@@ -121,27 +123,54 @@ def cuts_of(text: np.ndarray, lo: np.ndarray, n: np.ndarray, anchor: np.ndarray,
     return [lo, n, anchor, *a, *(a if step == 1 else digests(text, lo, lo + n - 1 + threshold))]
 
 
+def packed(docs: DataFrame, kind: str) -> DataFrame:
+    """``row``, ``id``, ``n_bytes`` and the text compressed, as it is moved more than once and read in Python only."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            data, bounds = text_buffer(batch.column(2))
+            texts = [pack(data[a:b].tobytes()) for a, b in pairwise(bounds.tolist())]
+            columns = [batch.column(0), batch.column(1), pa.array(np.diff(bounds)), pa.array(texts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "n_bytes", "text"])
+
+    return docs.mapInArrow(work, f"row long, id {kind}, n_bytes long, text binary")
+
+
+def unpacked(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Texts of a batch some at a time: the first row and the one after the last, the bytes, and where each begins."""
+    unpack, texts, first, held = zstandard.ZstdDecompressor().decompress, [], 0, 0
+    raws = batch.column(column)
+    for at in range(len(raws)):
+        texts.append(unpack(raws[at].as_buffer()))
+        held += len(texts[-1])
+        if held >= most or at == len(raws) - 1:
+            yield first, at + 1, np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+            texts, first, held = [], at + 1, 0
+
+
 def _runs(texts: DataFrame, threshold: int, piece: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, bounds = text_buffer(batch.column(1))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for rows, lo, n, anchor, gram, x, y in runs_of(data, bounds, threshold, piece):
-                columns = [ids[rows], lo, n.astype(np.int32), anchor, gram, np.zeros_like(gram), x, y]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_NAMES)
+            for first, _, data, bounds in unpacked(batch, 1):
+                for rows, lo, n, anchor, gram, x, y in runs_of(data, bounds, threshold, piece):
+                    columns = [ids[first + rows], *(c.astype(np.int32) for c in (lo, n, anchor)), gram, np.zeros_like(gram), x, y]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_NAMES)
 
-    return texts.where(F.octet_length("text") >= threshold).select("row", "text").mapInArrow(work, _CUTS)
+    return texts.where(F.col("n_bytes") >= threshold).select("row", "text").mapInArrow(work, _CUTS)
 
 
 def _cuts(texts: DataFrame, undecided: DataFrame, step: int, threshold: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, bounds = text_buffer(batch.column(1))
-            for i, (row, runs) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2))):
-                lo, n, anchor = (runs.values.field(k).to_numpy().astype(np.int64) for k in range(3))
-                lo, n, *others = cuts_of(data[bounds[i] : bounds[i + 1]], lo, n, anchor, step, threshold)
-                columns = [np.full(len(lo), row), lo, n.astype(np.int32), *others]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_NAMES)
+            rows, asked = batch.column(0).to_pylist(), batch.column(2)
+            for first, end, data, bounds in unpacked(batch, 1):
+                for i in range(first, end):
+                    lo, n, anchor = (asked[i].values.field(k).to_numpy().astype(np.int64) for k in range(3))
+                    *places, ax, ay, bx, by = cuts_of(data[bounds[i - first] : bounds[i - first + 1]], lo, n, anchor, step, threshold)
+                    columns = [np.full(len(ax), rows[i]), *(c.astype(np.int32) for c in places), ax, ay, bx, by]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_NAMES)
 
     # Written, its size is known: texts move only if it is too large to broadcast.
     asked = materialise(undecided.groupBy("row").agg(F.collect_list(F.struct("lo", "n", "anchor")).alias("runs")), "undecided")
@@ -158,6 +187,7 @@ def _pass(cuts: DataFrame) -> tuple[DataFrame, DataFrame]:
     kinds = materialise(kinds, "kinds")
     repeated = alive.join(kinds.where("_n > 1").select(*both), both, "left_semi").select("row", "lo", "n")
     several = kinds.groupBy(*first).agg(F.count(F.lit(1)).alias("_k")).where("_k > 1").select(*first)
+    several = materialise(several, "several")  # so that the join starts from plain shuffles, and a hot digit can be split
     return repeated, kinds.join(several, first, "left_semi").select("one.*")
 
 
@@ -197,26 +227,28 @@ def without_repeats(docs: DataFrame, id_col: str, text_col: str, threshold: int
         F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
     )
-    rows = materialise(rows, "texts")  # which fixes the row numbers
-    texts = rows.select("row", "text")
+    kind = rows.schema["id"].dataType
+    rows = materialise(packed(rows, kind.simpleString()), "texts")  # which fixes the row numbers
+    texts = rows.select("row", "n_bytes", "text")
     repeated, undecided = _pass(_runs(texts, threshold, piece))
     spans = repeated
     for step in (max(1, min(_STEP, threshold // 2)), 1):
         repeated, undecided = _pass(_cuts(texts, undecided, step, threshold))
         spans = spans.unionAll(repeated)
     spans = materialise(_merged(spans, threshold), "spans")
-    kind = rows.schema["id"].dataType
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, bounds = text_buffer(batch.column(1))
-            kept = []
-            for i, spans in enumerate(batch.column(2).to_pylist()):
-                text = data[bounds[i] : bounds[i + 1]].tobytes()
-                ends = [0, *(s["end"] for s in spans or [])]
-                kept.append(b"".join(text[a:b] for a, b in zip(ends, [*(s["start"] for s in spans or []), len(text)])))
-            columns = [batch.column(0), pa.array(np.diff(bounds)), batch.column(2), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_bytes", "spans", "kept"])
+            all_spans = batch.column(2).to_pylist()
+            for first, end, data, bounds in unpacked(batch, 1):
+                kept = []
+                for spans, a, b in zip(all_spans[first:end], bounds[:-1], bounds[1:]):
+                    text = data[a:b].tobytes()
+                    ends = [0, *(s["end"] for s in spans)]
+                    kept.append(b"".join(text[x:y] for x, y in zip(ends, [*(s["start"] for s in spans), len(text)])))
+                part = [c.slice(first, end - first) for c in (batch.column(0), batch.column(2))]
+                columns = [part[0], pa.array(np.diff(bounds)), part[1], pa.array(kept, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n_bytes", "spans", "kept"])
 
     none = F.array().cast(spans.schema["spans"].dataType)
     given = rows.join(spans, "row", "left").select("id", "text", F.coalesce("spans", none).alias("spans"))
