@@ -12,9 +12,8 @@
    another component, in blocks and on full sets. After that no candidate pair of two components is
    unchecked; pairs inside one component cannot change the result and are never made.
 
-A pair of similarity s is no candidate with probability (1 - s^5)^25, 4e-7 at 0.85, and a candidate is
-set aside wrongly with about 1e-5 (``SIGMAS`` standard deviations of the estimate); both fall fast above the
-limit.
+A pair of similarity s is no candidate with probability (1 - s^5)^25, 4e-7 at 0.85 and 5e-5 at 0.80, and a candidate
+at the limit is set aside wrongly with ``MISSED`` at most, by the exact binomial tail; both fall fast above the limit.
 """
 
 from __future__ import annotations
@@ -35,7 +34,7 @@ from dimflow.llm.shingles import mix, shingle_sets
 from dimflow.session import materialise
 
 MINIMA, BITS, BANDS, ROWS = 128, 4, 25, 5
-SIGMAS = 4.2
+MISSED = 1e-7
 STAR_ROUNDS = 2
 _FACTORS = np.random.default_rng(7).integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BLOCK = 2048
@@ -123,10 +122,17 @@ def estimate(left: str, right: str) -> Column:
 
 
 def lowest_estimate(percent: int) -> float:
-    """The estimate below which a pair at the limit falls with the chance of ``SIGMAS`` deviations only."""
+    """The estimate below which a pair at the limit falls with a chance of ``MISSED`` at most.
+
+    How many of the minima's low bits are equal is binomial: a pair with fewer than the number whose tail stays below that
+    chance is set aside.
+    """
     chance = 2.0**-BITS
     equal = percent / 100 * (1 - chance) + chance
-    return percent / 100 - SIGMAS * math.sqrt(equal * (1 - equal) / MINIMA) / (1 - chance)
+    tail, least = 0.0, 0
+    while (tail := tail + math.comb(MINIMA, least) * equal**least * (1 - equal) ** (MINIMA - least)) <= MISSED:
+        least += 1
+    return ((least - 0.5) / MINIMA - chance) / (1 - chance)  # half way to the count below
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -172,7 +178,7 @@ def near_duplicates(
     wanted = wanted.select(F.col("least").alias("_least")).distinct()
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     sets = full_sets(rows.join(wanted, F.col("_id").eqNullSafe(F.col("_least")), "left_semi"), "_text", size)
-    sets = materialise(sets, "sets")
+    sets = materialise(sets.dropDuplicates(["digest"]), "sets")  # rows that repeat an id, or have none, give one set
 
     lowest, links, labels = lowest_estimate(percent), None, None
     for turn in range(STAR_ROUNDS + 1):
@@ -261,7 +267,7 @@ def _across(placed: DataFrame, sets: DataFrame, lowest: float, percent: int) ->
         placed_in = df.join(grid, "key").select("key", "digest", "component", at, all_others)
         return placed_in.select("key", "x", "y", F.lit(own).alias("side"), "digest", "component")
 
-    cells = spread(outer, "x", "y").unionAll(spread(inner, "y", "x")).join(sets.distinct(), "digest")
+    cells = spread(outer, "x", "y").unionAll(spread(inner, "y", "x")).join(sets, "digest")
     cells = cells.select("key", "x", "y", "side", "digest", "component", "shingles")
     cells = cells.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
 

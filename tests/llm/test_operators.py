@@ -372,3 +372,37 @@ def test_word_ids_are_the_librarys_also_around_stops_and_odd_letters():
         bounds = np.cumsum([0, *(len(t.encode()) for t in odd)])
         got = [np.frombuffer(ids, dtype).tolist() for ids in token_files.Encoder(WORDS, dtype)(data, bounds)]
         assert got == [library.encode(t, add_special_tokens=False).ids for t in odd]
+
+
+def test_rows_without_ids_make_no_pairs_of_copies(llm, monkeypatch):
+    """Two near texts, 300 rows each and none with an id: their sets meet once, not each copy with each."""
+    seen = []
+
+    def counted(pairs, sets, percent, make=neardup.confirmed):
+        seen.append((pairs.count(), sets.count()))
+        return make(pairs, sets, percent)
+
+    monkeypatch.setattr(neardup, "confirmed", counted)
+    base = [f"w{i}" for i in range(80)]
+    near = " ".join(base), " ".join([*base[:79], "other"])
+    found = neardup.near_duplicates(llm.createDataFrame([(None, t) for t in near * 300], "doc_id long, text string"), "doc_id", "text", 3, 85)
+    assert found.groupBy("component_id").count().collect() == [(None, 600)]
+    assert seen[0] == (1, 2) and all(n_sets == 2 for _, n_sets in seen)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_the_estimate_sets_aside_as_few_pairs_as_it_says(percent):
+    """By the exact tail, and by pairs of sets made to lie at the limit: not one of 3000 is set aside."""
+    from math import comb
+
+    share = percent / 100 * 15 / 16 + 1 / 16
+    lowest = neardup.lowest_estimate(percent)
+    aside = [k for k in range(129) if (k / 128 - 1 / 16) / (15 / 16) < lowest]
+    tail = sum(comb(128, k) * share**k * (1 - share) ** (128 - k) for k in aside)
+    assert tail <= 1e-7 < tail + comb(128, len(aside)) * share ** len(aside) * (1 - share) ** (128 - len(aside))
+    rnd = np.random.default_rng(percent)
+    for _ in range(3000):
+        common = rnd.integers(0, 1 << 63, 2 * percent, dtype=np.uint64)
+        own = rnd.integers(0, 1 << 63, (2, 100 - percent), dtype=np.uint64)
+        a, b = (neardup.minima(np.concatenate([common, o])) & np.uint64(15) for o in own)
+        assert ((a == b).mean() - 1 / 16) / (15 / 16) >= lowest
