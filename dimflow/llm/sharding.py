@@ -71,7 +71,13 @@ def sharded(docs: DataFrame, id_col: str, text_col: str, shards: int = SHARDS, o
 
 
 def write_shards(docs: DataFrame, id_col: str, text_col: str, path: str, shards: int = SHARDS) -> None:
-    """The rows of ``docs`` in one folder for each shard, sorted by slot. Ids must be unique here."""
+    """The rows of ``docs`` in one folder for each shard, sorted by slot.
+
+    Ids must be unique and not null, as rows and places meet by them; others are an error before anything is written.
+    """
+    twice = docs.groupBy(F.col(f"`{id_col}`").alias("_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR _id IS NULL").first()
+    if twice:
+        raise ValueError(f"{id_col} {twice['_id']} is null or there more than once")
     places = sharded(docs, id_col, text_col, shards).select(F.col(id_col).alias("_id"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
     rows = docs.join(places, F.col(f"`{id_col}`") == F.col("_id")).drop("_id")
     rows.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot").drop("_slot").write.partitionBy("_shard").parquet(path)

@@ -406,3 +406,14 @@ def test_the_estimate_sets_aside_as_few_pairs_as_it_says(percent):
         own = rnd.integers(0, 1 << 63, (2, 100 - percent), dtype=np.uint64)
         a, b = (neardup.minima(np.concatenate([common, o])) & np.uint64(15) for o in own)
         assert ((a == b).mean() - 1 / 16) / (15 / 16) >= lowest
+
+
+def test_shards_are_written_whole_or_not_at_all(llm, tmp_path):
+    docs = llm.createDataFrame([(i, "x" * (i % 7), i) for i in range(50)], "doc_id long, text string, _n int")
+    sharding.write_shards(docs, "doc_id", "text", str(tmp_path / "good"), 5)
+    back = llm.read.parquet(str(tmp_path / "good"))
+    assert back.drop("_shard").exceptAll(docs).count() == 0 and back.count() == 50
+    for bad in ([(1, "a", 1), (1, "b", 2)], [(None, "a", 1)]):
+        with pytest.raises(ValueError, match="null or there more than once"):
+            sharding.write_shards(llm.createDataFrame(bad, docs.schema), "doc_id", "text", str(tmp_path / "bad"), 5)
+    assert not (tmp_path / "bad").exists()
