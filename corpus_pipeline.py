@@ -18,11 +18,13 @@ ORACLE_SQL = None
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that no quality rule rejects; null and empty texts have no words and are rejected."""
     prepare(spark)
     return quality.good(docs)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows whose language is told clearly; texts without letters and ambiguous ones go, an empty table stays empty."""
     prepare(spark)
     return langid.recognised(docs)
 
@@ -34,11 +36,13 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows in which no window of a benchmark item occurs; null texts hold none."""
     prepare(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Counts and digests of each text's token ids and of the bytes they decode to; a null text has none."""
     prepare(spark)
     return bpe.round_trip(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
