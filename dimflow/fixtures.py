@@ -223,12 +223,12 @@ def custody(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("n")).scalar()
     return table(spark, sf_dir, "events").select(
         "event_id",
-        F.concat_ws("-", F.lit("BATCH"), "user_id").alias("batch_id"),
-        F.when(F.col("event_type") != "signup", F.col("user_id") % suppliers).alias("from_node_id"),
-        ((F.col("user_id") + 1) % suppliers).alias("to_node_id"),
+        F.concat_ws("-", F.lit("LOT"), "user_id").alias("lot"),
+        F.when(F.col("event_type") != "signup", F.col("user_id") % suppliers).alias("giver"),
+        ((F.col("user_id") + 1) % suppliers).alias("taker"),
         "event_type",
         "ts",
-        money("value").alias("quantity"),
+        money("value").alias("amount"),
     )
 
 

@@ -85,9 +85,9 @@ sales as (
   left join p2 pv on l_partkey = pv.p_partkey and lineitem.l_shipdate >= pv.vf and lineitem.l_shipdate < pv.vt
   left join types t on p.p_type = t.p_type left join nodes n on l_suppkey = n.s_suppkey)"""
 MOVES = f"""
-select event_id as event_sk, 'BATCH-' || user_id as batch_id, f.node_key as from_node_key, t.node_key as to_node_key,
+select event_id as move_id, 'LOT-' || user_id as lot, f.node_key as giver_key, t.node_key as taker_key,
        cast(strftime(ts, '%Y%m%d') as integer) as date_key, event_type, {TS.format('ts')} as ts,
-       cast(cast(value as decimal(18,2)) as double) as quantity
+       cast(cast(value as decimal(18,2)) as double) as amount
 from (select *, case when event_type <> 'signup' then user_id % (select count(*) from supplier) end from_node,
              (user_id + 1) % (select count(*) from supplier) to_node from events) e
 left join nodes f on from_node = f.s_suppkey left join nodes t on to_node = t.s_suppkey"""

@@ -299,12 +299,12 @@ MOVES = facts.FactSpec(
     name="fact_moves",
     source="custody",
     id_col="event_id",
-    sk_col="event_sk",
+    sk_col="move_id",
     date_col="ts",
-    columns=("event_sk", "batch_id", "from_node_key", "to_node_key", "date_key", "event_type", "ts", "quantity"),
+    columns=("move_id", "lot", "giver_key", "taker_key", "date_key", "event_type", "ts", "amount"),
     current=(
-        facts.CurrentRef("dim_node", "node_key", "s_suppkey", "from_node_id", "from_node_key"),
-        facts.CurrentRef("dim_node", "node_key", "s_suppkey", "to_node_id", "to_node_key"),
+        facts.CurrentRef("dim_node", "node_key", "s_suppkey", "giver", "giver_key"),
+        facts.CurrentRef("dim_node", "node_key", "s_suppkey", "taker", "taker_key"),
     ),
 )
 
@@ -357,7 +357,7 @@ def fact_transactions(spark, sf_dir):
 @query
 def fact_events(spark, sf_dir):
     return _fact_moves(spark, sf_dir).withColumns(
-        {"ts": instant("ts"), "quantity": F.col("quantity").cast("double")}
+        {"ts": instant("ts"), "amount": F.col("amount").cast("double")}
     )
 
 
@@ -742,9 +742,9 @@ MIGRATED_STAR = Star(
             name="fact_moves",
             source="events",
             id_col="event_id",
-            sk_col="event_sk",
+            sk_col="move_id",
             date_col="updated_at",
-            columns=("event_sk", "batch_id", "from_node_key", "to_node_key", "date_key", "event_type", "quantity"),
+            columns=("move_id", "lot", "giver_key", "taker_key", "date_key", "event_type", "amount"),
             current=MOVES.current,
         ),
     ),

@@ -14,10 +14,10 @@ def advise(df, table, usages=USAGES):
 
 
 def test_small_dimension_is_replicated(spark):
-    rec = advise(spark.range(8).select(F.col("id").alias("crop_type_key")), "dim_crop_type")
-    assert (rec.diststyle, rec.distkey, rec.row_count, rec.spark_action) == ("ALL", None, 8, "broadcast")
+    rec = advise(spark.range(13).select(F.col("id").alias("season")), "dim_season", {"dim_season": Usage(("season",))})
+    assert (rec.diststyle, rec.distkey, rec.row_count, rec.spark_action) == ("ALL", None, 13, "broadcast")
     assert rec.rationale == [
-        "DISTSTYLE ALL: only 8 rows -- cheaper to replicate to every node than redistribute.",
+        "DISTSTYLE ALL: only 13 rows -- cheaper to replicate to every node than redistribute.",
         "No SORTKEY recommended -- no declared filter pattern for this table.",
     ]
 
