@@ -249,8 +249,11 @@ class Store:
             replaced = rows if gone is None else rows.select(*keys).unionByName(staged.where("_gone").select(*keys))
             rows = base.join(replaced.select(*keys), keys, "left_anti").select(*base.columns).unionByName(rows)
         written = self._write_buckets(layer, spec.name, generation, rows.select(*batch.columns, "_b"))
-        sizes = {r["_b"]: r["count"] for r in written.groupBy("_b").count().collect()}
-        sizes = dict.fromkeys(places if moved else touched, 0) | sizes
+        if moved or gone is not None or spec.split_rows is not None:
+            sizes = {r["_b"]: r["count"] for r in written.groupBy("_b").count().collect()}
+            sizes = dict.fromkeys(places if moved else touched, 0) | sizes
+        else:
+            sizes = dict.fromkeys(facts.touched, 1)  # a bucket a batch touches holds its row, or a newer one
         if spec.split_rows is not None:
             sizes = self._split(layer, spec, generation, written, sizes)
         live = stay | {b: generation if n else NOWHERE for b, n in sizes.items()}
