@@ -250,9 +250,9 @@ def tampered_orders(orders: DataFrame) -> DataFrame:
 
 
 def strayed_orders(orders: DataFrame) -> DataFrame:
-    """A copy of the orders: one has another priority, the pending ones stand under the negative of their keys."""
+    """A copy of the orders: one has another priority, the pending ones stand under negative keys."""
     pending = F.col("o_orderstatus") == "P"
-    moved = orders.where(pending).withColumn("o_orderkey", -F.col("o_orderkey"))
+    moved = orders.where(pending).withColumn("o_orderkey", -F.col("o_orderkey") - 1)
     return tampered_orders(orders).where(~pending).unionByName(moved)
 
 

@@ -487,7 +487,7 @@ select batch, count(*) as n_moves, count(*) filter (where place = 0) as n_chains
 from found group by batch"""
 ORACLES["recon_diff_rows"] = """
 select o_orderkey, 'missing' as difference from orders where o_orderstatus = 'P'
-union all select -o_orderkey, 'extra' from orders where o_orderstatus = 'P'
+union all select -o_orderkey - 1, 'extra' from orders where o_orderstatus = 'P'
 union all select o_orderkey, 'changed' from orders where o_orderkey = 1 and o_orderstatus <> 'P'"""
 ORACLES["recon_diff_turns"] = """
 select conv_id, turn, case when turn > 3 then 'missing' else 'changed' end as difference
