@@ -1,19 +1,17 @@
-"""Benchmark passages in training texts, found through a positional inverted index.
-
-1. Training occurrences of every benchmark word are counted. Each window of an item (``window`` words, or the
-   whole of a shorter item) picks its two rarest words as seeds; a window with a word that the training
-   texts lack cannot occur and picks none.
-2. The index keeps the postings of the seeds: for a term and a document the sorted positions.
-3. A posting less the seed's place in its item is the position that the item would start at. Documents and
-   items whose rarest lists, so adjusted, meet are candidates; one seed alone is no candidate unless the
-   item has one word only.
-4. A candidate is read word by word: every window of the item that stands in the document in full is an
-   exact match, and the words inside are hit.
-
-``proximity`` also finds windows that are not exact, for callers of their own; ``contamination`` does not ask it.
-
-All steps are joins and aggregates on terms and documents; only benchmark-sized tables are ever small
-sides, and Spark decides by their written size whether to broadcast them.
+"""Benchmark passages in training texts, exact and near, found through a positional inverted index.
+
+1. Every item is cut into its distinct windows (``window`` words, or the whole of a shorter item). A window may
+   miss a fifth of its words and still be near, so it is looked up by its rarest words in the training
+   texts, two more than it may miss: two of them must stand in any match.
+2. The index keeps the postings of these words: for a term and a document the sorted positions.
+3. Two of a window's words form a pair: their terms and their distance. Windows with the same pair share it, so
+   an item of one repeated word has a handful. Where both lists of a document, adjusted by the distance, meet
+   within the slop, the windows of the pair are candidates there. Lists are intersected, never joined position by position.
+4. A candidate is read word by word. Exact: the window stands in full, and its words are hit. Near: at some start
+   all its words but a fifth stand within ``slop`` places of their own.
+
+Both kinds are whole: the pairs lose no exact and no near match. All steps are joins and aggregates on terms and
+documents. Spark decides by written sizes what to broadcast; the candidates of documents are weighed first.
 """
 
 from __future__ import annotations
@@ -27,6 +25,10 @@ from dimflow.session import materialise
 #: The bytes between words, after A-Z are lower-cased: all of ASCII but digits and small letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
+#: How many places from its own a word of a near match may stand.
+SLOP = 2
+#: Words, ids and starts of candidates that may be sent to every executor: some 16 MB.
+BROADCAST_VALUES = 500_000
 
 
 def words_of(text: Column) -> Column:
@@ -44,44 +46,46 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def item_words(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:
-    """One row for each item with words: ``item`` (its row), ``item_id`` as text, ``words``, ``len`` of a window."""
+def allowed(length: Column) -> Column:
+    """How many words of a window a near match may lack: a fifth, so none of a window of fewer than five."""
+    return F.floor(length / 5).cast("int")
+
+
+def item_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:
+    """One row for each distinct window: ``window`` (its row), ``words``, ``item_ids`` as text. Null ids are not listed."""
     items = benchmark.select(
-        F.col(f"`{item_col}`").cast("string").alias("item_id"), words_of(F.col(f"`{text_col}`")).alias("words")
+        F.col(f"`{item_col}`").cast("string").alias("item_id"), words_of(F.col(f"`{text_col}`")).alias("_words")
     )
-    length = F.least(F.size("words"), F.lit(window)).alias("len")
-    items = items.where(F.size("words") > 0).select(F.monotonically_increasing_id().alias("item"), "item_id", "words", length)
-    return materialise(items, "items")
+    items = items.where(F.size("_words") > 0).withColumn("_len", F.least(F.size("_words"), F.lit(window)))
+    cuts = F.transform(F.sequence(F.lit(1), F.size("_words") - F.col("_len") + 1), lambda i: F.slice("_words", i, F.col("_len")))
+    items = items.select("item_id", F.explode(F.array_distinct(cuts)).alias("words"))
+    windows = items.groupBy("words").agg(F.collect_set("item_id").alias("item_ids"))
+    return materialise(windows.select(F.monotonically_increasing_id().alias("window"), "words", "item_ids"), "windows")
 
 
-def item_seeds(docs: DataFrame, text_col: str, items: DataFrame, near: bool = False) -> DataFrame:
-    """``term, item, place, len, windows``: the words that every possible window of an item is looked up by.
+def window_pairs(docs: DataFrame, text_col: str, windows: DataFrame) -> DataFrame:
+    """``first, second, apart, window, place``: the pairs of terms that a window is looked up by.
 
-    ``windows`` are the starts of the windows that chose the word. For ``near`` matches a window picks its three
-    rarest words that the training texts have, whatever words they lack.
+    ``apart`` is the distance of the two in the window, ``place`` that of the first. A window of one word is
+    paired with itself. Terms that the training texts lack make no pair; a window with too many of them has none.
     """
-    terms = materialise(items.select(F.explode("words").alias("term")).distinct(), "terms")
+    terms = materialise(windows.select(F.explode("words").alias("term")).distinct(), "terms")
     used = docs.select(F.explode(words_of(F.col(f"`{text_col}`"))).alias("term")).join(terms, "term")
     counts = materialise(used.groupBy("term").agg(F.count(F.lit(1)).alias("uses")), "uses")
-    placed = items.select("item", "len", F.posexplode("words").alias("place", "term"))
-    placed = placed.join(counts, "term", "left").groupBy("item", "len").agg(
-        F.sort_array(F.collect_list(F.struct("place", "uses", "term"))).alias("places")
+    placed = windows.select("window", F.posexplode("words").alias("place", "term")).join(counts, "term", "left")
+    ranked = placed.groupBy("window").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("uses", F.lit(0)).alias("uses"), "place", "term"))).alias("ranked")
     )
+    rarest = ranked.select("window", F.slice("ranked", F.lit(1), allowed(F.size("ranked")) + 2).alias("r"))
 
-    def rarest(start: Column) -> Column:
-        inside = F.transform(
-            F.slice("places", start + 1, F.col("len")), lambda p: F.struct(p["uses"], p["place"], p["term"])
-        )
-        if near:
-            chosen = F.slice(F.sort_array(F.filter(inside, lambda p: p["uses"].isNotNull())), 1, 3)
-        else:
-            chosen = F.slice(F.sort_array(inside), 1, 2)
-            chosen = F.when(F.exists(inside, lambda p: p["uses"].isNull()), F.slice(chosen, 1, 0)).otherwise(chosen)
-        return F.transform(chosen, lambda p: F.struct(p["term"].alias("term"), p["place"].alias("place"), start.alias("window")))
+    def pair(x: Column, y: Column) -> Column:
+        apart = (y["place"] - x["place"]).alias("apart")
+        return F.struct(x["term"].alias("first"), y["term"].alias("second"), apart, x["place"].alias("place"))
 
-    chosen = F.flatten(F.transform(F.sequence(F.lit(0), F.size("places") - F.col("len")), rarest))
-    seeds = placed.select("item", "len", F.explode(chosen).alias("seed")).select("seed.*", "item", "len")
-    return materialise(seeds.groupBy("term", "item", "place", "len").agg(F.collect_list("window").alias("windows")), "seeds")
+    several = F.flatten(F.transform("r", lambda x, i: F.transform(F.slice("r", i + 2, F.size("r")), lambda y: F.when((x["uses"] > 0) & (y["uses"] > 0), pair(x, y)))))
+    alone = F.transform("r", lambda x: F.when(x["uses"] > 0, pair(x, x)))
+    pairs = F.array_compact(F.when(F.size("r") > 1, several).otherwise(alone))
+    return materialise(rarest.select("window", F.explode(pairs).alias("p")).select("p.*", "window"), "pairs")
 
 
 def postings(docs: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> DataFrame:
@@ -98,89 +102,94 @@ def doc_key(id_col: str, text_col: str) -> Column:
     return F.struct(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("id"), F.xxhash64(text).alias("hash"))
 
 
-def alignments(index: DataFrame, seeds: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc, item, start``: places where an item's seeds meet; ``start`` is where its first word would stand."""
-    starts = index.join(seeds, "term").select("doc", "item", F.explode("positions").alias("at"), "place")
-    meets = starts.groupBy("doc", "item", (F.col("at") - F.col("place")).alias("start")).agg(F.count(F.lit(1)).alias("seeds"))
-    return meets.join(items.select("item", "len"), "item").where("seeds >= least(2, len)").drop("seeds", "len")
-
+def candidates(index: DataFrame, pairs: DataFrame, slop: int) -> DataFrame:
+    """``doc, window, starts``: where a window may stand, as the lists of its pairs meet within the slop.
 
-def proximity(index: DataFrame, seeds: DataFrame, slop: int) -> DataFrame:
-    """``doc, item``: documents with two seeds of one window of an item, in its order and within ``slop`` words of their distance there.
-
-    Any window will do, so that part of a long item is found too. One seed is enough for items of one word only.
+    A row holds at most a few numbers for each position of a document, whatever repeats in it or in an item.
     """
-    met = index.join(seeds, "term").select("doc", "item", "len", "place", F.explode("windows").alias("window"), "positions")
-    each = F.transform("positions", lambda at: F.struct(at.alias("at"), F.col("place").alias("place")))
-    lists = met.groupBy("doc", "item", "len", "window").agg(F.array_sort(F.flatten(F.collect_list(each))).alias("found"))
-
-    def follows(later: Column, i: Column) -> Column:
-        # A window has three places at most, each at any position once: no more can stand within the reach.
-        reach = 3 * (F.col("len") + slop)
-        before = F.slice("found", F.greatest(i - reach, F.lit(0)) + 1, F.least(i, reach))
-        return F.exists(
-            before,
-            lambda b: (b["place"] < later["place"])
-            & (b["at"] < later["at"])
-            & (F.abs((later["at"] - later["place"]) - (b["at"] - b["place"])) <= slop),
-        )
-
-    near = F.exists(F.transform("found", follows), lambda f: f)
-    return lists.where((F.col("len") == 1) | near).select("doc", "item").distinct()
+    distinct = pairs.select("first", "second", "apart").distinct()
+    left = index.join(distinct, F.col("term") == F.col("first")).select("doc", "first", "second", "apart", F.col("positions").alias("here"))
+    right = index.select("doc", F.col("term").alias("second"), F.col("positions").alias("there"))
+    reach = F.lit(2 * slop)
+    # Both words stand within the slop of their places, so within twice of it of each other's.
+    there = F.flatten(F.transform("there", lambda p: F.sequence(p - F.col("apart") - reach, p - F.col("apart") + reach)))
+    met = left.join(right, ["doc", "second"]).select("doc", "first", "second", "apart", F.array_intersect("here", there).alias("at"))
+    met = materialise(met.where(F.size("at") > 0), "met")
+    starts = F.flatten(F.transform("at", lambda p: F.sequence(p - F.col("place") - slop, p - F.col("place") + slop)))
+    each = met.join(pairs, ["first", "second", "apart"]).select("doc", "window", F.array_distinct(starts).alias("starts"))
+    return each.groupBy("doc", "window").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, window: int = WINDOW
+    docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str,
+    window: int = WINDOW, slop: int = SLOP,
 ) -> DataFrame:
-    """``row`` (a struct of all columns of ``docs``), ``n_words``, ``n_hit``, ``n_items``, ``items``, ``contaminated``.
+    """``row`` (a struct of all columns of ``docs``), ``n_words``, ``n_hit``, ``n_items``, ``items``, ``contaminated``, ``near``.
 
-    ``items`` holds the ids of items with an occurring window, as text, sorted, each once. Null texts have no
-    words, on either side; an empty benchmark hits nothing; an item without an id hits words but is not
-    listed. Repeated documents or items change nothing for one another. Clashing names are kept apart by the
-    struct.
+    ``items`` holds the ids of items with an occurring window, as text, sorted, each once; ``near`` those of items with a near
+    one, which every occurring one is too. Null texts have no words, on either side; an empty benchmark hits
+    nothing; an item without an id hits words but is not listed. Repeated documents or items change
+    nothing for one another. Clashing names are kept apart by the struct.
     """
     if not {item_col, item_text_col} <= set(benchmark.columns):
         raise ValueError("the benchmark lacks its columns")
-    items = item_words(benchmark, item_col, item_text_col, window)
-    seeds = item_seeds(docs, text_col, items)
-    index = postings(docs, id_col, text_col, seeds.select("term"))
-    met = materialise(alignments(index, seeds, items), "alignments")
-    passages = F.collect_list(F.struct("item_id", "words", "len", "start")).alias("passages")
-    met = met.join(items, "item").groupBy("doc").agg(passages)
+    windows = item_windows(benchmark, item_col, item_text_col, window)
+    pairs = window_pairs(docs, text_col, windows)
+    index = postings(docs, id_col, text_col, pairs.select(F.explode(F.array("first", "second")).alias("term")))
+    met = candidates(index, pairs, slop).join(windows, "window")
+    met = met.groupBy("doc").agg(F.collect_list(F.struct("item_ids", "words", "starts")).alias("passages"))
     met = materialise(met.select(F.col("doc.id").alias("_id"), F.col("doc.hash").alias("_hash"), "passages"), "passages")
+    weight = F.aggregate("passages", F.lit(0).cast("long"), lambda n, p: n + F.size(p["item_ids"]) + F.size(p["words"]) + F.size(p["starts"]))
+    small = (met.agg(F.sum(weight)).first()[0] or 0) <= BROADCAST_VALUES
 
     key = doc_key(id_col, text_col)
     rows = docs.select(F.struct("*").alias("row"), key["id"].alias("_id"), key["hash"].alias("_hash"))
-    # The texts move once at any size; the candidates' side is the small one of each partition.
-    rows = rows.join(met.hint("shuffle_hash"), ["_id", "_hash"], "left")
+    # Few candidates go to the texts; else the texts move once, and the candidates are the small side of each partition.
+    rows = rows.join(met.hint("broadcast" if small else "shuffle_hash"), ["_id", "_hash"], "left")
+    texts = F.array().cast("array<string>")
 
     def found(v: Column) -> Column:
         n = F.size(v["words"])
 
         def spans(p: Column) -> Column:
+            length = F.size(p["words"])
+
             def stands(s: Column) -> Column:
-                inside = (s + p["start"] >= 0) & (s + p["start"] + p["len"] <= n)
-                same = F.slice(v["words"], s + p["start"] + 1, p["len"]) == F.slice(p["words"], s + 1, p["len"])
-                return F.when(inside, same).otherwise(False)
+                return (s >= 0) & (s + length <= n) & (F.slice(v["words"], F.greatest(s, F.lit(0)) + 1, length) == p["words"])
+
+            def nearly(s: Column) -> Column:
+                def there(w: Column, i: Column) -> Column:
+                    first = F.greatest(s + i - slop, F.lit(0))
+                    return F.array_contains(F.slice(v["words"], first + 1, F.greatest(s + i + slop + 1 - first, F.lit(0))), w)
+
+                return F.size(F.filter(F.transform(p["words"], there), lambda t: t)) >= length - allowed(length)
+
+            def matched(places: Column) -> Column:
+                at = F.flatten(F.transform(places, lambda s: F.sequence(s, s + length - 1)))
+                near = (F.size(places) > 0) | F.exists(p["starts"], nearly)
+                return F.struct(p["item_ids"].alias("item_ids"), at.alias("at"), near.alias("near"))
 
-            places = F.filter(F.sequence(F.lit(0), F.size(p["words"]) - p["len"]), stands)
-            at = F.flatten(F.transform(places, lambda s: F.sequence(s + p["start"], s + p["start"] + p["len"] - 1)))
-            return F.struct(p["item_id"].alias("item_id"), F.array_distinct(at).alias("at"))
+            return _let(F.filter(p["starts"], stands), matched)
 
-        occurring = F.filter(F.transform(v["passages"], spans), lambda o: F.size(o["at"]) > 0)
+        def listed(o: Column) -> Column:
+            return F.array_sort(F.array_distinct(F.flatten(F.transform(o, lambda x: x["item_ids"]))))
 
         def summed(o: Column) -> Column:
             hit = F.size(F.array_distinct(F.flatten(F.transform(o, lambda x: x["at"]))))
-            ids = F.array_sort(F.array_distinct(F.array_compact(F.transform(o, lambda x: x["item_id"]))))
-            return F.struct(n.cast("long").alias("n_words"), hit.cast("long").alias("n_hit"), ids.alias("items"))
+            return F.struct(
+                n.cast("long").alias("n_words"),
+                hit.cast("long").alias("n_hit"),
+                listed(F.filter(o, lambda x: F.size(x["at"]) > 0)).alias("items"),
+                listed(F.filter(o, lambda x: x["near"])).alias("near"),
+            )
 
-        none = F.struct(n.cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
-        return F.when(v["passages"].isNull(), none).otherwise(_let(occurring, summed))
+        none = F.struct(n.cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), texts.alias("items"), texts.alias("near"))
+        return F.when(v["passages"].isNull(), none).otherwise(_let(F.transform(v["passages"], spans), summed))
 
     value = F.struct(words_of(F.col("row")[text_col]).alias("words"), F.col("passages").alias("passages"))
     result = rows.select("row", _let(value, found).alias("f"))
     return result.select(
-        "row", "f.n_words", "f.n_hit", F.size("f.items").cast("long").alias("n_items"), "f.items", (F.col("f.n_hit") > 0).alias("contaminated")
+        "row", "f.n_words", "f.n_hit", F.size("f.items").cast("long").alias("n_items"), "f.items", (F.col("f.n_hit") > 0).alias("contaminated"), "f.near"
     )
 
 
@@ -195,4 +204,5 @@ def op3_decontamination(spark, sf_dir):
     docs, benchmark = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
     found = contamination(docs, benchmark, "doc_id", "text", "item_id", "text")
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
-    return found.select("row.doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+    near = F.sha2(F.array_join("near", ","), 256).alias("near_sha256")
+    return found.select("row.doc_id", "n_words", "n_hit", "n_items", digest, "contaminated", F.size("near").cast("long").alias("n_near"), near)

@@ -68,10 +68,28 @@ met AS (SELECT doc_id, i, n, item_id FROM have JOIN wanted USING (n, w)),
 hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM met) GROUP BY doc_id),
 named AS (
   SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM met) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM met) GROUP BY doc_id),
+parts AS (
+  SELECT n, w, list(DISTINCT CAST(item_id AS VARCHAR)) AS ids, string_split(w, ' ') AS pw, row_number() OVER () AS part FROM wanted GROUP BY n, w),
+used AS (SELECT term, count(*) AS uses FROM (SELECT unnest(ws) AS term FROM docs) GROUP BY term),
+rare AS (
+  SELECT part, n, place, term FROM (SELECT part, n, unnest(range(0, n)) AS place, unnest(pw) AS term FROM parts)
+  LEFT JOIN used USING (term)
+  QUALIFY row_number() OVER (PARTITION BY part ORDER BY coalesce(uses, 0), place) <= n // 5 + 2),
+stand AS (SELECT doc_id, unnest(range(0, len(ws))) AS pos, unnest(ws) AS term FROM docs),
+starts AS (
+  SELECT doc_id, part, s FROM (
+    SELECT doc_id, part, n, place, unnest(range(pos - place - 2, pos - place + 3)) AS s FROM stand JOIN rare USING (term))
+  GROUP BY doc_id, part, n, s HAVING count(DISTINCT place) >= least(2, n)),
+near AS (
+  SELECT doc_id, unnest(ids) AS id FROM starts JOIN parts USING (part) JOIN docs USING (doc_id)
+  WHERE len(list_filter(range(0, n), lambda k: s + k + 2 >= 0 AND list_contains(ws[greatest(s + k - 2, 0) + 1:s + k + 3], pw[k + 1]))) >= n - n // 5),
+near_named AS (
+  SELECT doc_id, count(*) AS n_near, string_agg(id, ',' ORDER BY id) AS near_ids FROM (SELECT DISTINCT doc_id, id FROM near WHERE id IS NOT NULL) GROUP BY doc_id)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
-  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, sha256(coalesce(near_ids, '')) AS near_sha256
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN near_named USING (doc_id)""",
     "op7_warc": r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS n FROM pages),
 f AS (SELECT page_id, n, sha256(body) AS d, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY body) ELSE page_id END AS first FROM p)

@@ -13,6 +13,8 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+from pyspark.sql import functions as F
+
 from dimflow.llm import bpe, decontaminate, huffman, langid, neardup, quality, sharding, token_counts, token_files, urls, warc
 from dimflow.llm.common import prepare
 from dimflow.llm.components import components
@@ -164,14 +166,17 @@ def test_decontamination_of_awkward_items(llm, docs, nothing):
     assert decontaminate.clean(docs, empty).count() == docs.count() and decontaminate.clean(nothing, items).count() == 0
 
 
+def near(spark, rows, items, slop=decontaminate.SLOP):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contamination(docs, benchmark, "doc_id", "text", "item_id", "text", slop=slop)
+    return {r.doc_id: r.near for r in found.select("row.doc_id", "near").collect()}
+
+
 def test_proximity_of_seeds(llm):
-    items = decontaminate.item_words(llm.createDataFrame([(1, "red green blue")], "item_id long, text string"), "item_id", "text", 10)
-    docs = llm.createDataFrame([(1, "red green blue"), (2, "red so green blue"), (3, "red " + "x " * 30 + "green blue")], "doc_id long, text string")
-    seeds = decontaminate.item_seeds(docs, "text", items)
-    index = decontaminate.postings(docs, "doc_id", "text", seeds.select("term"))
-    found = decontaminate.proximity(index, seeds, 40).select("doc.id").collect()
-    near = decontaminate.proximity(index, seeds, 1).select("doc.id").collect()
-    assert {r.id for r in near} <= {r.id for r in found} and "1" in {r.id for r in near}
+    rows = [(1, "red green blue"), (2, "red so green blue"), (3, "red " + "x " * 30 + "green blue")]
+    close, far = near(llm, rows, [(1, "red green blue")], 1), near(llm, rows, [(1, "red green blue")], 40)
+    assert close == {1: ["1"], 2: ["1"], 3: []} and far == {1: ["1"], 2: ["1"], 3: ["1"]}
 
 
 def test_proximity_finds_windows_with_a_word_put_in_or_changed(llm):
@@ -179,14 +184,56 @@ def test_proximity_finds_windows_with_a_word_put_in_or_changed(llm):
     put_in = " ".join(w + (" um" if i % 5 == 2 else "") for i, w in enumerate(words))
     changed = " ".join("other" if i % 6 == 3 else w for i, w in enumerate(words))
     rows = [(1, put_in), (2, changed), (3, "so " * 9 + " ".join(words[12:24])), (4, " ".join(reversed(words))), (5, " ".join(w + " x" * 40 for w in words)), (6, "none of it")]
-    docs = llm.createDataFrame(rows, "doc_id long, text string")
     lacking = " ".join(w + (" unseen" if i % 8 == 7 else "") for i, w in enumerate(words))
     for n, text in enumerate((" ".join(words), lacking)):
-        items = decontaminate.item_words(llm.createDataFrame([(1, text)], "item_id long, text string"), "item_id", "text", 10)
-        seeds = decontaminate.item_seeds(docs, "text", items, near=True)
-        index = decontaminate.postings(docs, "doc_id", "text", seeds.select("term"))
-        found = [r.id for r in decontaminate.proximity(index, seeds, 3).select("doc.id").collect()]
-        assert sorted(found) == ["1", "2", "3"], n
+        found = near(llm, rows, [(1, text)], 3)
+        assert sorted(i for i, items in found.items() if items) == [1, 2, 3], n
+
+
+def test_exact_and_near_matches_equal_brute_force(llm):
+    rnd = random.Random(7)
+    vocabulary = [f"v{i}" for i in range(60)] + ["the"] * 25
+    items = [[rnd.choice(vocabulary) for _ in range(rnd.choice((1, 3, 4, 6, 9, 10, 14, 25)))] for _ in range(40)]
+    rows = []
+    for i in range(120):
+        words = [rnd.choice(vocabulary) for _ in range(rnd.randint(0, 40))]
+        passage = list(rnd.choice(items))
+        for _ in range(rnd.randint(0, 3)):
+            at = rnd.randrange(len(passage) + 1)
+            passage[at : at + rnd.randint(0, 1)] = [rnd.choice(vocabulary)] * rnd.randint(0, 2)
+        at = rnd.randrange(len(words) + 1)
+        rows.append((i, words[:at] + passage + words[at:]))
+    docs = llm.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    benchmark = llm.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    found = decontaminate.contamination(docs, benchmark, "doc_id", "text", "item_id", "text").collect()
+    total = 0
+    for r in found:
+        words = dict(rows)[r.row.doc_id]
+        exact, close, hit = set(), set(), set()
+        for i, item in enumerate(items):
+            n = min(10, len(item))
+            for w in {tuple(item[j : j + n]) for j in range(len(item) - n + 1)}:
+                for s in range(-n - 2, len(words) + 3):
+                    if s >= 0 and tuple(words[s : s + n]) == w:
+                        exact.add(str(i))
+                        hit.update(range(s, s + n))
+                    if sum(w[k] in words[max(s + k - 2, 0) : max(s + k + 3, 0)] for k in range(n)) >= n - n // 5:
+                        close.add(str(i))
+        assert (r["items"], r.n_hit, r.near) == (sorted(exact), len(hit), sorted(close))
+        total += len(close - exact)
+    assert total > 20
+
+
+def test_one_repeated_word_makes_few_rows(llm):
+    docs = llm.createDataFrame([(1, "la " * 20_000), (2, "la la"), (3, "fa la")], "doc_id long, text string")
+    items = llm.createDataFrame([(1, "la " * 2_000), (2, "la la")], "item_id long, text string")
+    windows = decontaminate.item_windows(items, "item_id", "text", 10)
+    pairs = decontaminate.window_pairs(docs, "text", windows)
+    index = decontaminate.postings(docs, "doc_id", "text", pairs.select(F.col("first").alias("term")))
+    found = decontaminate.candidates(index, pairs, 2).collect()
+    assert windows.count() == 2 and len(found) <= 6 and all(len(r.starts) < 20_100 for r in found)
+    got = {r.row.doc_id: r for r in decontaminate.contamination(docs, items, "doc_id", "text", "item_id", "text").collect()}
+    assert (got[1].n_hit, got[1]["items"], got[2]["items"], got[3].n_hit) == (20_000, ["1", "2"], ["2"], 0)
 
 
 def test_token_counts_and_ids_equal_the_libraries(docs, nothing):
