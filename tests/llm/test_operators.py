@@ -151,6 +151,15 @@ def test_rule_order_never_changes_verdicts(docs):
     assert found[0] == found[1]
 
 
+def test_rule_costs_tell_text_rules_from_measures(llm, nothing):
+    documents = llm.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    orders = [[r.name for r in quality.rule_order(documents, "text")] for _ in range(3)]
+    assert orders[0] == orders[1] == orders[2] and sorted(orders[0]) == sorted(r.name for r in quality.RULES)
+    costs = dict(zip([r.name for r in quality.RULES], quality.rule_costs(quality.drawn(documents, "text", 400), quality.RULES)))
+    assert min(costs["capitals"], costs["few_letters"]) > 3 * max(costs[n] for n in ("symbols", "repeated_lines", "word_length")) > 0
+    assert quality.rule_order(nothing, "text") == list(quality.RULES)
+
+
 def test_decontamination_of_awkward_items(llm, docs, nothing):
     passage = "Alpha beta, GAMMA delta epsilon zeta eta theta iota kappa lambda"
     items = llm.createDataFrame([(1, passage), (2, None), (3, ""), (4, "Short item"), (None, "kappa"), (1, passage), (5, "É a b")], "item_id long, text string")
