@@ -29,6 +29,7 @@ WINDOW = 10
 SLOP = 2
 #: Words, ids and starts of candidates that may be sent to every executor: some 16 MB.
 BROADCAST_VALUES = 500_000
+KEY = ("_hash", "_id")
 
 
 def words_of(text: Column) -> Column:
@@ -63,8 +64,8 @@ def item_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int
     return materialise(windows.select(F.monotonically_increasing_id().alias("window"), "words", "item_ids"), "windows")
 
 
-def window_pairs(docs: DataFrame, text_col: str, windows: DataFrame) -> DataFrame:
-    """``first, second, apart, window, place``: the pairs of terms that a window is looked up by.
+def window_pairs(docs: DataFrame, text_col: str, windows: DataFrame, near: bool = True) -> DataFrame:
+    """``first, second, apart, window, place``: the pairs of terms that a window is looked up by; one pair if not ``near``.
 
     ``apart`` is the distance of the two in the window, ``place`` that of the first. A window of one word is
     paired with itself. Terms that the training texts lack make no pair; a window with too many of them has none.
@@ -76,7 +77,7 @@ def window_pairs(docs: DataFrame, text_col: str, windows: DataFrame) -> DataFram
     ranked = placed.groupBy("window").agg(
         F.sort_array(F.collect_list(F.struct(F.coalesce("uses", F.lit(0)).alias("uses"), "place", "term"))).alias("ranked")
     )
-    rarest = ranked.select("window", F.slice("ranked", F.lit(1), allowed(F.size("ranked")) + 2).alias("r"))
+    rarest = ranked.select("window", F.slice("ranked", F.lit(1), (allowed(F.size("ranked")) if near else F.lit(0)) + 2).alias("r"))
 
     def pair(x: Column, y: Column) -> Column:
         apart = (y["place"] - x["place"]).alias("apart")
@@ -89,63 +90,68 @@ def window_pairs(docs: DataFrame, text_col: str, windows: DataFrame) -> DataFram
 
 
 def postings(docs: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> DataFrame:
-    """The index: ``term, doc, positions`` for the terms asked for, ``doc`` being the id and a hash of the text."""
-    words = docs.select(doc_key(id_col, text_col).alias("doc"), F.posexplode(words_of(F.col(f"`{text_col}`"))).alias("at", "term"))
+    """The index: ``_hash, _id, term, positions`` for the terms asked for.
+
+    The hash comes first in all keys: rows of a document lie together, and a number is what Spark sorts fastest.
+    """
+    words = docs.select(*doc_key(id_col, text_col), F.posexplode(words_of(F.col(f"`{text_col}`"))).alias("at", "term"))
     found = words.join(materialise(terms.distinct(), "terms"), "term")
-    lists = found.groupBy("term", "doc").agg(F.sort_array(F.collect_set("at")).alias("positions"))
+    lists = found.groupBy(*KEY, "term").agg(F.sort_array(F.collect_set("at")).alias("positions"))
     return materialise(lists, "postings")
 
 
-def doc_key(id_col: str, text_col: str) -> Column:
-    """What tells documents apart: the id, and the text where an id comes up twice or is null."""
+def doc_key(id_col: str, text_col: str) -> list[Column]:
+    """What tells documents apart: the id, and a hash of the text where an id comes up twice or is null."""
     text = F.col(f"`{text_col}`").cast("string")
-    return F.struct(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("id"), F.xxhash64(text).alias("hash"))
+    return [F.xxhash64(text).alias("_hash"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("_id")]
+
+
+def _around(places: Column | str, shift: Column, slop: int) -> Column:
+    """All numbers within ``slop`` of the places, less ``shift``."""
+    return F.flatten(F.transform(places, lambda p: F.sequence(p - shift - slop, p - shift + slop)))
 
 
 def candidates(index: DataFrame, pairs: DataFrame, slop: int) -> DataFrame:
-    """``doc, window, starts``: where a window may stand, as the lists of its pairs meet within the slop.
+    """``_hash, _id, window, starts``: where a window may stand, as the lists of its pairs meet within the slop.
 
     A row holds at most a few numbers for each position of a document, whatever repeats in it or in an item.
     """
     distinct = pairs.select("first", "second", "apart").distinct()
-    left = index.join(distinct, F.col("term") == F.col("first")).select("doc", "first", "second", "apart", F.col("positions").alias("here"))
-    right = index.select("doc", F.col("term").alias("second"), F.col("positions").alias("there"))
-    reach = F.lit(2 * slop)
-    # Both words stand within the slop of their places, so within twice of it of each other's.
-    there = F.flatten(F.transform("there", lambda p: F.sequence(p - F.col("apart") - reach, p - F.col("apart") + reach)))
-    met = left.join(right, ["doc", "second"]).select("doc", "first", "second", "apart", F.array_intersect("here", there).alias("at"))
+    left = index.join(distinct, F.col("term") == F.col("first")).select(*KEY, "second", "first", "apart", F.col("positions").alias("here"))
+    right = index.select(*KEY, F.col("term").alias("second"), F.col("positions").alias("there"))
+    # A place of the first word, were the window there: both words stand within the slop of their own.
+    at = F.array_intersect(_around("here", F.lit(0), slop), _around("there", F.col("apart"), slop))
+    met = left.join(right, [*KEY, "second"]).select(*KEY, "first", "second", "apart", at.alias("at"))
     met = materialise(met.where(F.size("at") > 0), "met")
-    starts = F.flatten(F.transform("at", lambda p: F.sequence(p - F.col("place") - slop, p - F.col("place") + slop)))
-    each = met.join(pairs, ["first", "second", "apart"]).select("doc", "window", F.array_distinct(starts).alias("starts"))
-    return each.groupBy("doc", "window").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
+    starts = F.transform("at", lambda p: p - F.col("place"))
+    each = met.join(pairs, ["first", "second", "apart"]).select(*KEY, "window", starts.alias("starts"))
+    return each.groupBy(*KEY, "window").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
 
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str,
-    window: int = WINDOW, slop: int = SLOP,
+    window: int = WINDOW, slop: int = SLOP, near: bool = True,
 ) -> DataFrame:
     """``row`` (a struct of all columns of ``docs``), ``n_words``, ``n_hit``, ``n_items``, ``items``, ``contaminated``, ``near``.
 
     ``items`` holds the ids of items with an occurring window, as text, sorted, each once; ``near`` those of items with a near
-    one, which every occurring one is too. Null texts have no words, on either side; an empty benchmark hits
+    one, which every occurring one is too; with ``near=False`` only exact matches are looked for. Null texts have no words, on either side; an empty benchmark hits
     nothing; an item without an id hits words but is not listed. Repeated documents or items change
     nothing for one another. Clashing names are kept apart by the struct.
     """
     if not {item_col, item_text_col} <= set(benchmark.columns):
         raise ValueError("the benchmark lacks its columns")
     windows = item_windows(benchmark, item_col, item_text_col, window)
-    pairs = window_pairs(docs, text_col, windows)
+    pairs = window_pairs(docs, text_col, windows, near)
     index = postings(docs, id_col, text_col, pairs.select(F.explode(F.array("first", "second")).alias("term")))
-    met = candidates(index, pairs, slop).join(windows, "window")
-    met = met.groupBy("doc").agg(F.collect_list(F.struct("item_ids", "words", "starts")).alias("passages"))
-    met = materialise(met.select(F.col("doc.id").alias("_id"), F.col("doc.hash").alias("_hash"), "passages"), "passages")
+    met = candidates(index, pairs, slop if near else 0).join(windows, "window")
+    met = materialise(met.groupBy(*KEY).agg(F.collect_list(F.struct("item_ids", "words", "starts")).alias("passages")), "passages")
     weight = F.aggregate("passages", F.lit(0).cast("long"), lambda n, p: n + F.size(p["item_ids"]) + F.size(p["words"]) + F.size(p["starts"]))
     small = (met.agg(F.sum(weight)).first()[0] or 0) <= BROADCAST_VALUES
 
-    key = doc_key(id_col, text_col)
-    rows = docs.select(F.struct("*").alias("row"), key["id"].alias("_id"), key["hash"].alias("_hash"))
+    rows = docs.select(F.struct("*").alias("row"), *doc_key(id_col, text_col))
     # Few candidates go to the texts; else the texts move once, and the candidates are the small side of each partition.
-    rows = rows.join(met.hint("broadcast" if small else "shuffle_hash"), ["_id", "_hash"], "left")
+    rows = rows.join(met.hint("broadcast" if small else "shuffle_hash"), list(KEY), "left")
     texts = F.array().cast("array<string>")
 
     def found(v: Column) -> Column:
@@ -162,12 +168,17 @@ def contamination(
                     first = F.greatest(s + i - slop, F.lit(0))
                     return F.array_contains(F.slice(v["words"], first + 1, F.greatest(s + i + slop + 1 - first, F.lit(0))), w)
 
-                return F.size(F.filter(F.transform(p["words"], there), lambda t: t)) >= length - allowed(length)
+                def enough(words: Column, of: Column) -> Column:
+                    return F.size(F.filter(F.transform(words, there), lambda t: t)) >= of - allowed(length)
+
+                half = F.ceil(length / 2).cast("int")  # most candidates fail on their first half
+                return enough(F.slice(p["words"], F.lit(1), half), half) & enough(p["words"], length)
 
             def matched(places: Column) -> Column:
                 at = F.flatten(F.transform(places, lambda s: F.sequence(s, s + length - 1)))
-                near = (F.size(places) > 0) | F.exists(p["starts"], nearly)
-                return F.struct(p["item_ids"].alias("item_ids"), at.alias("at"), near.alias("near"))
+                exact = F.size(places) > 0
+                close = exact | F.exists(p["starts"], nearly) if near else exact
+                return F.struct(p["item_ids"].alias("item_ids"), at.alias("at"), close.alias("near"))
 
             return _let(F.filter(p["starts"], stands), matched)
 
@@ -195,7 +206,7 @@ def contamination(
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns as they are, without a benchmark passage."""
-    found = contamination(docs, benchmark, "doc_id", "text", "item_id", "text")
+    found = contamination(docs, benchmark, "doc_id", "text", "item_id", "text", near=False)
     return found.where(~F.col("contaminated")).select("row.*")
 
 
