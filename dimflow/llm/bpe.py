@@ -303,14 +303,15 @@ def decoded(tokens: DataFrame, id_col: str, ids_col: str, rank_file: str) -> Dat
     return rows.mapInArrow(work, _long(**{id_col: rows.schema[0].dataType, "text": T.StringType()}))
 
 
-def round_trip(docs: DataFrame, id_col: str, text_col: str, rank_file: str, pattern: str) -> DataFrame:
+def round_trip(docs: DataFrame, id_col: str, text_col: str, rank_file: str, pattern: str, keep: bool = True) -> DataFrame:
     """``id_col``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``: each text encoded and decoded again.
 
     Null and empty texts have no ids. Each row stands for itself, whatever its id; other columns are not read.
+    With ``keep`` a Python worker has its codec ready for later tasks, which costs it 300 MB and more while other stages run.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = codec(rank_file, pattern)
+        known = codec(rank_file, pattern) if keep else Codec(load_ranks(rank_file), pattern)
         for batch in batches:
             data, bounds = text_buffer(batch.column(1))
             counts, ids_sha, text_sha = [], [], []
