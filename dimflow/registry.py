@@ -16,7 +16,7 @@ class TableSpec:
     ``range_key``, one of the keys, which must be an integer; it need not be named if there is one key.
 
     With ``split_rows`` a bucket of more rows than that is split alone, by more bits of its keys' hash, while the others
-    stay: the choice for tables that grow without growing ids.
+    stay: the choice for tables that grow without growing ids. Small buckets share directories, which are rewritten together.
 
     ``unique`` says that the source holds one row per key, as a primary key does. Whole rows of a batch are then not
     searched for older copies of a key, only the keys are checked. Leave it off for feeds of changes.

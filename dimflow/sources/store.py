@@ -4,7 +4,8 @@ Every write goes to directories of its own and takes effect by one commit, a row
 commit's number. That row names the live directories, the schema and the high-water mark, so data and mark
 change together, a crash leaves the previous state, and readers are never disturbed. Below ``<layer>/<table>``:
 
-- ``gen=<n>`` the table, or the buckets of it that commit n wrote;
+- ``gen=<n>`` the table, or the buckets of it that commit n wrote; of a table with many small split buckets a directory
+  holds some of them together, in order, and a change of one rewrites those;
 - ``kept=<n>`` rows that commit n added for good: no later commit reads or rewrites them;
 - ``delta=<n>`` the rows commit n put in, replaced by or took out, for tables derived from this one;
 - ``commits/c=<n>`` the commit itself. Commits are numbered without gaps, so the newest is found by doubling steps.
@@ -15,6 +16,7 @@ One job writes a table at a time.
 from __future__ import annotations
 
 import json
+from collections.abc import Collection
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from functools import reduce
@@ -152,9 +154,9 @@ class Store:
         if newest is None:
             return []
         logs = [self._log(layer, table, n) for n in range(newest.generation + 1)]
-        places = self.spark.read.schema(COMMITS).parquet(*logs).select(F.explode_outer("live").alias("bucket", "at"), "generation")
-        places = places.select("bucket", F.coalesce("at", "generation").alias("at")).where(F.col("at") != NOWHERE)
-        used = {self._directory(layer, table, r["at"], r.bucket) for r in places.distinct().collect()}
+        places = self.spark.read.schema(COMMITS).parquet(*logs).select(F.explode_outer("live").alias("bucket", "at"), "generation", "bucketing")
+        places = places.select("bucket", F.coalesce("at", "generation").alias("at"), "bucketing").where(F.col("at") != NOWHERE)
+        used = {self._directory(layer, table, r["at"], None if r.bucket is None else _folder(r.bucket, _share(r.bucketing))) for r in places.distinct().collect()}
         done = [self._delta(layer, table, n) for n in newest.deltas if consumed is not None and n <= consumed]
         return sorted(used - set(self._directories(layer, table, newest))) + done
 
@@ -208,8 +210,9 @@ class Store:
         old = commit or Commit(generation, _first_buckets(spec), batch.schema, bucketing=_rule(spec))
         moved = old.bucketing != _rule(spec)
         places = _first_buckets(spec) if moved else old.live
+        share = _share(_rule(spec))
         if commit is None and gone is None and spec.split_rows is None:
-            staged = self._write_buckets(layer, spec.name, generation, unique.withColumn("_b", _bucket(spec, old.live)))
+            staged = self._write_buckets(layer, spec.name, generation, unique.withColumn("_b", _bucket(spec, old.live)), share)
         else:
             path = self._delta(layer, spec.name, generation)
             unique.write.mode("overwrite").parquet(path)
@@ -239,39 +242,42 @@ class Store:
         if commit is None and gone is None and spec.split_rows is None:
             self._commit(layer, spec.name, replace(state, live=dict.fromkeys(facts.touched, generation)))
             return facts.n
-        touched = old.live if moved else {b: g for b, g in old.live.items() if b in set(facts.touched)}
+        touched = old.live if moved else _together(old.live, facts.touched, share)
         stay = {} if moved else {b: g for b, g in old.live.items() if b not in touched}
         rows = staged if gone is None else staged.where(~F.col("_gone")).drop("_gone")
         if any(g != NOWHERE for g in touched.values()):
-            base = self._at(layer, spec.name, Commit(old.generation, touched, old.schema)).withColumn("_b", _bucket(spec, places))
+            base = self._at(layer, spec.name, Commit(old.generation, touched, old.schema, bucketing=old.bucketing))
+            base = base.withColumn("_b", _bucket(spec, places))
             if stamp and keep_newer:
                 rows = rows.join(older_than(rows, base, keys, stamp), keys, "left_anti").select(*base.columns)
             replaced = rows if gone is None else rows.select(*keys).unionByName(staged.where("_gone").select(*keys))
             rows = base.join(replaced.select(*keys), keys, "left_anti").select(*base.columns).unionByName(rows)
-        written = self._write_buckets(layer, spec.name, generation, rows.select(*batch.columns, "_b"))
-        if moved or gone is not None or spec.split_rows is not None:
-            sizes = {r["_b"]: r["count"] for r in written.groupBy("_b").count().collect()}
-            sizes = dict.fromkeys(places if moved else touched, 0) | sizes
-        else:
-            sizes = dict.fromkeys(facts.touched, 1)  # a bucket a batch touches holds its row, or a newer one
+        rows = rows.select(*batch.columns, "_b")
         if spec.split_rows is not None:
-            sizes = self._split(layer, spec, generation, written, sizes)
+            rows, sizes = self._split(spec, rows, dict.fromkeys(places if moved else touched, 0))
+        written = self._write_buckets(layer, spec.name, generation, rows, share)
+        if spec.split_rows is None:
+            # A bucket a batch touches holds its row, or a newer one.
+            sizes = dict.fromkeys(places if moved else touched, 0) | _sizes(written) if moved or gone is not None else dict.fromkeys(facts.touched, 1)
         live = stay | {b: generation if n else NOWHERE for b, n in sizes.items()}
         self._commit(layer, spec.name, replace(state, live=live))
         return facts.n
 
-    def _split(self, layer: str, spec: TableSpec, generation: int, written: DataFrame, sizes: dict[int, int]) -> dict[int, int]:
-        """Cut the buckets above the target size by more bits of their hash; the others stay as they are."""
-        while large := {b: n for b, n in sizes.items() if n > spec.split_rows and b.bit_length() <= _HASH_BITS}:
-            finer = [c for b, n in large.items() for c in _finer(b, ceil(log2(n / spec.split_rows)))]
-            rows = written.where(F.col("_b").isin(list(large))).withColumn("_b", _bucket(spec, dict.fromkeys(finer, 0)))
-            path = self._generation(layer, spec.name, generation)
-            rows = materialise(rows, "split")  # the directory written to is the one read from
-            rows.hint("rebalance", F.col("_b")).write.mode("append").partitionBy("_b").parquet(path)
-            written = self.spark.read.schema(written.schema).parquet(path)
-            found = {r["_b"]: r["count"] for r in written.where(F.col("_b").isin(finer)).groupBy("_b").count().collect()}
-            sizes = {b: n for b, n in sizes.items() if b not in large} | dict.fromkeys(finer, 0) | found
-        return sizes
+    def _split(self, spec: TableSpec, rows: DataFrame, empty: dict[int, int]) -> tuple[DataFrame, dict[int, int]]:
+        """Rows with the buckets they go to, and how many each gets: one above the target size is cut by more bits of its hash.
+
+        Rows are counted before they are written to the table, and of later rounds only those of buckets that were cut.
+        """
+        rows = materialise(rows, "split")
+        sizes = empty | _sizes(rows)
+        counted, cut = sizes, rows
+        while large := {b: n for b, n in counted.items() if n > spec.split_rows and b.bit_length() <= _HASH_BITS}:
+            finer = {c: 0 for b, n in large.items() for c in _finer(b, ceil(log2(n / spec.split_rows)))}
+            sizes = {b: n for b, n in sizes.items() if b not in large} | finer
+            cut = cut.where(_among(F.col("_b"), large)).withColumn("_b", _bucket(spec, sizes))
+            counted = finer | _sizes(cut)
+            sizes |= counted
+        return rows.withColumn("_b", _bucket(spec, sizes)) if sizes.keys() != empty.keys() else rows, sizes
 
     def add(
         self, layer: str, spec: TableSpec, rows: DataFrame, last_key: int | None = None, taken: DataFrame | None = None,
@@ -289,17 +295,20 @@ class Store:
             raise ValueError(f"{layer}.{spec.name} was written by another bucketing: {old.bucketing}")
         place, rows = _bucket(spec, old.live), rows.withColumn("_b", _bucket(spec, old.live))
         touches = [rows.select("_b")] + ([taken.select(place.alias("_b"))] if taken is not None else [])
+        share = _share(old.bucketing)
         touched = {r["_b"] for r in reduce(DataFrame.unionAll, touches).distinct().collect()}
-        if standing := {b: g for b, g in old.live.items() if b in touched}:
-            base = self._at(layer, spec.name, Commit(old.generation, standing, old.schema)).withColumn("_b", place)
+        if standing := _together(old.live, touched, share):
+            touched |= standing.keys()
+            base = self._at(layer, spec.name, Commit(old.generation, standing, old.schema, bucketing=old.bucketing)).withColumn("_b", place)
             if taken is not None:
                 base = base.join(taken.select(*keys), keys, "left_anti").select(*rows.columns)
             rows = base.unionByName(rows)
         state = replace(old, generation=generation, last_key=old.last_key if last_key is None else last_key, inputs=inputs or {})
         full = set()
         if touched:
-            written = self._write_buckets(layer, spec.name, generation, rows)
-            full = {r["_b"] for r in written.select("_b").distinct().collect()}
+            rows = materialise(rows, "shared") if share else rows
+            written = self._write_buckets(layer, spec.name, generation, rows, share)
+            full = {r["_b"] for r in (rows if share else written).select("_b").distinct().collect()}
         live = {b: g for b, g in old.live.items() if b not in touched} | dict.fromkeys(full, generation)
         for name, part in (("kept", kept), ("deltas", delta)):
             if part is not None:
@@ -362,7 +371,8 @@ class Store:
         return path if bucket is None else f"{path}/_b={bucket}"
 
     def _directories(self, layer: str, table: str, commit: Commit) -> list[str]:
-        places = sorted(commit.live.items())
+        share = _share(commit.bucketing)
+        places = sorted({(_folder(bucket, share), at) for bucket, at in commit.live.items()})
         if commit.bucketing is None and not places:
             places = [(None, commit.generation)]
         kept = [self._kept(layer, table, generation) for generation in commit.kept]
@@ -372,10 +382,15 @@ class Store:
         paths = self._directories(layer, table, commit)
         return self.spark.read.schema(commit.schema).parquet(*paths) if paths else self.spark.createDataFrame([], commit.schema)
 
-    def _write_buckets(self, layer: str, table: str, generation: int, rows: DataFrame) -> DataFrame:
+    def _write_buckets(self, layer: str, table: str, generation: int, rows: DataFrame, share: int = 0) -> DataFrame:
         """Write rows by bucket. Rebalancing makes files of even size and splits a bucket too large for a task."""
         path = self._generation(layer, table, generation)
-        rows.hint("rebalance", F.col("_b")).write.mode("overwrite").partitionBy("_b").parquet(path)
+        if share:
+            rows = rows.withColumnsRenamed({"_b": "_leaf"}).withColumn("_b", _folder_of("_leaf", share))
+            rows = rows.hint("rebalance", F.col("_b")).sortWithinPartitions("_b", "_leaf").drop("_leaf")
+        else:
+            rows = rows.hint("rebalance", F.col("_b"))
+        rows.write.mode("overwrite").partitionBy("_b").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def _commit(self, layer: str, table: str, commit: Commit) -> DataFrame:
@@ -398,6 +413,8 @@ def _rule(spec: TableSpec) -> str:
     """The bucketing as text: two specs with the same rule place every row in the same bucket."""
     if spec.split_rows is not None:
         rule = {"keys": spec.keys, "split": True}
+        if spec.split_rows < _FOLDER_ROWS:
+            rule["share"] = (_FOLDER_ROWS // spec.split_rows).bit_length() - 1
     elif spec.id_range is None:
         rule = {"keys": spec.keys, "buckets": spec.buckets}
     else:
@@ -407,6 +424,69 @@ def _rule(spec: TableSpec) -> str:
 
 #: Bits of the hash that buckets may be split by. A split bucket's number is a 1 before the low bits its rows share.
 _HASH_BITS = 30
+#: Rows that the buckets of one directory may hold together, and the bits up to which each has a directory of its own.
+_FOLDER_ROWS, _OWN_BITS = 1 << 16, 6
+#: So many buckets are named one by one in an expression; more are looked up in a map of bytes.
+_NAMED = 200
+
+
+def _share(rule: str | None) -> int:
+    """How many bits of the hash the buckets of one directory may differ in."""
+    return json.loads(rule).get("share", 0) if rule else 0
+
+
+def _folder(bucket: int, share: int) -> int:
+    """The number of the directory a bucket is in: its own, or that of the bits it has in common with its neighbours."""
+    depth = bucket.bit_length() - 1
+    if not share or depth <= _OWN_BITS:
+        return bucket
+    common = max(_OWN_BITS, depth - share)
+    return 1 << common | bucket & (1 << common) - 1
+
+
+def _folder_of(bucket: str, share: int) -> Column:
+    """As :func:`_folder`, of a column."""
+    depth = f"(length(bin({bucket})) - 1)"
+    common = f"greatest({_OWN_BITS}, {depth} - {share})"
+    return F.expr(f"if({depth} <= {_OWN_BITS}, {bucket}, shiftleft(1, {common}) | ({bucket} & (shiftleft(1, {common}) - 1)))")
+
+
+def _together(live: dict[int, int], buckets: Collection[int], share: int) -> dict[int, int]:
+    """The live buckets among some, with those that are in one directory with them."""
+    buckets = set(buckets)
+    if not share:
+        return {b: g for b, g in live.items() if b in buckets}
+    hit = {(_folder(b, share), live[b]) for b in buckets if live.get(b, NOWHERE) != NOWHERE}
+    return {b: g for b, g in live.items() if b in buckets or (_folder(b, share), g) in hit}
+
+
+def _sizes(rows: DataFrame) -> dict[int, int]:
+    """The number of rows of each bucket."""
+    found = rows.groupBy("_b").count().toArrow()
+    return dict(zip(found["_b"].to_pylist(), found["count"].to_pylist()))
+
+
+def _by_depth(buckets: Collection[int]) -> dict[int, list[int]]:
+    depths: dict[int, list[int]] = {}
+    for bucket in buckets:
+        depths.setdefault(bucket.bit_length() - 1, []).append(bucket)
+    return dict(sorted(depths.items()))
+
+
+def _among(place: Column, buckets: Collection[int]) -> Column:
+    """Whether a bucket's number is one of some. Many of one depth are a byte each, at the place of their bits."""
+    found = F.lit(False)
+    for depth, some in _by_depth(buckets).items():
+        first, size = 1 << depth, 1 << depth
+        if len(some) <= _NAMED or size > 64 * len(some):
+            found |= place.isin(some)
+            continue
+        there = bytearray(size)
+        for bucket in some:
+            there[bucket - first] = 1
+        byte = F.substring(F.lit(bytes(there)), place - first + 1, F.lit(1))
+        found |= place.between(first, first + size - 1) & (byte == F.lit(b"\x01"))
+    return found
 
 
 def _first_buckets(spec: TableSpec, n_rows: int = 0) -> dict[int, int]:
@@ -428,11 +508,10 @@ def _bucket(spec: TableSpec, live: dict[int, int]) -> Column:
     """The bucket of a row. In a table with split buckets it is the one of ``live`` whose bits the row's hash ends in."""
     if spec.split_rows is not None:
         hashed = F.xxhash64(*[F.col(k) for k in spec.keys])
-        depths: dict[int, list[int]] = {}
-        for bucket in live:
-            depths.setdefault(bucket.bit_length() - 1, []).append(bucket)
+        depths = _by_depth(live)
         at = [(hashed.bitwiseAND(F.lit((1 << d) - 1)) + (1 << d)).cast("int") for d in depths]
-        return F.coalesce(*[F.when(place.isin(buckets), place) for place, buckets in zip(at, depths.values())])
+        # Every hash ends in the bits of one bucket, so what is in none of the others is in one of the deepest.
+        return F.coalesce(*[F.when(_among(p, some), p) for p, some in zip(at[:-1], depths.values())], at[-1])
     if spec.id_range is None:
         return hash_bucket(list(spec.keys), spec.buckets)
     key = spec.range_key

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+from collections import Counter
 from datetime import datetime
 from types import SimpleNamespace
 
@@ -234,6 +235,32 @@ def test_a_table_can_change_to_split_buckets(spark, store):
         TableSpec("t", ("id",), split_rows=5, id_range=5)
 
 
+def test_many_small_buckets_share_directories(spark, store):
+    """Two thousand buckets of a few rows are split one by one, but are written as some tens of directories."""
+    spec = TableSpec("widgets", ("id",), incremental=True, split_rows=4)
+    numbers = spark.range(6000).selectExpr("cast(id as int) as id", "'a' as name", "timestamp_ntz'2026-01-01' as updated_at")
+    store.upsert(RAW, spec, numbers)
+    first, places = store.commit(RAW, "widgets"), store.places(RAW, "widgets")
+    assert len(first.live) > 1500 and len({p for p in places if p.startswith("gen=0/")}) == len(places) <= 64
+    assert placed(store, spec) == Counter({b: n for b, n in placed(store, spec).items() if n <= 4 and b in first.live})
+    store.upsert(RAW, spec, ids(spark, [77, 7000], "b", D2))
+    second = store.commit(RAW, "widgets")
+    stayed = {b for b, g in second.live.items() if g == 0}
+    assert len(stayed) > 1400 and set(second.live.values()) <= {0, 1, -1} and len(store.superseded(RAW, "widgets")) <= 2
+    assert max(placed(store, spec).values()) <= 4
+    got = {r.id: r.name for r in store.read(RAW, "widgets").collect()}
+    assert store.read(RAW, "widgets").count() == len(got) == 6001
+    assert {i for i, name in got.items() if name == "b"} == {77, 7000}
+
+
+def placed(store, spec):
+    from dimflow.sources.store import _bucket
+
+    live = store.commit(RAW, spec.name).live
+    found = store.read(RAW, spec.name).select(_bucket(spec, live).alias("b")).collect()
+    return Counter(r.b for r in found)
+
+
 def test_declared_unique_but_not(spark, store):
     spec = TableSpec("widgets", ("id",), incremental=True, unique=True)
     with pytest.raises(ValueError, match=r"\(1,\) 2 times"):
