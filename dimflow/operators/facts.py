@@ -65,19 +65,21 @@ def build_fact(
     ``versions`` holds, per versioned dimension, its versions by source id (see
     ``pointintime.entity_versions``), ``dims`` the current-state dimensions. All joins are left joins
     without hints: a dimension is broadcast when its measured size allows, else both sides are
-    shuffled on the key and AQE splits a hot one.
+    shuffled on the key and AQE splits a hot one. Current dimensions come first: they are mostly small, and what only they
+    are looked up by is not moved for the others. Rows that lie by an id already are moved least if that reference is the
+    first of ``versioned``.
     """
     needed = {spec.id_col, spec.date_col, *(r.fact_id for r in spec.versioned)}
     needed |= {r.fact_id for r in spec.current} | (set(spec.columns) & set(rows.columns))
     fact = rows.select(*[c for c in rows.columns if c in needed])
-    for ref in spec.versioned:
-        join = resolve if ref.deep is None else partial(resolve_deep, deep=ref.deep)
-        fact = join(fact, versions[ref.dim], ref.key_col, ref.dim_id, ref.fact_id, spec.date_col)
     for ref in spec.current:
         side = dims[ref.dim].select(
             F.col(ref.dim_id).alias("_dim_id"), F.col(ref.key_col).alias(ref.alias)
         )
         fact = fact.join(side, F.col(ref.fact_id) == F.col("_dim_id"), "left").drop("_dim_id")
+    for ref in spec.versioned:
+        join = resolve if ref.deep is None else partial(resolve_deep, deep=ref.deep)
+        fact = join(fact, versions[ref.dim], ref.key_col, ref.dim_id, ref.fact_id, spec.date_col)
     made = {spec.sk_col: F.col(spec.id_col), "date_key": date_key(spec.date_col)}
     return fact.select(*[made[c].alias(c) if c in made else F.col(c) for c in spec.columns])
 

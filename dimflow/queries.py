@@ -287,8 +287,9 @@ SALES = facts.FactSpec(
         "l_shipdate", "quantity", "total_value", "l_returnflag", "o_orderstatus",
     ),
     versioned=(
-        facts.VersionedRef("dim_customer", "customer_key", "c_custkey", "o_custkey"),
+        # Parts first: sales come from a join by part.
         facts.VersionedRef("dim_part", "part_key", "p_partkey", "l_partkey"),
+        facts.VersionedRef("dim_customer", "customer_key", "c_custkey", "o_custkey"),
     ),
     current=(
         facts.CurrentRef("dim_type", "type_key", "p_type", "p_type", "type_key"),

@@ -66,3 +66,31 @@ def test_columns_that_are_not_kept_are_not_carried(spark):
 def test_row_counts_come_in_one_row(spark):
     found = row_counts({"a": spark.range(3), "b": spark.range(0)})
     assert found.columns == ["a_rows", "b_rows"] and tuple(found.first()) == (3, 0)
+
+
+def test_small_dimensions_come_first_and_rows_move_once_for_each_id(spark):
+    """What only a current dimension is looked up by does not move for the versioned ones, nor do rows that lie right already."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "5000")
+    try:
+        lines = spark.range(20000).selectExpr("id as line", "id % 2000 as item", "id % 3000 as buyer", "timestamp_ntz'2026-01-01' as day")
+        items = spark.range(2000).selectExpr("id as i", "concat('kind ', id % 3) as kind")
+        spec = FactSpec(
+            "f", "lines", "line", "sk", "day", ("sk", "item_key", "buyer_key", "kind_key"),
+            versioned=(VersionedRef("items", "item_key", "id", "item"), VersionedRef("buyers", "buyer_key", "id", "buyer")),
+            current=(CurrentRef("kinds", "kind_key", "name", "kind", "kind_key"),),
+        )
+        versions = {
+            name: spark.range(3000).selectExpr(
+                "id", f"id + 1 as {name[:-1]}_key", "timestamp_ntz'2025-01-01' as valid_from", "timestamp_ntz'2027-01-01' as valid_to")
+            for name in ("items", "buyers")
+        }
+        kinds = spark.range(3).selectExpr("concat('kind ', id) as name", "id as kind_key")
+        fact = build_fact(lines.join(items, lines.item == items.i, "left"), spec, versions, {"kinds": kinds})
+        steps = plan(fact).split("\n\n")
+        moves = [step for step in steps if "hashpartitioning(buyer" in step]
+        assert len(moves) == 1 and "kind_key" in moves[0] and "kind#" not in moves[0]
+        assert len([step for step in steps if "hashpartitioning(item#" in step]) == 1
+        assert fact.where("item_key = line % 2000 + 1 and buyer_key = line % 3000 + 1".replace("line", "sk")).count() == 20000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
