@@ -60,6 +60,11 @@ def nodes_of(day: Column, levels: int) -> Column:
     return F.array(*[F.struct(F.lit(n).alias("level"), F.shiftright(day, RADIX_BITS * n).cast("long").alias("node")) for n in range(levels + 1)])
 
 
+def _number(node: Column) -> Column:
+    """Level and node as one number, which a shuffle moves more cheaply."""
+    return F.shiftleft(node["level"].cast("long"), 48) + node["node"]
+
+
 def effective_lookup_deep(
     facts: DataFrame,
     dim: DataFrame,
@@ -80,7 +85,10 @@ def effective_lookup_deep(
     counted = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > deep)
     many = materialise(counted.select(*[F.col(k).alias(f"_deep_{i}") for i, k in enumerate(keys)]), "deep-keys")
     same = [F.col(f) == F.col(f"_deep_{i}") for i, f in enumerate(on)]
-    shallow = effective_lookup(facts.join(many, same, "left_anti"), dim, on, at, valid_from, valid_until, take)
+    deep_keys = [F.col(k) == F.col(f"_deep_{i}") for i, k in enumerate(keys)]
+    # Written, the sizes of both sides of validities are known: they are broadcast only where they are small.
+    few = materialise(dim.join(many, deep_keys, "left_anti").select(*dict.fromkeys([*keys, valid_from, valid_until, *take])), "few")
+    shallow = effective_lookup(facts.join(many, same, "left_anti"), few, on, at, valid_from, valid_until, take)
     found = materialise(facts.join(many, same, "left_semi"), "deep-facts")
     day = F.to_date(F.col(at))
     span = found.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
@@ -90,14 +98,14 @@ def effective_lookup_deep(
     number = lambda c: F.datediff(c, first).cast("long")
     begin = number(F.greatest(F.col(valid_from).cast("date"), first))
     end = number(F.least(F.col(valid_until).cast("date"), F.lit(span["last"])))
-    validities = dim.join(many, [F.col(k) == F.col(f"_deep_{i}") for i, k in enumerate(keys)], "left_semi").where(
-        F.col(valid_from).isNotNull() & F.col(valid_until).isNotNull()
-    )
+    validities = dim.join(many, deep_keys, "left_semi").where(F.col(valid_from).isNotNull() & F.col(valid_until).isNotNull())
     nodes = validities.select(
         *[F.col(k).alias(f"_on_{i}") for i, k in enumerate(keys)], *[F.col(c).alias(n) for c, n in take.items()],
         F.explode(cover(begin, end, levels)).alias("_cover"),
-    )
+    ).withColumn("_cover", _number(F.col("_cover")))
+    nodes = materialise(nodes, "nodes")
     asked = found.where(F.col(at).isNotNull()).withColumn("_node", F.explode(nodes_of(number(day), levels)))
+    asked = asked.withColumn("_node", _number(F.col("_node")))
     matched = asked.join(nodes, [*[F.col(f) == F.col(f"_on_{i}") for i, f in enumerate(on)], F.col("_node") == F.col("_cover")])
     matched = materialise(matched.select(*facts.columns, *take.values()), "matched")
     none = found.join(matched.select(*fact_id).distinct(), [found[c].eqNullSafe(matched[c]) for c in fact_id], "left_anti")

@@ -8,8 +8,10 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from dimflow.operators import intervals
 from dimflow.operators.dimensions import effective_lookup
 from dimflow.operators.intervals import RADIX, cover, effective_lookup_deep, levels_for, nodes_of
+from dimflow.session import materialise
 from tests.conftest import plan, rows
 
 DAY = date(2026, 1, 1)
@@ -65,3 +67,27 @@ def test_nothing(spark):
     given = ({"item": "key"}, "at", "since", "until", {"cert": "certificate"}, ["id"], 0)
     assert effective_lookup_deep(facts.limit(0), dim, *given).count() == 0
     assert effective_lookup_deep(facts, dim.limit(0), *given).where("certificate is null").count() == 300
+
+
+def test_nodes_are_broadcast_by_their_true_size(spark, monkeypatch):
+    """Validities are multiplied on their way, which no estimate knows; what is joined is written, so its size is known."""
+    plans = {}
+
+    def noted(df, name):
+        plans[name] = plan(df)
+        return materialise(df, name)
+
+    monkeypatch.setattr(intervals, "materialise", noted)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "6000")
+    try:
+        days = spark.range(300).selectExpr("id as fact", "id % 5 as k", "date_add(date'2026-01-01', cast(id as int)) as day")
+        terms = spark.range(5).selectExpr("id as k", "explode(sequence(1, 80)) as n").selectExpr(
+            "k as on_k", "concat(k, '-', n) as term", "date_add(date'2026-01-01', n) as a", "date_add(date'2026-01-01', 3 * n) as b"
+        )
+        got = intervals.effective_lookup_deep(days, terms, {"k": "on_k"}, "day", "a", "b", {"term": "term"}, ["fact"], deep=4)
+        want = effective_lookup(days, terms, {"k": "on_k"}, "day", "a", "b", {"term": "term"})
+        assert rows(got) == rows(want)
+        assert "SortMergeJoin" in plans["matched"] and "BroadcastHashJoin" not in plans["matched"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
