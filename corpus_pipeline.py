@@ -43,7 +43,7 @@ def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Counts and digests of each text's token ids and of the bytes they decode to; a null text has none."""
-    prepare(spark)
+    prepare(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))  # beside the codecs there is less room
     return bpe.round_trip(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=False)
 
 

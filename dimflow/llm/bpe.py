@@ -26,10 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.llm.common import query, slices, table, text_buffer
+from dimflow.llm.common import give_back, query, slices, table, text_buffer
 from dimflow.llm.pieces import Memo, spaced_pieces
 
-_MOST_STATES = 300_000
+_MOST_STATES, _MOST_BYTES = 300_000, 24 << 20  # of a codec that is kept
+_FEW_STATES, _FEW_BYTES = 60_000, 4 << 20  # of one that has little memory
 _DECODE_IDS = 1 << 16
 
 
@@ -56,8 +57,8 @@ def merged(piece: bytes, ranks: dict[bytes, int], halves: bool = False) -> list[
 class Transducer:
     """Ids of a piece, see the module's description."""
 
-    def __init__(self, ranks: dict[bytes, int]) -> None:
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], most_states: int = _MOST_STATES) -> None:
+        self.ranks, self.most_states = ranks, most_states
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.child: dict[int, int] = {}
         self.token_at: list[int] = [-1]
@@ -163,9 +164,9 @@ class Transducer:
         return self._state(tuple([(last, pending[agreed:], node) for last, pending, node in after])), first[:agreed]
 
     def __call__(self, piece: bytes) -> list[int]:
-        if len(self.states) > _MOST_STATES:
+        if len(self.states) > self.most_states:
             self._restart()
-        if len(self.fits_memo) > 4 * _MOST_STATES:
+        if len(self.fits_memo) > 4 * self.most_states:
             self.fits_memo.clear()
         state, steps, ids = 0, self.steps, []
         for byte in piece:
@@ -232,14 +233,14 @@ class Decoder:
 
 
 class Codec:
-    """Texts to ids and back."""
+    """Texts to ids and back. The bounds say how much is remembered of earlier texts, never what ids a text has."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most_states: int = _MOST_STATES, most_bytes: int = _MOST_BYTES) -> None:
         import regex
 
-        self.split, self.transducer = regex.compile(pattern).findall, Transducer(ranks)
-        self.plain = Memo(lambda keys: map(self._encode, (k.decode() for k in keys)))
-        self.spaced = Memo(lambda keys: map(self._encode, (" " + k.decode() for k in keys)))
+        self.split, self.transducer = regex.compile(pattern).findall, Transducer(ranks, most_states)
+        self.plain = Memo(lambda keys: map(self._encode, (k.decode() for k in keys)), most_bytes)
+        self.spaced = Memo(lambda keys: map(self._encode, (" " + k.decode() for k in keys)), most_bytes)
 
     def _encode(self, text: str) -> bytes:
         ids = [i for piece in self.split(text) for i in self.transducer(piece.encode())]
@@ -308,10 +309,13 @@ def round_trip(docs: DataFrame, id_col: str, text_col: str, rank_file: str, patt
 
     Null and empty texts have no ids. Each row stands for itself, whatever its id; other columns are not read.
     With ``keep`` a Python worker has its codec ready for later tasks, which costs it 300 MB and more while other stages run.
+    Without, each task makes its own, which remembers less, and what earlier tasks freed goes back to the system first.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = codec(rank_file, pattern) if keep else Codec(load_ranks(rank_file), pattern)
+        if not keep:
+            give_back()
+        known = codec(rank_file, pattern) if keep else Codec(load_ranks(rank_file), pattern, _FEW_STATES, _FEW_BYTES)
         for batch in batches:
             data, bounds = text_buffer(batch.column(1))
             counts, ids_sha, text_sha = [], [], []

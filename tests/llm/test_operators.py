@@ -10,13 +10,14 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
 from pyspark.sql import functions as F
 
 from dimflow.llm import bpe, decontaminate, huffman, langid, neardup, quality, sharding, token_counts, token_files, urls, warc
-from dimflow.llm.common import prepare
+from dimflow.llm.common import prepare, text_buffer
 from dimflow.llm.components import components
 
 RANKS, JSON, WORDS = (public_tokenizers.path(f"{n}") for n in ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -255,6 +256,18 @@ def test_token_counts_and_ids_equal_the_libraries(docs, nothing):
     assert token_counts.token_counts(nothing, "doc_id", "text", JSON).count() == 0
 
 
+def test_bpe_small_codec_forgets_and_gives_the_same_ids():
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdefgh\u00e9", k=rng.randint(1, 9))) for _ in range(60)) for _ in range(40)]
+    ranks, (data, bounds) = bpe.load_ranks(RANKS), text_buffer(pa.array(texts))
+    whole = bpe.Codec(ranks, public_tokenizers.PATTERN)
+    small = bpe.Codec(ranks, public_tokenizers.PATTERN, most_states=50, most_bytes=500)
+    got = [list(small.encode(data, bounds[i : i + 2])) for i in range(len(texts))]
+    assert got == [[ids] for ids in whole.encode(data, bounds)]
+    assert len(small.transducer.states) < len(whole.transducer.states) / 4
+    assert len(small.spaced.known) < len(whole.spaced.known) / 4
+
+
 def test_bpe_equals_tiktoken_and_round_trips(docs, nothing):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     want = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
