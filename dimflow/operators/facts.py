@@ -57,6 +57,12 @@ class FactSpec:
     id_range: int | None = None
 
 
+def needed(rows: DataFrame, spec: FactSpec) -> DataFrame:
+    """The columns of the source rows that a fact is made of."""
+    used = {spec.id_col, spec.date_col, *(r.fact_id for r in (*spec.versioned, *spec.current)), *spec.columns}
+    return rows.select(*[c for c in rows.columns if c in used])
+
+
 def build_fact(
     rows: DataFrame, spec: FactSpec, versions: dict[str, DataFrame], dims: dict[str, DataFrame]
 ) -> DataFrame:
@@ -69,9 +75,7 @@ def build_fact(
     are looked up by is not moved for the others. Rows that lie by an id already are moved least if that reference is the
     first of ``versioned``.
     """
-    needed = {spec.id_col, spec.date_col, *(r.fact_id for r in spec.versioned)}
-    needed |= {r.fact_id for r in spec.current} | (set(spec.columns) & set(rows.columns))
-    fact = rows.select(*[c for c in rows.columns if c in needed])
+    fact = needed(rows, spec)
     for ref in spec.current:
         side = dims[ref.dim].select(
             F.col(ref.dim_id).alias("_dim_id"), F.col(ref.key_col).alias(ref.alias)

@@ -31,6 +31,12 @@ def latest_per_key(batch: DataFrame, keys: list[str], updated_at: str | None = N
     )
 
 
+def repeats(rows: DataFrame, keys: list[str]) -> bool:
+    """Is a key there more than once? Only keys are read and moved."""
+    most = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return (most or 0) > 1
+
+
 def keyed_upsert(
     base: DataFrame, batch: DataFrame, keys: list[str], updated_at: str | None = None
 ) -> DataFrame:
@@ -58,6 +64,14 @@ def older_than(fresh: DataFrame, base: DataFrame, keys: list[str], updated_at: s
     return base.select(*keys, updated_at).join(stamps, keys).where(later).select(*keys)
 
 
+def any_later(fresh: DataFrame, base: DataFrame, updated_at: str) -> bool:
+    """Could :func:`older_than` find a key? Not if no stamp of the base is later than the first of the fresh rows."""
+    last = base.agg(F.max(updated_at).alias("_last"))
+    first = fresh.agg(F.min(updated_at).alias("_first"), F.count_if(F.col(updated_at).isNull()).alias("_unstamped"))
+    later = (F.col("_last") > F.col("_first")) | (F.col("_last").isNotNull() & (F.col("_unstamped") > 0))
+    return last.crossJoin(first).select(F.coalesce(later, F.lit(False))).first()[0]
+
+
 def same_columns(table: StructType, batch: StructType) -> None:
     """Raise unless both have the same columns in the same types."""
     have = {f.name: f.dataType for f in table.fields}

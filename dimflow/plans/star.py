@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dimflow.functions.keys import text_key
 from dimflow.operators.dimensions import date_dimension
-from dimflow.operators.facts import FactSpec, build_fact, row_counts
+from dimflow.operators.facts import FactSpec, build_fact, needed, row_counts
 from dimflow.operators.pointintime import entity_versions
 from dimflow.registry import TableSpec
 from dimflow.session import materialise, side_by_side
@@ -111,7 +111,7 @@ def extend_fact(store: Store, star: Star, spec: FactSpec, raw: dict[str, DataFra
         ids = affected(store, spec, by_name, raw, before.inputs, inputs)
     if ids is not None:
         ids = materialise(ids, "affected")
-        rows = materialise(rows.join(ids, spec.id_col, "left_semi"), "affected-rows")
+        rows = materialise(needed(rows, spec).join(ids, spec.id_col, "left_semi"), "affected-rows")
 
     def versions_of(dim: VersionedDim) -> DataFrame:
         entity = raw[dim.source]

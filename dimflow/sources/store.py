@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.functions.keys import hash_bucket
-from dimflow.operators.upsert import keyed, latest_per_key, older_than, same_columns
+from dimflow.operators.upsert import any_later, keyed, latest_per_key, older_than, repeats, same_columns
 from dimflow.registry import TableSpec
 from dimflow.session import materialise
 
@@ -184,6 +184,7 @@ class Store:
         """Replace the rows that share a key with the batch by the batch's, and advance the mark.
 
         The batch is written first: data, keys and mark then come from the same rows, and they stay as the commit's delta.
+        Its keys are then counted, and only if one is there twice are the rows moved to keep the latest of each.
         The first batch of a table is written where it stays; later, only the buckets a batch touches are
         read and rewritten. Where the spec's bucketing is not the one the table was written by, the whole
         table is rewritten once by the new rule. With a stamp column, a stored row stays if it is newer than the batch's,
@@ -202,27 +203,35 @@ class Store:
                 return 0
         keys = list(spec.keys)
         stamp = spec.updated_at if spec.updated_at in batch.columns else None
-        unique = keyed(batch, keys) if spec.unique else latest_per_key(batch, keys, stamp)
+        given = keyed(batch, keys)
         if gone is not None:
-            out = gone.select(*batch.columns).join(unique.select(*keys), keys, "left_anti").select(*batch.columns).dropDuplicates(keys)
-            unique = unique.withColumn("_gone", F.lit(False)).unionByName(out.withColumn("_gone", F.lit(True)))
+            out = gone.select(*batch.columns).join(given.select(*keys), keys, "left_anti").select(*batch.columns).dropDuplicates(keys)
+            given = given.withColumn("_gone", F.lit(False)).unionByName(out.withColumn("_gone", F.lit(True)))
         generation = commit.generation + 1 if commit else 0
         old = commit or Commit(generation, _first_buckets(spec), batch.schema, bucketing=_rule(spec))
         moved = old.bucketing != _rule(spec)
         places = _first_buckets(spec) if moved else old.live
         share = _share(_rule(spec))
-        if commit is None and gone is None and spec.split_rows is None:
-            staged = self._write_buckets(layer, spec.name, generation, unique.withColumn("_b", _bucket(spec, old.live)), share)
-        else:
+        stays = commit is None and gone is None and spec.split_rows is None
+
+        def stage(rows: DataFrame) -> DataFrame:
+            if stays:
+                return self._write_buckets(layer, spec.name, generation, rows.withColumn("_b", _bucket(spec, old.live)), share)
             path = self._delta(layer, spec.name, generation)
-            unique.write.mode("overwrite").parquet(path)
-            staged = self.spark.read.schema(unique.schema).parquet(path)
+            rows.write.mode("overwrite").parquet(path)
+            return self.spark.read.schema(rows.schema).parquet(path)
+
+        staged = stage(given)
+        if spec.unique:
+            _reject_repeats(staged, keys, spec.name)
+        elif repeats(staged, keys):
+            # Of the rows written, as the batch might be other rows when it is read again.
+            staged = stage(materialise(latest_per_key(staged.select(*given.columns), keys, stamp), "latest"))
+        if not stays:
             if commit is None:
                 places = _first_buckets(spec, staged.count())
                 old = replace(old, live=places)
             staged = staged.withColumn("_b", _bucket(spec, places))
-        if spec.unique:
-            _reject_repeats(staged, keys, spec.name)
         # One row, with at most as many bucket numbers as the table has buckets.
         facts = staged.agg(
             F.count(F.lit(1)).alias("n"),
@@ -239,7 +248,7 @@ class Store:
             if commit and (stream or inputs is not None):
                 self._commit(layer, spec.name, state)
             return 0
-        if commit is None and gone is None and spec.split_rows is None:
+        if stays:
             self._commit(layer, spec.name, replace(state, live=dict.fromkeys(facts.touched, generation)))
             return facts.n
         touched = old.live if moved else _together(old.live, facts.touched, share)
@@ -248,8 +257,10 @@ class Store:
         if any(g != NOWHERE for g in touched.values()):
             base = self._at(layer, spec.name, Commit(old.generation, touched, old.schema, bucketing=old.bucketing))
             base = base.withColumn("_b", _bucket(spec, places))
-            if stamp and keep_newer:
-                rows = rows.join(older_than(rows, base, keys, stamp), keys, "left_anti").select(*base.columns)
+            if stamp and keep_newer and any_later(rows, base, stamp):
+                # Written, as both the rows put in and those taken out need it.
+                newer = materialise(older_than(rows, base, keys, stamp), "newer")
+                rows = rows.join(newer, keys, "left_anti").select(*base.columns)
             replaced = rows if gone is None else rows.select(*keys).unionByName(staged.where("_gone").select(*keys))
             rows = base.join(replaced.select(*keys), keys, "left_anti").select(*base.columns).unionByName(rows)
         rows = rows.select(*batch.columns, "_b")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 from collections import Counter
+from dataclasses import replace
 from datetime import datetime
 from types import SimpleNamespace
 
@@ -10,6 +11,7 @@ import pytest
 from dimflow.registry import TableSpec, by_name
 from dimflow.session import shared_folder
 from dimflow.sources import load
+from dimflow.sources import store as table_store
 from dimflow.sources.readers import parquet_source
 from dimflow.sources.store import RAW
 from tests.conftest import rows
@@ -285,3 +287,30 @@ def test_deltas_say_what_a_commit_touched(spark, store):
     assert rows(store.deltas(RAW, "widgets", 1).select("id")) == [(1,)]
     assert f"{store.root}/raw/widgets/delta=1" in store.superseded(RAW, "widgets", consumed=1)
     assert not any("delta=" in path for path in store.superseded(RAW, "widgets"))
+
+
+@pytest.mark.parametrize("split_rows", [None, 1000])
+def test_rows_are_moved_by_key_only_where_keys_repeat(spark, store, monkeypatch, split_rows):
+    moved = []
+    for name in ("latest_per_key", "older_than"):
+        was = getattr(table_store, name)
+        monkeypatch.setattr(table_store, name, lambda *a, name=name, was=was: moved.append(name) or was(*a))
+    spec = replace(SPEC, split_rows=split_rows)
+    store.upsert(RAW, spec, frame(spark, (1, "a", D1), (2, "b", D2)))
+    store.upsert(RAW, spec, frame(spark, (2, "B", D2), (3, "c", D3)))
+    assert moved == []
+    store.upsert(RAW, spec, frame(spark, (2, "old", D1), (3, "C", D3), (3, "c", D2), (4, "d", D3), (4, "e", D3)))
+    assert moved == ["latest_per_key", "older_than"]
+    assert rows(store.read(RAW, "widgets")) == [(1, "a", D1), (2, "B", D2), (3, "C", D3), (4, "e", D3)]
+    assert rows(store.deltas(RAW, "widgets", 1)) == [(2, "old", D1), (3, "C", D3), (4, "e", D3)]
+
+
+def test_a_first_batch_with_repeated_keys_keeps_the_latest(spark, store):
+    assert store.upsert(RAW, SPEC, frame(spark, (1, "a", D1), (1, "b", D2), (2, "c", None), (2, "c", None))) == 2
+    assert rows(store.read(RAW, "widgets")) == [(1, "b", D2), (2, "c", None)]
+
+
+def test_unstamped_rows_meet_stored_stamps(spark, store):
+    store.upsert(RAW, SPEC, frame(spark, (1, "a", D1), (2, "b", None)))
+    store.upsert(RAW, SPEC, frame(spark, (1, "x", None), (2, "y", None), (3, "z", None)))
+    assert rows(store.read(RAW, "widgets")) == [(1, "a", D1), (2, "y", None), (3, "z", None)]
