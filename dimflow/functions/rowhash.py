@@ -37,8 +37,8 @@ def row_text(schema: T.StructType, strict: bool = False) -> Column:
 
 def digest_halves(text: Column) -> list[Column]:
     """The low 64 bits of the SHA-256 of ``text``, as two non-negative 32-bit numbers."""
-    digest = F.sha2(text, 256)
-    return [F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint") for start in (49, 57)]
+    low = F.conv(F.substring(F.sha2(text, 256), 49, 16), 16, -10).cast("bigint")  # a negative base: signed
+    return [F.shiftrightunsigned(low, 32), low.bitwiseAND(F.lit(0xFFFFFFFF))]
 
 
 def fold(halves: list[Column]) -> Column:

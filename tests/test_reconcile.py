@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from datetime import datetime
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from dimflow.functions.rowhash import digest_halves
 from dimflow.operators.reconcile import Pair, all_passed, compare, fingerprint, report
 from tests.conftest import plan
 
@@ -57,6 +59,14 @@ def test_values_are_hashed_as_canonical_text(spark):
     assert fingerprint(df).first().row_hash == str(want)
 
 
+def test_a_digest_is_read_as_a_number_once(spark):
+    df = spark.range(200).select(F.col("id").cast("string").alias("text"))
+    low = [int(hashlib.sha256(str(i).encode()).hexdigest(), 16) & (1 << 64) - 1 for i in range(200)]
+    halves = digest_halves(F.col("text"))
+    assert [tuple(r) for r in df.select(*halves).collect()] == [(n >> 32, n & 0xFFFFFFFF) for n in low]
+    assert len({m for half in halves for m in re.findall(r"conv\(.*?, 16, -?10\)", str(half))}) == 1
+
+
 def test_empty_table_hashes_to_zero(spark):
     assert fingerprint(frame(spark, (1, "a")).where("id > 1")).first() == (0, "0")
 
